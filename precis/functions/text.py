@@ -35,7 +35,8 @@ def strip(c: Column) -> Column:
 def tidy(c: Column) -> Column:
     """Remove the space that detokenising leaves before punctuation and contractions."""
     closed = F.regexp_replace(c, r" ([.,!?])", "$1")
-    return F.regexp_replace(closed, r" (n't|'m|'s|'ve|'re|')", "$1")
+    joined = F.regexp_replace(closed, " ' ", "'")
+    return F.regexp_replace(joined, " (n't|'m|'s|'ve|'re)", "$1")
 
 
 def tokens(c: Column) -> Column:
@@ -87,7 +88,7 @@ def ngrams(toks: Column, n: int) -> Column:
 def size_text(n_bytes: Column) -> Column:
     """Bytes as ``12 B``, ``3.4 KB``, ``5.6 MB`` or ``7.8 GB`` (steps of 1024)."""
     def scaled(power: int, unit: str) -> Column:
-        return F.format_string(f"%.1f {unit}", n_bytes / F.lit(float(1024**power)))
+        return F.format_string(f"%.1f {unit}", F.bround(n_bytes / F.lit(float(1024**power)), 1))
 
     return (
         F.when(n_bytes < 1024, F.concat(n_bytes.cast("string"), F.lit(" B")))

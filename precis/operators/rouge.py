@@ -8,6 +8,7 @@ from math import exp, factorial
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from precis.functions.lcs import lcs_length, union_hits
 from precis.functions.porter import stem
@@ -19,26 +20,26 @@ METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")
 MICRO = 1_000_000
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Stem the tokens of more than three letters."""
     for toks in batches:
         yield toks.map(lambda row: [stem(t) if len(t) > 3 else t for t in row])
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _lcs_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for ref, cand in batches:
         yield pd.Series([lcs_length(r, c) for r, c in zip(ref, cand)], dtype="int32")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _union_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for ref, cand in batches:
         yield pd.Series([union_hits(r, c) for r, c in zip(ref, cand)], dtype="int32")
 
 
-@F.pandas_udf("array<array<string>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
 def _stem_lines(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for rows in batches:
         yield rows.map(lambda lines: [[stem(t) if len(t) > 3 else t for t in s] for s in lines])
@@ -167,38 +168,64 @@ def corpus_scores(scores: DataFrame, by: Sequence[str], digits: int = 6) -> Data
     return scores.groupBy(*by).agg(n.alias("n_pairs"), *means)
 
 
-# P(X <= k) of the Poisson distribution with mean 1, as thresholds for a 32-bit draw.
-POISSON_CDF = tuple(
-    round(2**32 * sum(exp(-1) / factorial(i) for i in range(k + 1))) for k in range(12)
+# P(X <= k) of the Poisson distribution with mean 1, as thresholds for 32-bit draws in hex.
+POISSON_EDGES = tuple(
+    f"{round(2**32 * sum(exp(-1) / factorial(i) for i in range(k + 1))):08x}" for k in range(12)
 )
 
 
-def bootstrap_weight(key: Column, replicate: Column) -> Column:
-    """Poisson(1) weight drawn from the MD5 of key and replicate: the same on every run."""
-    digest = F.md5(F.concat_ws(":", key, replicate))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    return sum(((draw >= edge).cast("long") for edge in POISSON_CDF), F.lit(0).cast("long"))
+def poisson_weight(draw: Column) -> Column:
+    """Poisson(1) weight of eight hex digits; they compare as text in number order."""
+    weight = F.when(draw < POISSON_EDGES[0], 0)
+    for k, edge in enumerate(POISSON_EDGES[1:], 1):
+        weight = weight.when(draw < edge, k)
+    return weight.otherwise(len(POISSON_EDGES))
 
 
 def bootstrap_interval(
-    scores: DataFrame, key: str, by: Sequence[str], replicates: int = 1000
+    scores: DataFrame,
+    key: str,
+    by: Sequence[str],
+    metrics: Sequence[str] = METRICS,
+    replicates: int = 1000,
 ) -> DataFrame:
-    """Low, mid and high (2.5, 50, 97.5 %) of the resampled mean F1 per group.
+    """Low, mid and high (2.5, 50, 97.5 %) of the resampled mean F1 per group and metric.
 
-    Poisson resampling needs no draw across rows. Each task adds its rows into
-    ``replicates`` running sums per group, and only these sums are shuffled.
+    Poisson resampling needs no draw across rows: a row's weight in a replicate
+    comes from the MD5 of its key and the replicate number, four replicates per
+    digest, and is the same on every run. Each task adds its rows into
+    ``replicates`` running sums per group; only these sums are shuffled.
     """
-    weighted = scores.select(
-        *by, key, micro("f1").alias("f1"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("b")
-    ).withColumn("w", bootstrap_weight(F.col(key), F.col("b")))
-    means = (
-        weighted.groupBy(*by, "b")
-        .agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("f1")).alias("total"))
-        .select(*by, F.try_divide("total", F.col("n") * F.lit(float(MICRO))).alias("mean"))
+    wide = scores.groupBy(key, *by).agg(
+        *[F.max(F.when(F.col("metric") == m, micro("f1"))).alias(m) for m in metrics]
+    )
+    fours = F.sequence(F.lit(0), F.lit((replicates - 1) // 4))
+    digests = wide.withColumn("four", F.explode(fours)).withColumn(
+        "digest", F.md5(F.concat_ws(":", key, "four"))
+    )
+    draws = digests.select(
+        *by,
+        *metrics,
+        "four",
+        F.posexplode(F.array(*[F.substring("digest", 8 * i + 1, 8) for i in range(4)])).alias(
+            "place", "draw"
+        ),
+    ).withColumn("w", poisson_weight(F.col("draw")))
+    sums = [F.sum(F.col("w") * F.col(m)).alias(m) for m in metrics]
+    resampled = (
+        draws.withColumn("replicate", F.col("four") * 4 + F.col("place"))
+        .where((F.col("replicate") < replicates) & (F.col("w") > 0))
+        .groupBy(*by, "replicate")
+        .agg(F.sum("w").alias("n"), *sums)
+    )
+    by_metric = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("total")) for m in metrics]))
+    means = resampled.select(*by, "n", by_metric).withColumn(
+        "mean", F.col("total") / (F.col("n") * F.lit(float(MICRO)))
     )
     q = F.percentile("mean", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975)))
-    return means.groupBy(*by).agg(q.alias("q")).select(
+    return means.groupBy(*by, "metric").agg(q.alias("q")).select(
         *by,
+        "metric",
         F.round(F.col("q")[0], 6).alias("low"),
         F.round(F.col("q")[1], 6).alias("mid"),
         F.round(F.col("q")[2], 6).alias("high"),

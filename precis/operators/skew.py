@@ -31,15 +31,18 @@ def lookup_join(
     key then holds less than 1/``head_rows`` of the rows and is joined by a
     shuffle. The result equals a plain join.
     """
-    head = (
+    head = F.broadcast(
         dim.where(F.length(F.col(on).cast("string")) <= HEAD_KEY_CHARS)
         .orderBy(F.desc(weight), on)
         .limit(head_rows)
     )
-    hot = rows.join(F.broadcast(head), on, "inner")
-    cold = rows.join(F.broadcast(head.select(on)), on, "left_anti").join(
-        dim.hint("shuffle_merge"), on, how
-    )
+    rest = rows
+    hot = rows.join(head, on, "inner")
+    if how == "left":
+        # Rows without a key match nothing; they must not meet in one shuffle partition.
+        rest = rows.where(F.col(on).isNotNull())
+        hot = rows.join(head, on, "left").where(F.col(on).isNull() | F.col(weight).isNotNull())
+    cold = rest.join(head.select(on), on, "left_anti").join(dim.hint("shuffle_merge"), on, how)
     return hot.unionByName(cold)
 
 

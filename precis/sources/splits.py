@@ -90,14 +90,3 @@ def batch_chunks(df: DataFrame, size: int, key: str = "id") -> DataFrame:
     """Number the batches of ``size`` consecutive rows of every split; the last may be short."""
     numbered = with_positions(df, [key], ["split"])
     return numbered.withColumn("chunk", F.floor(F.col("pos") / size))
-
-
-def pad_to_longest(df: DataFrame, ids: str, pad_id: int) -> DataFrame:
-    """Pad ``ids`` to the longest array of its ``(split, chunk)`` batch."""
-    longest = F.max(F.size(ids)).over(Window.partitionBy("split", "chunk"))
-    return df.withColumn("_longest", longest).select(
-        *[c for c in df.columns if c != ids],
-        F.concat(
-            F.col(ids), F.array_repeat(F.lit(pad_id), F.col("_longest") - F.size(ids))
-        ).alias(ids),
-    )
