@@ -7,29 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that Python's str.strip() removes, as a regular
-# expression class that Java and RE2 read alike.
-SPACE = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The characters that Python's str.strip() removes.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 # Word separators, sentence ends, and tokens.
 WORD_GAP = r"[ \t\n\r\f]+"
 SENTENCE_END = r"([.!?])[ \t\n\r\f]+"
 TOKEN = "[a-z0-9]+"
 
-STRIP = rf"\A{SPACE}+|{SPACE}+\z"
-BLANK = rf"\A{SPACE}*\z"
+
+def strip(c: Column) -> Column:
+    """Remove surrounding whitespace as ``str.strip()`` does."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def is_blank(c: Column) -> Column:
     """NULL, empty, or nothing but (Unicode) whitespace."""
-    return c.isNull() | c.rlike(BLANK)
-
-
-def strip(c: Column) -> Column:
-    """Remove surrounding whitespace as ``str.strip()`` does."""
-    return F.regexp_replace(c, STRIP, "")
+    return c.isNull() | (strip(c) == "")
 
 
 def tidy(c: Column) -> Column:

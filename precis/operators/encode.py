@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from precis.functions.text import tokens
 from precis.operators.rouge import corpus_scores, rouge_scores
-from precis.operators.skew import lookup_join, with_positions
+from precis.operators.skew import lookup_arrays, with_positions
 
 # Special ids, ignored-label mark, and default lengths.
 START, PAD, END, UNKNOWN = 0, 1, 2, 3
@@ -33,26 +33,6 @@ def build_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ranked.select("token", "n", (F.col("pos") + FIRST_WORD_ID).alias("token_id"))
 
 
-def _by_position(name: str, value: str) -> Column:
-    """Values of one source column, in order."""
-    mine = F.collect_list(F.when(F.col("_col") == name, F.struct("_pos", value)))
-    return F.transform(F.array_sort(mine), lambda x: x[value])
-
-
-def _exploded(df: DataFrame, key: str, arrays: Mapping[str, Column], value: str) -> DataFrame:
-    """Rows ``(key, _col, _pos, value)`` of all arrays, and one row without value per key."""
-    one = F.array(F.struct(F.lit("").alias("c"), F.lit(-1).alias("p"), F.lit(None).alias(value)))
-    parts = [_tagged(array, name, value) for name, array in arrays.items()]
-    return df.select(key, F.inline(F.concat(*parts, one))).withColumnsRenamed({"c": "_col", "p": "_pos"})
-
-
-def _tagged(array: Column, name: str, value: str) -> Column:
-    return F.transform(
-        array,
-        lambda x, i: F.struct(F.lit(name).alias("c"), i.alias("p"), x.alias(value)),
-    )
-
-
 def encode(
     df: DataFrame,
     key: str,
@@ -67,12 +47,11 @@ def encode(
     up to it. Truncation comes first, so no row is regrouped beyond its length.
     """
     arrays = {c: F.slice(tokens(F.coalesce(c, F.lit(""))), 1, n - 2) for c, n in columns.items()}
-    found = lookup_join(_exploded(df, key, arrays, "token"), vocab, "token", weight="n", how="left")
-    ids = found.withColumn("token_id", F.coalesce(F.col("token_id").cast("int"), F.lit(UNKNOWN)))
-    out = ids.groupBy(key).agg(*[_by_position(c, "token_id").alias(f"{c}_ids") for c in columns])
+    out = lookup_arrays(df, key, arrays, vocab, "token", "token_id", weight="n")
     for c, n in columns.items():
-        framed = F.concat(F.array(F.lit(START)), F.col(f"{c}_ids"), F.array(F.lit(END)))
-        out = out.withColumn(f"{c}_ids", framed)
+        ids = F.transform(c, lambda x: F.coalesce(x.cast("int"), F.lit(UNKNOWN)))
+        framed = F.concat(F.array(F.lit(START)), ids, F.array(F.lit(END)))
+        out = out.withColumn(f"{c}_ids", framed).drop(c)
         real = F.array_repeat(F.lit(1), F.size(f"{c}_ids"))
         out = out.withColumn(f"{c}_mask", padded(real, n, 0) if pad else real)
         if pad:
@@ -107,16 +86,10 @@ def decode(
     df: DataFrame, key: str, columns: Sequence[str], vocab: DataFrame, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Text of id columns, special ids skipped, as ``(key, keep, <column>_text)``."""
-    arrays = {c: F.col(c) for c in columns}
-    rows = _exploded(df, key, arrays, "token_id").where(
-        F.col("token_id").isNull() | (F.col("token_id") >= FIRST_WORD_ID)
-    )
-    found = lookup_join(
-        rows.withColumn("token_id", F.col("token_id").cast("long")), vocab, "token_id", "n", "left"
-    )
-    out = found.groupBy(key).agg(
-        *[F.array_join(_by_position(c, "token"), " ").alias(f"{c}_text") for c in columns]
-    )
+    arrays = {c: F.filter(c, lambda x: x >= FIRST_WORD_ID) for c in columns}
+    out = lookup_arrays(df, key, arrays, vocab, "token_id", "token", weight="n")
+    texts = [F.array_join(F.filter(c, lambda x: x.isNotNull()), " ").alias(f"{c}_text") for c in columns]
+    out = out.select(key, *texts)
     return df.select(key, *keep).join(out, key) if keep else out
 
 

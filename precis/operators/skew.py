@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from precis.session import stage_table
 
@@ -16,34 +17,84 @@ HEAD_KEY_CHARS = 64
 BLOCK_ROWS = 65_536
 
 
+def head_of(dim: DataFrame, on: str, weight: str, head_rows: int = HEAD_ROWS) -> DataFrame:
+    """The heaviest keys of ``dim``, small enough to broadcast whatever the data."""
+    short = dim.where(F.length(F.col(on).cast("string")) <= HEAD_KEY_CHARS)
+    return F.broadcast(short.orderBy(F.desc(weight), on).limit(head_rows))
+
+
 def lookup_join(
-    rows: DataFrame,
+    rows: DataFrame, dim: DataFrame, on: str, weight: str, head_rows: int = HEAD_ROWS
+) -> DataFrame:
+    """Inner join of ``rows`` to the unique keys of ``dim`` without a hot shuffle key.
+
+    ``weight`` says how often a key occurs. The heaviest ``head_rows`` keys are
+    broadcast; any other key then holds less than 1/``head_rows`` of the rows and
+    is joined by a shuffle. The result equals a plain join. Both inputs are read
+    more than once: pass tables, not long plans.
+    """
+    head = head_of(dim, on, weight, head_rows)
+    hot = rows.join(head, on)
+    cold = rows.join(head.select(on), on, "left_anti").join(dim.hint("shuffle_merge"), on)
+    return hot.unionByName(cold)
+
+
+def lookup_arrays(
+    df: DataFrame,
+    key: str,
+    arrays: Mapping[str, Column],
     dim: DataFrame,
     on: str,
+    value: str,
     weight: str,
-    how: str = "inner",
     head_rows: int = HEAD_ROWS,
 ) -> DataFrame:
-    """Join ``rows`` to the unique keys of ``dim`` without a hot shuffle key.
+    """Replace every element of the named arrays by ``value`` of its ``on`` key in ``dim``.
 
-    ``weight`` says how often a key occurs. The heaviest ``head_rows`` keys are
-    broadcast (a bound on rows and on key length, whatever the data); any other
-    key then holds less than 1/``head_rows`` of the rows and is joined by a
-    shuffle. The result equals a plain join.
+    Returns ``(key, <name>)`` with an array of equal length per name, NULL where
+    ``dim`` lacks the element. Rows move once, by key; frequent elements are then
+    found in a broadcast head and put back in order inside the tasks. Only the
+    other elements travel to the rest of ``dim``, where none of them is frequent.
     """
-    head = F.broadcast(
-        dim.where(F.length(F.col(on).cast("string")) <= HEAD_KEY_CHARS)
-        .orderBy(F.desc(weight), on)
-        .limit(head_rows)
+    kind = dim.schema[on].dataType
+    marker = F.struct(F.lit(-1).alias("_of"), F.lit(-1).alias("_pos"), F.lit(None).cast(kind).alias(on))
+    tagged = [_tagged(a, i, on, kind) for i, a in enumerate(arrays.values())]
+    elements = df.repartition(key).select(key, F.inline(F.concat(F.array(marker), *tagged)))
+    head = head_of(dim.select(on, value, weight), on, weight, head_rows).drop(weight)
+    place = F.struct("_of", "_pos", value, on)
+    tried = (
+        elements.join(head, on, "left")
+        .groupBy(key)
+        .agg(F.collect_list(F.when(F.col("_of") >= 0, place)).alias("_tried"))
     )
-    rest = rows
-    hot = rows.join(head, on, "inner")
-    if how == "left":
-        # Rows without a key match nothing; they must not meet in one shuffle partition.
-        rest = rows.where(F.col(on).isNotNull())
-        hot = rows.join(head, on, "left").where(F.col(on).isNull() | F.col(weight).isNotNull())
-    cold = rest.join(head.select(on), on, "left_anti").join(dim.hint("shuffle_merge"), on, how)
-    return hot.unionByName(cold)
+    tried = stage_table(tried, "lookup")
+
+    def is_open(x: Column) -> Column:
+        return x[value].isNull() & x[on].isNotNull()
+
+    late = (
+        tried.select(key, F.inline(F.filter("_tried", is_open)))
+        .drop(value)
+        .join(dim.select(on, value).hint("shuffle_merge"), on, "left")
+        .groupBy(key)
+        .agg(F.collect_list(place).alias("_late"))
+    )
+    done = F.filter("_tried", lambda x: ~is_open(x))
+    merged = tried.join(late, key, "left").select(
+        key, F.array_sort(F.when(F.col("_late").isNull(), done).otherwise(F.concat(done, "_late"))).alias("_all")
+    )
+    return merged.select(key, *[_values(i, value).alias(n) for i, n in enumerate(arrays)])
+
+
+def _tagged(array: Column, of: int, on: str, kind: DataType) -> Column:
+    return F.transform(
+        array, lambda x, pos: F.struct(F.lit(of).alias("_of"), pos.alias("_pos"), x.cast(kind).alias(on))
+    )
+
+
+def _values(of: int, value: str) -> Column:
+    mine = F.filter("_all", lambda x: x["_of"] == of)
+    return F.transform(mine, lambda x: x[value])
 
 
 def with_positions(

@@ -10,13 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from precis.functions.text import cut_words, let, ngrams, sentences, tokens, words
 from precis.operators.skew import lookup_join
-from precis.session import stage_table
+from precis.session import ship_package, stage_table
 
 MAX_WORDS = 128
 NO_REPEAT = 5
@@ -25,6 +29,7 @@ MIN_CHARS, MIN_COUNT = 4, 2
 # Graph rank: rounds, damping in percent, and the scales of ranks and weights.
 ROUNDS, DAMPING = 5, 85
 RANK_ONE, WEIGHT_ONE, FLOW_ONE = 1_000_000, 1_000, 1_000
+RANK_BASE = (100 - DAMPING) * RANK_ONE // 100
 
 
 def choose_sentences(ranked: Column, max_words: int, no_repeat: int = NO_REPEAT) -> Column:
@@ -81,7 +86,7 @@ def summarize_lead(
     return df.select(key, *keep, lead(F.col(text), k, max_words).alias("prediction"))
 
 
-def _word_rows(df: DataFrame, key: str, text: str, keep: Sequence[str], distinct: bool) -> DataFrame:
+def _word_rows(df: DataFrame, key: str, text: str, keep: Sequence[str]) -> DataFrame:
     """Rows ``(key, sent, word, sentence, doc)`` of each text, co-located by key.
 
     One row per word; one row per sentence with ``word`` NULL and the sentence;
@@ -99,8 +104,6 @@ def _word_rows(df: DataFrame, key: str, text: str, keep: Sequence[str], distinct
         F.when(F.col("sent") == 0, F.col("doc")).alias("doc"),
     )
     toks = tokens(F.coalesce("sentence", F.lit("")))
-    if distinct:
-        toks = F.array_distinct(toks)
     return by_sentence.select(
         key, "sent", "sentence", "doc", F.explode(F.concat(F.array(none), toks)).alias("word")
     ).select(
@@ -140,7 +143,7 @@ def summarize_frequency(
     in the text.
     """
     counted = (
-        _word_rows(df, key, text, keep, distinct=False)
+        _word_rows(df, key, text, keep)
         .groupBy(key, "sent", "word")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -201,7 +204,7 @@ def summarize_tfidf(
         .groupBy(key, "word")
         .agg(F.count(F.lit(1)).alias("n"), F.collect_set("sent").alias("sents"))
     )
-    weighted = lookup_join(pairs, idf, "word", weight="df").select(
+    weighted = lookup_join(stage_table(pairs, "words"), idf, "word", weight="df").select(
         key, F.explode("sents").alias("sent"), (F.col("n") * F.col("idf")).alias("score")
     )
     by_sentence = weighted.groupBy(key, "sent").agg(F.sum("score").alias("score"))
@@ -229,58 +232,66 @@ def summarize_tfidf(
     )
 
 
-def rank_sentences(rows: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
-    """Graph rank (Mihalcea & Tarau 2004) of sentences from rows ``(key, sent, word)``.
+def graph_ranks(texts: pa.Array) -> pa.Array:
+    """Graph rank (Mihalcea & Tarau 2004) of the sentences of each text.
 
-    Two sentences are tied by the cosine of their word sets. Because that weight
-    is a sum over shared words, a round passes rank from sentences to words and
-    back, and no pair of sentences is ever formed. All numbers are whole: ranks
-    in millionths, weights in thousandths.
+    ``texts`` holds, per text, the distinct words of every sentence. Two sentences
+    are tied by the cosine of their word sets. Because that weight is a sum over
+    shared words, a round passes rank from sentences to words and back, and no
+    pair of sentences is ever formed. A whole Arrow batch is ranked at once. All
+    numbers are whole: ranks in millionths, weights in thousandths.
     """
-    by_word, by_sent = Window.partitionBy(key, "word"), Window.partitionBy(key, "sent")
-    is_word = F.col("word").isNotNull()
-
-    def total(value: Column, over: Window) -> Column:
-        return F.sum(F.when(is_word, value).otherwise(0)).over(over)
-
-    out = rows.withColumn("n_words", F.count("word").over(by_sent)).withColumn(
-        "a", F.floor(F.lit(float(WEIGHT_ONE)) / F.sqrt(F.greatest(F.col("n_words"), F.lit(1))))
-    )
-    out = out.withColumn("word_a", total(F.col("a"), by_word))
-    out = out.withColumn("degree", F.col("a") * total(F.col("word_a") - F.col("a"), by_sent))
-    out = out.withColumn("score", F.lit(RANK_ONE).cast("long"))
-    base = (100 - DAMPING) * RANK_ONE // 100
-    for _ in range(rounds):
-        sent_out = F.expr(f"if(degree > 0, score * a * {FLOW_ONE} div degree, 0L)")
-        out = out.withColumn("flow", sent_out)
-        out = out.withColumn("word_flow", total(F.col("flow"), by_word))
-        out = out.withColumn("got", total(F.col("word_flow") - F.col("flow"), by_sent))
-        out = out.withColumn(
-            "score", F.expr(f"{base}L + {DAMPING}L * (a * got div {FLOW_ONE}) div 100L")
-        )
-    return out.drop("n_words", "a", "word_a", "degree", "flow", "word_flow", "got")
+    sents = texts.flatten()
+    n_sents = pc.list_value_length(texts).to_numpy(zero_copy_only=False)
+    n_words = pc.list_value_length(sents).to_numpy(zero_copy_only=False)
+    sent_of = np.repeat(np.arange(len(sents)), n_words)
+    text_of = np.repeat(np.arange(len(texts)), n_sents)[sent_of]
+    words = sents.flatten().dictionary_encode()
+    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    _, word_of = np.unique(text_of * (len(words.dictionary) + 1) + codes, return_inverse=True)
+    by_word = np.argsort(word_of, kind="stable")
+    word_ends = np.cumsum(np.bincount(word_of, minlength=1))
+    sent_ends = np.cumsum(n_words)
+
+    def totals(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        running = np.concatenate([[0], np.cumsum(values)])
+        return np.diff(running[ends], prepend=0)
+
+    def shared(per_sent: np.ndarray) -> np.ndarray:
+        """Sum, over the words of a sentence, of the other sentences' values."""
+        values = per_sent[sent_of]
+        return totals(totals(values[by_word], word_ends)[word_of] - values, sent_ends)
+
+    a = np.floor(WEIGHT_ONE / np.sqrt(np.maximum(n_words, 1))).astype(np.int64)
+    degree = a * shared(a)
+    score = np.full(len(sents), RANK_ONE, np.int64)
+    for _ in range(ROUNDS):
+        flow = np.where(degree > 0, score * a * FLOW_ONE // np.maximum(degree, 1), 0)
+        score = RANK_BASE + DAMPING * (a * shared(flow) // FLOW_ONE) // 100
+    ends = np.concatenate([[0], np.cumsum(n_sents)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(score, pa.int64()))
+
+
+_graph_ranks = F.arrow_udf(graph_ranks, T.ArrayType(T.LongType()))
 
 
 def summarize_textrank(
-    df: DataFrame,
-    key: str,
-    text: str,
-    keep: Sequence[str] = (),
-    max_words: int = MAX_WORDS,
-    rounds: int = ROUNDS,
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: int = MAX_WORDS
 ) -> DataFrame:
-    """Sentences ranked by graph rank."""
-    rows = _word_rows(df, key, text, keep, distinct=True)
-    scored = (
-        rank_sentences(rows, key, rounds)
-        .groupBy(key, "sent")
-        .agg(
-            F.max("score").alias("score"),
-            F.first("sentence", ignorenulls=True).alias("sentence"),
-            F.first("doc", ignorenulls=True).alias("doc"),
-        )
+    """Sentences ranked by graph rank: a projection, without any shuffle."""
+    ship_package(df.sparkSession)
+    split = df.select(key, *keep, sentences(F.col(text)).alias("_sents"))
+    word_sets = F.transform("_sents", lambda s: F.array_distinct(tokens(s)))
+    ranked = F.zip_with(
+        F.transform("_sents", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence"))),
+        "_ranks",
+        lambda s, rank: F.struct(
+            (-rank).alias("order"), s.sent.alias("sent"), s.sentence.alias("sentence")
+        ),
+    )
+    return split.withColumn("_ranks", _graph_ranks(word_sets)).select(
+        key, *keep, choose_sentences(F.array_sort(ranked), max_words).alias("prediction")
     )
-    return _assemble(scored, key, keep, max_words)
 
 
 def summarize_with(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from precis.functions.text import SENTENCE_END, SPACE, TOKEN, WORD_GAP
+from precis.functions.text import SENTENCE_END, TOKEN, WORD_GAP
 from precis.operators.rouge import POISSON_EDGES
 from precis.operators.summarize import (
     DAMPING,
@@ -11,13 +11,18 @@ from precis.operators.summarize import (
     MIN_CHARS,
     MIN_COUNT,
     NO_REPEAT,
+    RANK_BASE,
     RANK_ONE,
     ROUNDS,
     WEIGHT_ONE,
 )
 
 
-RANK_BASE = (100 - DAMPING) * RANK_ONE // 100
+# The characters of SPACES as a regular expression class.
+SPACE = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 
 def _split(number: str) -> str:

@@ -23,7 +23,7 @@ from precis.sources.pairs import (
     SPLITS,
     dialogue_from_turns,
     load_pairs,
-    pairs_from_documents,
+    read_documents,
     read_table,
 )
 from precis.streaming import scoring
@@ -60,7 +60,7 @@ def _vocab(pairs: DataFrame) -> DataFrame:
 
 
 def _document_requests(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select("doc_id", "text")
+    return read_documents(spark, d)
 
 
 def _turn_batches(spark: SparkSession, d: str) -> DataFrame:
@@ -258,14 +258,14 @@ def validation_status(spark, d):
 @query
 def tokens(spark, d):
     toks = T.tokens(F.col("text"))
-    return read_table(spark, d, "documents").select("doc_id", toks.alias("t")).select(
+    return read_documents(spark, d).select("doc_id", toks.alias("t")).select(
         "doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens")
     )
 
 
 @query
 def sentences(spark, d):
-    return read_table(spark, d, "documents").select(
+    return read_documents(spark, d).select(
         "doc_id", F.posexplode(T.sentences(F.col("text"))).alias("sent", "sentence")
     )
 
@@ -274,7 +274,7 @@ def sentences(spark, d):
 def ngrams(spark, d):
     grams = T.ngrams(T.tokens(F.col("text")), 2)
     return (
-        read_table(spark, d, "documents")
+        read_documents(spark, d)
         .select(F.explode(grams).alias("gram"))
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -283,7 +283,7 @@ def ngrams(spark, d):
 
 @query
 def clean_summary(spark, d):
-    return read_table(spark, d, "documents").select(
+    return read_documents(spark, d).select(
         "doc_id", T.tidy(T.strip(F.col("text"))).alias("cleaned")
     )
 
@@ -448,7 +448,7 @@ def rouge_bootstrap(spark, d):
 @query
 def metrics_rounded(spark, d):
     scores = EV.evaluate(load_pairs(spark, d), ["lead"], metrics=NGRAM_METRICS)
-    return scores.select("split", "metric", F.round("f1", 4).alias("f1")).orderBy("split", "metric")
+    return scores.select("split", "metric", F.round("f1", 4).alias("f1")).coalesce(1).sortWithinPartitions("split", "metric")
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from precis.functions.text import size_text
 from precis.operators.rouge import METRICS
+from precis.session import stage_table
 
 
 def file_sizes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -80,6 +81,6 @@ def metrics_wide(
 
 def write_metrics(wide: DataFrame, path: str) -> None:
     """The metric table (a row per model) as one CSV and one JSON file beside it."""
-    table = wide.coalesce(1)
+    table = stage_table(wide, "metrics").coalesce(1)
     table.write.mode("overwrite").option("header", True).csv(f"{path}.csv")
     table.write.mode("overwrite").json(f"{path}.json")

@@ -21,6 +21,20 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Deal a scan with fewer pieces than cores out by ``key``; leave any larger one in place.
+
+    ``table`` must be a scan without shuffles, so that counting its pieces is free.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
+def read_documents(spark: SparkSession, root: str) -> DataFrame:
+    """``(doc_id, text)`` of the documents, on all cores."""
+    return spread(read_table(spark, root, "documents").select("doc_id", "text"), "doc_id")
+
+
 def split_name(number: Column) -> Column:
     """Split of a row by its number."""
     place = F.pmod(number, F.lit(20))
@@ -77,6 +91,6 @@ def pairs_from_documents(documents: DataFrame) -> DataFrame:
 
 def load_pairs(spark: SparkSession, root: str) -> DataFrame:
     """All pairs of the provided conversations and documents."""
-    return pairs_from_documents(read_table(spark, root, "documents")).unionByName(
+    return pairs_from_documents(read_documents(spark, root)).unionByName(
         pairs_from_turns(read_table(spark, root, "conversations"))
     )
