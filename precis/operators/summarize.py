@@ -207,28 +207,33 @@ def summarize_tfidf(
     weighted = lookup_join(stage_table(pairs, "words"), idf, "word", weight="df").select(
         key, F.explode("sents").alias("sent"), (F.col("n") * F.col("idf")).alias("score")
     )
-    by_sentence = weighted.groupBy(key, "sent").agg(F.sum("score").alias("score"))
-    scores = by_sentence.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("sent", "score"))).alias("scores")
+    # Every sentence once with nothing, so that the sums line up with the sentences.
+    sents = df.select(key, sentences(F.col(text)).alias("_sents"))
+    nothing = sents.select(key, F.posexplode("_sents").alias("sent", "_sentence")).select(
+        key, "sent", F.lit(0).cast("long").alias("score")
     )
-    numbered = F.transform(
-        "sents",
-        lambda s, i: F.struct(
-            (-F.floor(F.coalesce(F.element_at("scores", i), F.lit(0)) / F.size(words(s)))).alias("order"),
-            i.alias("sent"),
+    scores = (
+        weighted.unionByName(nothing)
+        .groupBy(key, "sent")
+        .agg(F.sum("score").alias("score"))
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(F.struct("sent", "score"))).alias("_scores"))
+    )
+    ranked = F.zip_with(
+        "_scores",
+        "_sents",
+        lambda x, s: F.struct(
+            (-F.floor(x.score / F.size(words(s)))).alias("order"),
+            x.sent.alias("sent"),
             s.alias("sentence"),
         ),
     )
+    none = F.array().cast("array<struct<sent:int,score:bigint>>")
     return (
-        df.select(key, text, *keep)
+        df.select(key, *keep, sentences(F.col(text)).alias("_sents"))
         .join(scores, key, "left")
-        .withColumn("scores", F.coalesce("scores", F.expr("map(-1, 0L)")))
-        .withColumn("sents", sentences(F.col(text)))
-        .select(
-            key,
-            *keep,
-            choose_sentences(F.array_sort(numbered), max_words).alias("prediction"),
-        )
+        .withColumn("_scores", F.coalesce("_scores", none))
+        .select(key, *keep, choose_sentences(F.array_sort(ranked), max_words).alias("prediction"))
     )
 
 

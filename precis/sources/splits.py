@@ -75,9 +75,13 @@ def preview(df: DataFrame, key: str = "id", text: str = "dialogue", chars: int =
 
 
 def head_rows(df: DataFrame, k: int, key: str = "id") -> DataFrame:
-    """The first ``k`` rows of every split by key; each task forwards ``k`` rows per split."""
+    """The first ``k`` rows of every split by key.
+
+    Only keys are ranked, and each task forwards ``k`` of them per split.
+    """
     place = F.row_number().over(Window.partitionBy("split").orderBy(key))
-    return df.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+    first = df.select("split", key).withColumn("_place", place).where(F.col("_place") <= k)
+    return df.join(F.broadcast(first.drop("_place")), ["split", key])
 
 
 def row_at(df: DataFrame, position: int, key: str = "id") -> DataFrame:
