@@ -304,7 +304,7 @@ def summarize_with(
 ) -> DataFrame:
     """Plug-in model: adds ``prediction`` and ``error``.
 
-    ``load`` runs once per Python worker and returns a function from a list of
+    ``load`` runs once per task and returns a function from a list of
     texts to their summaries. When a batch fails its texts are tried one by one,
     so that an error stays on its own row. Blank texts never reach the model.
     """
@@ -325,7 +325,8 @@ def summarize_with(
                         out.at[i, "prediction"], out.at[i, "error"] = None, str(e)
             yield out
 
-    scored = df.withColumn("_out", run(F.col(text)))
+    # Marked so that a filter on the summary cannot make Spark run the model twice.
+    scored = df.withColumn("_out", run.asNondeterministic()(F.col(text)))
     return scored.withColumns(
         {"prediction": F.col("_out.prediction"), "error": F.col("_out.error")}
     ).drop("_out")
