@@ -10,8 +10,9 @@ from pyspark.sql.types import DataType
 
 from precis.session import stage_table
 
-# Broadcast heads hold at most this many keys of at most this many characters.
-HEAD_ROWS = 20_000
+# Broadcast heads hold at most this many keys of at most this many characters: a few
+# megabytes as a rule, 26 MB at worst.
+HEAD_ROWS = 100_000
 HEAD_KEY_CHARS = 64
 # Rows per block in two-level running aggregates.
 BLOCK_ROWS = 65_536

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -123,16 +124,20 @@ def train_sentence_model(
     spark = features.sparkSession
     features = stage_table(features.select("split", "label", *FEATURES), "features")
     train = features.where(F.col("split") == "train")
-    tried = []
-    for reg in grid:
-        steps = [
+    prepare = Pipeline(
+        stages=[
             VectorAssembler(inputCols=list(FEATURES), outputCol="raw"),
             StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-            LogisticRegression(regParam=reg, maxIter=25, standardization=False),
         ]
-        model = Pipeline(stages=steps).fit(train)
+    ).fit(train)
+    prepared = prepare.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    tried = []
+    for reg in grid:
+        fitted = LogisticRegression(regParam=reg, maxIter=25, standardization=False).fit(prepared)
+        model = PipelineModel([*prepare.stages, fitted])
         # One row per split comes back to the driver.
         tried += [(model, reg, r.split, r.n_sentences, r.log_loss) for r in log_loss(model, features).collect()]
+    prepared.unpersist()
     validated = [t for t in tried if t[2] == "validation"] or tried
     best = min(validated, key=lambda t: (t[4], t[1]))
     rows = [(reg, split, n, loss, reg == best[1]) for _, reg, split, n, loss in tried]
