@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precis.operators.skew import running_before, with_positions
+from precis.session import stage_table
 
 
 def best_step(history: DataFrame, run: str = "run", step: str = "step", loss: str = "loss") -> DataFrame:
@@ -28,11 +29,11 @@ def early_stop(
     and loss up to there. Runs of any length are spread over tasks.
     """
     known = history.where(F.col(loss).isNotNull()).select(run, step, loss)
-    placed = with_positions(known, [step], [run])
+    placed = stage_table(with_positions(known, [step], [run]), "history")
     seen = running_before(placed, [run], loss, "min", "_lowest")
     better = F.col("_lowest").isNull() | (F.col(loss) < F.col("_lowest"))
     record = F.struct("pos", F.col(step).alias("step"), F.col(loss).alias("loss"))
-    marked = seen.withColumn("_record", F.when(better, record))
+    marked = stage_table(seen.withColumn("_record", F.when(better, record)), "history")
     last = running_before(marked, [run], "_record", "max", "_earlier")
     best = F.coalesce("_record", "_earlier")
     stopped = F.when(

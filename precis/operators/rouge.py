@@ -27,6 +27,10 @@ def stem_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield toks.map(lambda row: [stem(t) if len(t) > 3 else t for t in row])
 
 
+# Marked so that Spark does not copy it into the filters it infers from an explode.
+stem_tokens = stem_tokens.asNondeterministic()
+
+
 @F.pandas_udf(T.IntegerType())
 def _lcs_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for ref, cand in batches:
@@ -84,29 +88,33 @@ def rouge_scores(
     """Overlap of ``pred`` and ``ref`` per row, in long form.
 
     Returns ``key, keep, metric, hits, n_pred, n_ref, precision, recall, f1``.
-    The rows move once, by ``key`` (not at all with ``colocate=False``, for input
-    already grouped by ``key``). N-gram counting then stays inside the tasks,
+    What needs Python comes first, row by row. Then the rows move once, by
+    ``key`` (not at all with ``colocate=False``, for input already grouped by
+    ``key``, when nothing needs Python). N-gram counting stays inside the tasks,
     with the other columns riding on one marker row per pair.
     """
     ship_package(df.sparkSession)
-    base = df.repartition(*key) if colocate else df
-    p, r = tokens(F.coalesce(pred, F.lit(""))), tokens(F.coalesce(ref, F.lit("")))
-    if stemmed:
-        p, r = stem_tokens(p), stem_tokens(r)
-    base = base.select(*key, *keep, p.alias("_p"), r.alias("_r"), F.col(pred).alias("_pred"), F.col(ref).alias("_ref"))
-    facts = [F.struct(*keep).alias("kept")] if keep else [F.struct(F.lit(1)).alias("kept")]
-    facts += [F.size("_p").alias("np"), F.size("_r").alias("nr")]
-    facts.append((_lcs_udf("_r", "_p") if "rougeL" in metrics else F.lit(0)).alias("lcs"))
-    if "rougeLsum" in metrics:
-        rl, pl = _line_tokens(F.coalesce("_ref", F.lit(""))), _line_tokens(F.coalesce("_pred", F.lit("")))
-        if stemmed:
-            rl, pl = _stem_lines(rl), _stem_lines(pl)
-        facts.append(_union_udf(rl, pl).alias("lsum"))
-    else:
-        facts.append(F.lit(0).alias("lsum"))
-    facts_row = base.select(*key, "_p", "_r", *facts).select(
-        *key, "_p", "_r", F.struct("kept", "np", "nr", "lcs", "lsum").alias("_doc")
+    p, r = F.coalesce(pred, F.lit("")), F.coalesce(ref, F.lit(""))
+    toks = (lambda c: stem_tokens(tokens(c))) if stemmed else tokens
+    lines = (lambda c: _stem_lines(_line_tokens(c))) if stemmed else _line_tokens
+    lcs = _lcs_udf(toks(r), toks(p)) if "rougeL" in metrics else F.lit(0)
+    lsum = _union_udf(lines(r), lines(p)) if "rougeLsum" in metrics else F.lit(0)
+    kept = F.struct(*keep) if keep else F.struct(F.lit(1))
+    base = df.select(
+        *key,
+        (toks(p) if stemmed else p).alias("_p"),
+        (toks(r) if stemmed else r).alias("_r"),
+        kept.alias("kept"),
+        lcs.alias("lcs"),
+        lsum.alias("lsum"),
     )
+    needs_python = stemmed or "rougeL" in metrics or "rougeLsum" in metrics
+    if colocate or needs_python:
+        base = base.repartition(*key)
+    if not stemmed:
+        base = base.withColumns({"_p": tokens(F.col("_p")), "_r": tokens(F.col("_r"))})
+    doc = F.struct("kept", F.size("_p").alias("np"), F.size("_r").alias("nr"), "lcs", "lsum")
+    facts_row = base.select(*key, "_p", "_r", doc.alias("_doc"))
 
     sizes = [n for n in (1, 2) if f"rouge{n}" in metrics]
     marks = [F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("side")))]
