@@ -138,7 +138,7 @@ def rouge_scores(
     scored = counted.groupBy(*key).agg(*hits, F.first("_doc", ignorenulls=True).alias("d"))
 
     def less(c: str, n: int) -> Column:
-        return F.greatest(F.col(c) - (n - 1), F.lit(0))
+        return F.greatest(F.col(c) - (n - 1), F.lit(0)).cast("long")
 
     per_metric = {
         "rouge1": (F.col("hits1"), 1),

@@ -156,7 +156,7 @@ def check_table(
     present = _rows(spark, [(s,) for s in columns], "split string")
     if profiled is None:
         profiled = profile(df, contract.text_columns)
-    counted = F.broadcast(present).join(profiled, "split", "left").fillna(0, ["n_rows"])
+    counted = present.join(profiled, "split", "left").fillna(0, ["n_rows"])
     for c in contract.text_columns:
         lacking = [s for s, names in columns.items() if c not in names]
         blanks = F.coalesce(f"{c}_blank", F.lit(0))

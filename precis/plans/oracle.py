@@ -243,6 +243,56 @@ def lcs_scores(source: str, name: str, metric: str = "rougeL") -> str:
 )"""
 
 
+def union_lcs_scores(source: str, name: str) -> str:
+    """ROUGE-Lsum rows for predictions of one line: LCS tables per reference line, then walked back."""
+    return f"""
+{name}_t AS MATERIALIZED (
+  SELECT id, split, {toks('prediction')} AS p, {toks('summary')} AS r,
+         list_filter(string_split(summary, chr(10)), lambda x: x <> '') AS ls FROM {source}
+),
+{name}_l AS MATERIALIZED (
+  SELECT id, line, p, {toks('text')} AS r
+  FROM (SELECT id, p, unnest(range(0, len(ls))) AS line, unnest(ls) AS text FROM {name}_t)
+),
+{name}_cells AS (
+  SELECT id, line, 0::BIGINT AS i, k, 0::BIGINT AS v FROM (SELECT id, line, unnest(range(1, len(r) + 1)) AS k FROM {name}_l)
+  UNION ALL
+  SELECT id, line, i, k, max(cell) OVER (PARTITION BY id, line ORDER BY k ROWS UNBOUNDED PRECEDING)
+  FROM (
+    SELECT id, line, i + 1 AS i, k,
+           greatest(v, CASE WHEN p[i + 1] = r[k] THEN 1 + lag(v, 1, 0) OVER (PARTITION BY id, line ORDER BY k) ELSE 0 END) AS cell
+    FROM {name}_cells JOIN {name}_l USING (id, line) WHERE i < len(p)
+  )
+),
+{name}_rows AS (SELECT id, line, i, list(v ORDER BY k) AS row FROM {name}_cells WHERE i > 0 GROUP BY ALL),
+{name}_table AS MATERIALIZED (
+  SELECT id, line, p, r, t FROM {name}_l JOIN (SELECT id, line, list(row ORDER BY i) AS t FROM {name}_rows GROUP BY ALL) USING (id, line)
+),
+{name}_walk AS (
+  SELECT id, line, len(r) AS a, len(p) AS b, NULL::VARCHAR AS found FROM {name}_table
+  UNION ALL
+  SELECT id, line, CASE WHEN same OR NOT along_p THEN a - 1 ELSE a END, CASE WHEN same OR along_p THEN b - 1 ELSE b END,
+         CASE WHEN same THEN token END
+  FROM (
+    SELECT w.id, w.line, a, b, r[a] AS token, r[a] = p[b] AS same,
+           (CASE WHEN b > 1 THEN t[b - 1][a] ELSE 0 END) > (CASE WHEN a > 1 THEN t[b][a - 1] ELSE 0 END) AS along_p
+    FROM {name}_walk w JOIN {name}_table x ON x.id = w.id AND x.line = w.line WHERE a > 0 AND b > 0
+  )
+),
+{name}_found AS (SELECT id, found AS token, count(*) AS n FROM {name}_walk WHERE found IS NOT NULL GROUP BY ALL),
+{name}_p AS (SELECT id, token, count(*) AS n FROM (SELECT id, unnest(p) AS token FROM {name}_t) GROUP BY ALL),
+{name}_r AS (SELECT id, token, count(*) AS n FROM (SELECT id, unnest(r) AS token FROM {name}_t) GROUP BY ALL),
+{name}_h AS (
+  SELECT id, sum(least(f.n, p.n, r.n)) AS hits FROM {name}_found f JOIN {name}_p p USING (id, token) JOIN {name}_r r USING (id, token) GROUP BY id
+),
+{name} AS (
+  SELECT id, split, 'rougeLsum' AS metric, hits, n_pred, n_ref, {PRF}
+  FROM (
+    SELECT id, split, coalesce(hits, 0)::BIGINT AS hits, len(p) AS n_pred, len(r) AS n_ref FROM {name}_t LEFT JOIN {name}_h USING (id)
+  )
+)"""
+
+
 def corpus(source: str, by: str, digits: int = 6) -> str:
     means = ", ".join(
         f"round(sum(CAST(round({c} * 1000000) AS BIGINT)) / (count(*) * 1000000.0::DOUBLE), {digits}) AS {c}"
@@ -426,7 +476,7 @@ sized AS (
               THEN round(2.0::DOUBLE * shared / (n_distinct + coalesce(n_ref, 0)), 6) ELSE 0 END AS overlap
   FROM per_sent p JOIN sents s USING (id, sent) LEFT JOIN ref_n USING (id)
 )
-SELECT id, split, sent, n_words, frequency, overlap,
+SELECT id, split, sent::INT AS sent, n_words, frequency, overlap,
        CASE WHEN row_number() OVER (PARTITION BY id ORDER BY overlap DESC, sent) <= 3 AND overlap > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
 FROM sized JOIN pairs USING (id)"""
     )
@@ -545,6 +595,7 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         "rouge1": with_(PAIRS, LEAD, ngram_scores("lead", 1, "s")) + "SELECT * FROM s",
         "rouge2": with_(PAIRS, LEAD, ngram_scores("lead", 2, "s")) + "SELECT * FROM s",
         "rougeL": with_(PAIRS, LEAD, lcs_scores("lead", "s"), recursive=True) + "SELECT * FROM s",
+        "rougeLsum": with_(PAIRS, LEAD, union_lcs_scores("lead", "s"), recursive=True) + "SELECT * FROM s",
         "rouge_corpus": with_(
             PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"), lcs_scores("lead", "sl"),
             recursive=True,
@@ -563,6 +614,9 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         + corpus("(SELECT * FROM s1 UNION ALL SELECT * FROM s2)", "split, metric")
         + ") GROUP BY split",
         "evaluate_models": compare_models(),
+        "batch_progress": pairs
+        + "SELECT split, group_no, count(*) AS n_rows, max(pos) + 1 AS done FROM (SELECT split, pos, pos // 8 // 50 AS group_no"
+        " FROM (SELECT split, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS pos FROM pairs)) GROUP BY ALL",
         "request_validation": f"SELECT doc_id, length(text)::INT AS n_chars, {STATUS.format(n='length(text)')} AS status FROM documents",
         "request_validation_trimmed": f"SELECT doc_id, length({strip('text')})::INT AS n_chars,"
         f" {STATUS.format(n='length(' + strip('text') + ')')} AS status FROM documents",

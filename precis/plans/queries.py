@@ -111,7 +111,7 @@ def save_splits(spark, d):
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.length("dialogue") + F.length("summary")).alias("n_chars"),
     )
-    return F.broadcast(present).join(sizes, "split", "left").fillna(0)
+    return present.join(sizes, "split", "left").fillna(0)
 
 
 @query
@@ -190,6 +190,11 @@ def batch_chunks(spark, d):
     return SP.batch_chunks(load_pairs(spark, d).select("id", "split"), BATCH)
 
 
+@query
+def batch_progress(spark, d):
+    return SP.batch_progress(SP.batch_chunks(load_pairs(spark, d).select("id", "split"), BATCH))
+
+
 # Validation
 
 

@@ -94,3 +94,11 @@ def batch_chunks(df: DataFrame, size: int, key: str = "id") -> DataFrame:
     """Number the batches of ``size`` consecutive rows of every split; the last may be short."""
     numbered = with_positions(df, [key], ["split"])
     return numbered.withColumn("chunk", F.floor(F.col("pos") / size))
+
+
+def batch_progress(chunks: DataFrame, every: int = 50) -> DataFrame:
+    """Rows done after each ``every`` batches of a split, and after its last batch."""
+    group = F.floor(F.col("chunk") / every).alias("group_no")
+    return chunks.groupBy("split", group).agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.max("pos") + 1).alias("done")
+    )
