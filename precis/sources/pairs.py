@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # A conversation with more turns than this continues in further rows, so that
 # no group and no text cell grows without bound.
-TURNS_PER_ROW = 100_000
+TURNS_PER_ROW = 10_000
 
 # Of every 20 consecutive numbers 18 train, 1 validates, 1 tests.
 SPLITS = ("train", "validation", "test")
