@@ -89,7 +89,7 @@ def summarize_lead(
 def _word_rows(df: DataFrame, key: str, text: str, keep: Sequence[str]) -> DataFrame:
     """Rows ``(key, sent, word, sentence, doc)`` of each text, co-located by key.
 
-    One row per word; one row per sentence with ``word`` NULL and the sentence;
+    One row per word of at least ``MIN_CHARS``; one row per sentence with ``word`` NULL and the sentence;
     one row per text with ``sent`` -1 and the kept columns.
     """
     doc = F.struct(*keep, F.lit(1).alias("_one"))
@@ -103,7 +103,7 @@ def _word_rows(df: DataFrame, key: str, text: str, keep: Sequence[str]) -> DataF
         "sentence",
         F.when(F.col("sent") == 0, F.col("doc")).alias("doc"),
     )
-    toks = tokens(F.coalesce("sentence", F.lit("")))
+    toks = F.filter(tokens(F.coalesce("sentence", F.lit(""))), lambda w: F.length(w) >= MIN_CHARS)
     return by_sentence.select(
         key, "sent", "sentence", "doc", F.explode(F.concat(F.array(none), toks)).alias("word")
     ).select(
@@ -152,7 +152,7 @@ def summarize_frequency(
         )
     )
     in_text = F.sum("n").over(Window.partitionBy(key, "word"))
-    counts = (F.length("word") >= MIN_CHARS) & (F.col("in_text") >= MIN_COUNT)
+    counts = F.col("word").isNotNull() & (F.col("in_text") >= MIN_COUNT)
     scored = (
         counted.withColumn("in_text", in_text)
         .groupBy(key, "sent")

@@ -192,15 +192,18 @@ def overall_status(checks: DataFrame) -> DataFrame:
 def report_json(checks: DataFrame) -> DataFrame:
     """The report as one JSON text: ``{"validation_status": …, "details": {key: passed}}``.
 
-    The group is the list of checks, whose number the contract sets.
+    An ``error`` shows its message instead. The group is the list of checks, whose
+    number the contract sets.
     """
-    details = F.map_from_entries(F.array_sort(F.collect_list(F.struct("check_key", "passed"))))
-    return checks.agg(
-        F.to_json(
-            F.struct(F.bool_and("passed").alias("validation_status"), details.alias("details")),
-            {"pretty": "true"},
-        ).alias("value")
+    quoted = F.to_json(F.array("detail"))
+    message = quoted.substr(F.lit(2), F.length(quoted) - 2)
+    shown = F.when(F.col("check_key") == "error", message).otherwise(F.col("passed").cast("string"))
+    entries = F.array_sort(F.collect_list(F.struct("check_key", shown.alias("shown"))))
+    details = F.map_from_entries(
+        F.transform(entries, lambda e: F.struct(e.check_key, F.parse_json(e.shown)))
     )
+    report = F.struct(F.bool_and("passed").alias("validation_status"), details.alias("details"))
+    return checks.agg(F.to_json(report, {"pretty": "true"}).alias("value"))
 
 
 def write_report(checks: DataFrame, path: str) -> None:

@@ -82,12 +82,16 @@ def test_report_file_and_gate(spark):
     V.write_report(ok, path)
     report = json.loads("\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect()))
     assert report["validation_status"] is True and len(report["details"]) == 21
+    assert set(report["details"].values()) == {True}
     V.require_valid(ok)
     bad = V.check_splits(spark, {"train": good(spark)}, CONTRACT)
     with pytest.raises(RuntimeError, match="split_test_exists"):
         V.require_valid(bad)
     gone = V.missing_dataset_report(spark, "/nowhere")
     assert V.overall_status(gone).first().validation_status is False
+    assert json.loads(V.report_json(gone).first().value) == {
+        "validation_status": False, "details": {"error": "Dataset directory not found: /nowhere"},
+    }
 
 
 def test_set_difference(spark):
