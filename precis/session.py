@@ -7,6 +7,7 @@ re-read and never a different result.
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 import zipfile
@@ -49,24 +50,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty marker file."""
+def write_file(spark: SparkSession, path: str, content: bytes = b"") -> None:
+    """Create one small file, such as a marker."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True).close()
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True)
+    out.write(bytearray(content))
+    out.close()
 
 
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application, by way of the shared folder."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="precis-package-")) / "precis.zip"
-    with zipfile.ZipFile(target, "w") as z:
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, file.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(target))
+    path = f"{scratch_path(spark, 'package')}/precis.zip"
+    write_file(spark, path, content.getvalue())
+    spark.sparkContext.addPyFile(path)
     _shipped.add(app)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from precis.operators.skew import with_positions
-from precis.session import path_exists, touch
+from precis.session import path_exists, write_file
 
 PAIR_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("id", "dialogue", "summary")]
@@ -53,7 +53,7 @@ def save_splits(df: DataFrame, root: str, names: Sequence[str]) -> None:
         path = f"{root}/split={name}"
         if not path_exists(spark, path):
             empty.write.parquet(path)
-    touch(spark, f"{root}/{DONE}")
+    write_file(spark, f"{root}/{DONE}")
 
 
 def ingest(df: DataFrame, root: str, names: Sequence[str]) -> bool:
