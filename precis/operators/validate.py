@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,32 +102,37 @@ def types_match(schemas: Mapping[str, T.StructType], spark: SparkSession, contra
     return _rows(spark, rows, CHECK_SCHEMA)
 
 
+def _check(suffix: str, passed: Column, detail: Column) -> Column:
+    key = F.concat(F.lit("split_"), "split", F.lit(suffix))
+    return F.struct(key.alias("check_key"), passed.alias("passed"), detail.alias("detail"))
+
+
+def _non_empty_check() -> Column:
+    return _check("_non_empty", F.col("n_rows") > 0, F.concat("n_rows", F.lit(" rows")))
+
+
+def _blank_checks(contract: Contract) -> list[Column]:
+    return [
+        _check(f"_{c}_no_nulls", F.col(f"{c}_blank") == 0, F.concat(f"{c}_blank", F.lit(" blank")))
+        for c in contract.text_columns
+    ]
+
+
+def _run_checks(profiled: DataFrame, contract: Contract, checks: Sequence[Column]) -> DataFrame:
+    """The checks of every required split present; those of absent columns are NULL and fall away."""
+    required = F.broadcast(required_splits(profiled.sparkSession, contract))
+    present = profiled.join(required, "split", "left_semi")
+    return present.select(F.inline(F.array(*checks))).where(F.col("passed").isNotNull())
+
+
 def non_empty(profiled: DataFrame, contract: Contract) -> DataFrame:
     """One check per required split present."""
-    return profiled.join(
-        F.broadcast(required_splits(profiled.sparkSession, contract)), "split", "left_semi"
-    ).select(
-        F.concat(F.lit("split_"), "split", F.lit("_non_empty")).alias("check_key"),
-        (F.col("n_rows") > 0).alias("passed"),
-        F.concat("n_rows", F.lit(" rows")).alias("detail"),
-    )
+    return _run_checks(profiled, contract, [_non_empty_check()])
 
 
 def no_blanks(profiled: DataFrame, contract: Contract) -> DataFrame:
     """One check per required split present and text column."""
-    required = F.broadcast(required_splits(profiled.sparkSession, contract))
-    return (
-        per_column(profiled, contract.text_columns)
-        .where(F.col("n_blank").isNotNull())
-        .join(required, "split", "left_semi")
-        .select(
-            F.concat(F.lit("split_"), "split", F.lit("_"), "column", F.lit("_no_nulls")).alias(
-                "check_key"
-            ),
-            (F.col("n_blank") == 0).alias("passed"),
-            F.concat("n_blank", F.lit(" blank")).alias("detail"),
-        )
-    )
+    return _run_checks(profiled, contract, _blank_checks(contract))
 
 
 def length_stats(profiled: DataFrame, text_columns: Sequence[str]) -> DataFrame:
@@ -166,8 +171,9 @@ def check_table(
     return (
         split_exists(present, contract)
         .unionByName(columns_present(columns, spark, contract))
-        .unionByName(non_empty(counted, contract))
-        .unionByName(no_blanks(counted, contract))
+        .unionByName(
+            _run_checks(counted, contract, [_non_empty_check(), *_blank_checks(contract)])
+        )
     )
 
 
