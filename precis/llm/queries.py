@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import simhash
+from precis.llm import simhash, token_files
+from precis.session import scratch_path
 from precis.sources.pairs import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,20 @@ def query(fn):
     return fn
 
 
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+@query
+def op5_token_files(spark, d):
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    docs = read_table(spark, d, "documents")
+    token_files.write_token_files(docs, "doc_id", "text", path, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_files.read_token_files(spark, path).withColumnRenamed("key", "doc_id")
+
+
 @query
 def op9_simhash_near_duplicates(spark, d):
     docs = read_table(spark, d, "documents")
