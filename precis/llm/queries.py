@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import simhash, token_files
+from precis.llm import decontaminate, oracles, simhash, token_files
 from precis.session import scratch_path
 from precis.sources.pairs import read_table
 
@@ -20,6 +20,16 @@ def query(fn):
     return fn
 
 
+@query
+def op2_decontamination(spark, d):
+    docs, benchmark = read_table(spark, d, "documents"), read_table(spark, d, "benchmark")
+    found = decontaminate.contamination(docs, "doc_id", "text", benchmark, "item_id", "text")
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "start", "similarity")
+
+
+ORACLES["op2_decontamination"] = oracles.DECONTAMINATION
+
+
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
