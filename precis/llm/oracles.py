@@ -45,3 +45,47 @@ SELECT doc_id, item_id, start - 1 AS start, similarity::DOUBLE AS similarity
 FROM scored WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
 """
+
+REPEATED_SPANS = f"""
+WITH cut AS (
+    SELECT doc_id, string_split(regexp_replace(coalesce(text, ''),
+        '([.!?][\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]*\\n[\\x20\\x09-\\x0D]*)', '\\1' || chr(1), 'g'), chr(1)) AS parts
+    FROM documents
+),
+parts AS (
+    SELECT doc_id, place, part, {_words("part")} AS words FROM (
+        SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM cut
+    )
+),
+sent AS (
+    SELECT *, row_number() OVER doc - 1 AS i, sum(len(words)) OVER doc AS until,
+        sum(len(words)) OVER doc - len(words) AS since
+    FROM parts WHERE len(words) > 0
+    WINDOW doc AS (PARTITION BY doc_id ORDER BY place)
+),
+docs AS (SELECT doc_id, flatten(list(words ORDER BY place)) AS words FROM parts GROUP BY doc_id),
+runs AS (
+    SELECT doc_id, i AS first, i AS last, since, until FROM sent WHERE len(words) >= 50
+    UNION
+    SELECT a.doc_id, a.i, min(b.i), a.since, min(b.until)
+    FROM sent a JOIN sent b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i + 1 AND a.i + 20 AND b.until - a.since >= 20
+    WHERE len(a.words) < 50 GROUP BY a.doc_id, a.i, a.since
+    UNION
+    SELECT a.doc_id, max(b.i), a.i, max(b.since), a.until
+    FROM sent a JOIN sent b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i - 20 AND a.i - 1 AND a.until - b.since >= 20
+    WHERE len(a.words) < 50 GROUP BY a.doc_id, a.i, a.until
+),
+named AS (SELECT doc_id, first, last, array_to_string(words[since + 1:until], ' ') AS run FROM runs JOIN docs USING (doc_id)),
+repeats AS (
+    SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, first) > 1
+),
+gone AS (
+    SELECT DISTINCT doc_id, place FROM repeats JOIN sent USING (doc_id) WHERE i BETWEEN first AND last
+)
+SELECT doc_id,
+    CASE WHEN any_value(d.text) IS NULL THEN NULL
+        ELSE string_agg(CASE WHEN gone.place IS NULL THEN part ELSE '' END, '' ORDER BY parts.place) END AS text,
+    (count(*) FILTER (WHERE len(words) > 0))::INTEGER AS n_sentences, count(gone.place)::INTEGER AS n_removed
+FROM parts JOIN documents d USING (doc_id) LEFT JOIN gone USING (doc_id, place)
+GROUP BY doc_id
+"""

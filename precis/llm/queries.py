@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import decontaminate, oracles, simhash, token_files
+from precis.llm import decontaminate, oracles, simhash, spans, token_files
 from precis.session import scratch_path
 from precis.sources.pairs import read_table
 
@@ -30,6 +30,12 @@ def op2_decontamination(spark, d):
 ORACLES["op2_decontamination"] = oracles.DECONTAMINATION
 
 
+@query
+def op4_repeated_spans(spark, d):
+    return spans.without_repeats(read_table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("key", "doc_id")
+
+
+ORACLES["op4_repeated_spans"] = oracles.REPEATED_SPANS
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
