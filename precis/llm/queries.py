@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import decontaminate, oracles, simhash, spans, token_files
+from precis.llm import bloom_lm, decontaminate, oracles, simhash, spans, token_files
 from precis.session import scratch_path
 from precis.sources.pairs import read_table
 
@@ -30,6 +30,18 @@ def op2_decontamination(spark, d):
 ORACLES["op2_decontamination"] = oracles.DECONTAMINATION
 
 
+def _remainder(key: str, n: int):
+    """crc32 of the key as text, modulo ``n``."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+@query
+def op3_bloom_lm(spark, d):
+    docs = read_table(spark, d, "documents")
+    found = bloom_lm.score(docs, "doc_id", "text", _remainder("doc_id", 7) != 2)
+    return found.withColumn("held_out", ~F.col("learned")).drop("learned").withColumnRenamed("key", "doc_id")
+
+
 @query
 def op4_repeated_spans(spark, d):
     return spans.without_repeats(read_table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("key", "doc_id")
