@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import bloom_lm, decontaminate, oracles, simhash, spans, token_files
+from precis.llm import bloom_lm, decontaminate, langid, oracles, simhash, spans, token_files
 from precis.session import scratch_path
 from precis.sources.pairs import read_table
 
@@ -20,6 +20,19 @@ def query(fn):
     return fn
 
 
+def _remainder(key: str, n: int):
+    """crc32 of the key as text, modulo ``n``."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+@query
+def op1_cross_parsing(spark, d):
+    docs = read_table(spark, d, "documents")
+    known = langid.samples(docs, "doc_id", "text", "lang", _remainder("doc_id", 5) != 0)
+    found = langid.identify(docs, "doc_id", "text", known).withColumnRenamed("key", "doc_id")
+    return found.withColumn("held_out", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(True)))
+
+
 @query
 def op2_decontamination(spark, d):
     docs, benchmark = read_table(spark, d, "documents"), read_table(spark, d, "benchmark")
@@ -30,11 +43,6 @@ def op2_decontamination(spark, d):
 ORACLES["op2_decontamination"] = oracles.DECONTAMINATION
 
 
-def _remainder(key: str, n: int):
-    """crc32 of the key as text, modulo ``n``."""
-    return F.crc32(F.col(key).cast("string").cast("binary")) % n
-
-
 @query
 def op3_bloom_lm(spark, d):
     docs = read_table(spark, d, "documents")
