@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import bloom_lm, decontaminate, langid, oracles, simhash, spans, token_files
-from precis.session import scratch_path
+from precis.llm import bloom_lm, decontaminate, langid, mixing, oracles, simhash, spans, token_files
+from precis.llm.words import counted
+from precis.session import scratch_path, stage_table
 from precis.sources.pairs import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +71,15 @@ def op5_token_files(spark, d):
     return token_files.read_token_files(spark, path).withColumnRenamed("key", "doc_id")
 
 
+@query
+def op6_entropy_mix(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "source", "text")
+    sized = stage_table(counted(docs, "text", "size").drop("text"), "mix-input")
+    mix = mixing.mixed(sized, "doc_id", "size", "source")
+    taken = F.col("size") * F.col("copies")
+    return mix.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 @query
 def op9_simhash_near_duplicates(spark, d):
     docs = read_table(spark, d, "documents")
