@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import bloom_lm, decontaminate, langid, mixing, oracles, simhash, spans, token_files
+from precis.llm import bloom_lm, decontaminate, langid, mixing, oracles, quality, simhash, spans, token_files
 from precis.llm.words import counted
 from precis.session import scratch_path, stage_table
 from precis.sources.pairs import read_table
@@ -80,6 +80,12 @@ def op6_entropy_mix(spark, d):
     return mix.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+@query
+def op7_weak_supervision(spark, d):
+    found = quality.verdicts(read_table(spark, d, "documents"), "doc_id", "text")
+    return found.withColumnRenamed("key", "doc_id")
+
+
 @query
 def op9_simhash_near_duplicates(spark, d):
     docs = read_table(spark, d, "documents")
