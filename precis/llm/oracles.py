@@ -89,3 +89,28 @@ SELECT doc_id,
 FROM parts JOIN documents d USING (doc_id) LEFT JOIN gone USING (doc_id, place)
 GROUP BY doc_id
 """
+
+
+def url_filter(sites, words) -> str:
+    """Statement of the URL query for its rules."""
+    listed = ", ".join(f"('{v}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{r}')" for v, r in sites)
+    spam = " OR ".join(f"contains(host, '{w}')" for w in words)
+    return f"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+),
+rules(verdict, site, start, rule) AS (VALUES {listed}),
+fits AS (
+    SELECT page_id, r.verdict, r.rule FROM parts JOIN rules r
+    ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, start)
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(r.rule) DESC) = 1
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN {spam} THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN fits USING (page_id)
+"""

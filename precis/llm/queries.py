@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import bloom_lm, decontaminate, langid, mixing, oracles, quality, simhash, spans, token_files
+from precis.llm import bloom_lm, decontaminate, langid, mixing, oracles, quality, simhash, spans, token_files, url_filter
 from precis.llm.words import counted
 from precis.session import scratch_path, stage_table
 from precis.sources.pairs import read_table
@@ -86,6 +86,28 @@ def op7_weak_supervision(spark, d):
     return found.withColumnRenamed("key", "doc_id")
 
 
+# The rules of the query, and words that hosts of spam carry.
+SITES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+SPAM_WORDS = ("casino", "cheap-pills", "spam-farm")
+
+
+@query
+def op8_url_filter(spark, d):
+    globs = url_filter.site_globs(SITES) + url_filter.word_globs(SPAM_WORDS)
+    found = url_filter.filtered(read_table(spark, d, "pages"), "page_id", "url", globs)
+    site = F.col("rule").isin([rule for _, rule in SITES])
+    return found.withColumn("rule", F.when(site, F.col("rule"))).withColumnRenamed("key", "page_id")
+
+
+ORACLES["op8_url_filter"] = oracles.url_filter(SITES, SPAM_WORDS)
+
+
 @query
 def op9_simhash_near_duplicates(spark, d):
     docs = read_table(spark, d, "documents")
