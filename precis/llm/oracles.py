@@ -114,3 +114,69 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN {spam} THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
+
+
+QUOTATION_LINKING = f"""
+WITH RECURSIVE msgs AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) - 1 AS pos
+    FROM conversations
+),
+raw AS (
+    SELECT conv_id, pos, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM msgs
+),
+led AS (SELECT *, regexp_extract(line, '^[ \\t]*>[> \\t]*') AS lead_ FROM raw),
+lines AS (
+    SELECT conv_id, pos, i, line, length(lead_) - length(replace(lead_, '>', '')) AS level,
+        {_words("substr(line, length(lead_) + 1)")} AS words
+    FROM led
+),
+grouped AS (SELECT *, i - row_number() OVER (PARTITION BY conv_id, pos, level ORDER BY i) AS passage FROM lines),
+units AS (
+    SELECT conv_id, pos, level, true AS whole, array_to_string(flatten(list(words ORDER BY i)), ' ') AS s
+    FROM grouped GROUP BY conv_id, pos, level, CASE WHEN level > 0 THEN passage END
+    HAVING len(flatten(list(words))) > 0
+    UNION ALL
+    SELECT conv_id, pos, level, false, array_to_string(words, ' ') FROM lines WHERE len(words) >= 3
+),
+found AS (
+    SELECT q.conv_id, q.pos, q.level, q.whole, max(o.pos) AS linked
+    FROM (SELECT *, row_number() OVER () AS unit FROM units WHERE level > 0) q
+    JOIN units o ON o.conv_id = q.conv_id AND o.level = 0 AND o.s = q.s AND o.pos < q.pos
+    GROUP BY q.conv_id, q.pos, q.level, q.whole, q.unit
+),
+links AS (
+    SELECT conv_id, pos, linked FROM (
+        SELECT conv_id, pos, level, whole, linked, count(*) AS n FROM found GROUP BY ALL
+    )
+    QUALIFY row_number() OVER (PARTITION BY conv_id, pos ORDER BY level, whole DESC, n DESC, linked DESC) = 1
+),
+nodes AS (
+    SELECT m.conv_id, m.pos, coalesce(linked, CASE WHEN m.pos > 0 THEN m.pos - 1 END) AS parent
+    FROM msgs m LEFT JOIN links l ON m.conv_id = l.conv_id AND m.pos = l.pos
+),
+paths AS (
+    SELECT conv_id, pos, parent, [pos] AS path FROM nodes WHERE parent IS NULL
+    UNION ALL
+    SELECT n.conv_id, n.pos, n.parent, list_append(p.path, n.pos)
+    FROM nodes n JOIN paths p ON n.conv_id = p.conv_id AND n.parent = p.pos
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY path) - 1 AS position FROM paths),
+bodies AS (
+    SELECT conv_id, pos, max(level) > 0 AS quotes,
+        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE level = 0), '') AS body
+    FROM lines GROUP BY conv_id, pos
+),
+counts AS (SELECT conv_id, pos, count(*) AS n FROM units WHERE level > 0 GROUP BY conv_id, pos)
+SELECT m.conv_id, m.turn, m.role, a.position, b.position AS reply_to, coalesce(c.n, 0)::INTEGER AS n_quotes,
+    '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || replace(
+        CASE WHEN quotes THEN regexp_replace(body, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') ELSE body END,
+        '<|', '< |') || '<|end|>' || chr(10) AS text
+FROM msgs m
+JOIN placed a ON a.conv_id = m.conv_id AND a.pos = m.pos
+LEFT JOIN placed b ON b.conv_id = a.conv_id AND b.pos = a.parent
+JOIN bodies t ON t.conv_id = m.conv_id AND t.pos = m.pos
+LEFT JOIN counts c ON c.conv_id = m.conv_id AND c.pos = m.pos
+"""

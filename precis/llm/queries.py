@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import bloom_lm, decontaminate, langid, mixing, oracles, quality, simhash, spans, token_files, url_filter
+from precis.llm import bloom_lm, chat, decontaminate, langid, mixing, oracles, quality, simhash, spans, token_files, url_filter
 from precis.llm.words import counted
 from precis.session import scratch_path, stage_table
 from precis.sources.pairs import read_table
@@ -117,3 +117,12 @@ def op9_simhash_near_duplicates(spark, d):
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op10_quotation_linking(spark, d):
+    talk = read_table(spark, d, "conversations")
+    return chat.reply_ordered(talk, "conv_id", "turn", "role", "text").withColumnRenamed("conv", "conv_id")
+
+
+ORACLES["op10_quotation_linking"] = oracles.QUOTATION_LINKING
