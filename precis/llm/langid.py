@@ -77,7 +77,7 @@ class Tables(NamedTuple):
     names: list[str]
     bits: np.ndarray  # per phrase of each language
     codes: np.ndarray  # code of every code point
-    step: np.ndarray  # 2 * next state + 1 if a phrase ended, at state * letters + code
+    step: np.ndarray  # 4 * next state + phrases ended, at state * letters + code
     start: np.ndarray  # start state of each language
     letters: int
 
@@ -103,8 +103,12 @@ def build(samples: dict[str, str]) -> Tables:
         for state, moves in enumerate(own):
             for c, to in moves.items():
                 table[state, code[c]] = to
-        begin = np.where(table[0] >= 0, table[0], 0)
-        rows.append(np.where(table >= 0, 2 * (table + at), 2 * (begin[None, :] + at) + 1).astype(np.int32))
+        # A failed match ends a phrase; a character that no phrase begins with is one more.
+        strange = table[0] < 0
+        again = 4 * (np.where(strange, 0, table[0]) + at) + 1 + strange
+        moves = np.where(table >= 0, 4 * (table + at), again[None, :])
+        moves[0] = np.where(strange, 4 * at + 1, moves[0])
+        rows.append(moves.astype(np.int32))
         at += len(own)
     bits = np.log2([max(2, len(t)) for t in folded.values()])
     step = np.concatenate(rows) if rows else np.zeros((0, letters), np.int32)
@@ -136,9 +140,9 @@ def _phrases(tables: Tables, codes: np.ndarray, bounds: np.ndarray) -> np.ndarra
         for t in range(steps):
             n = int(active[t])
             move = tables.step[state[:, :n] * tables.letters + codes[begin[:n] + t]]
-            ended[:, :n] += move & 1
-            state[:, :n] = move >> 1
-        np.add.at(out, row, ended.T + 1)
+            ended[:, :n] += move & 3
+            state[:, :n] = move >> 2
+        np.add.at(out, row, (ended + (state != tables.start[:, None])).T)
     return out
 
 
