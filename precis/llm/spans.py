@@ -126,6 +126,8 @@ def without_repeats(
     found = stage_table(_hashed(own, min_sentences, min_words, long_sentence), "runs")
     owner = found.groupBy("h").agg(F.min(F.struct("key", "first")).alias("owner"), F.count(F.lit(1)).alias("n"))
     owner = owner.where("n > 1").select("h", F.col("owner.key").alias("_key"), F.col("owner.first").alias("_first"))
+    # A table of its own, so that the join can split a hash that very many runs have.
+    owner = stage_table(owner, "owners")
     repeats = found.join(owner, "h").where("key != _key or first != _first")
     gone = repeats.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("gone"))
     marked = rows.join(gone, "key", "left").select(
