@@ -8,10 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A conversation with more turns than this continues in further rows, so that
-# no group and no text cell grows without bound.
-TURNS_PER_ROW = 10_000
-
 # Of every 20 consecutive numbers 18 train, 1 validates, 1 tests.
 SPLITS = ("train", "validation", "test")
 
@@ -21,18 +17,9 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Deal a scan with fewer pieces than cores out by ``key``; leave any larger one in place.
-
-    ``table`` must be a scan without shuffles, so that counting its pieces is free.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
-
-
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """``(doc_id, text)`` of the documents, on all cores."""
-    return spread(read_table(spark, root, "documents").select("doc_id", "text"), "doc_id")
+    """``(doc_id, text)`` of the documents."""
+    return read_table(spark, root, "documents").select("doc_id", "text")
 
 
 def split_name(number: Column) -> Column:
@@ -42,13 +29,11 @@ def split_name(number: Column) -> Column:
 
 
 def _grouped_turns(turns: DataFrame) -> DataFrame:
-    """Turns of each conversation (or continuation of a very long one), in order."""
-    part = F.floor(F.col("turn") / TURNS_PER_ROW)
-    tail = F.when(F.col("part") > 0, F.concat(F.lit("/"), F.col("part"))).otherwise("")
+    """Turns of each conversation, in order: what its one output row holds."""
     return (
-        turns.groupBy("conv_id", part.alias("part"))
+        turns.groupBy("conv_id")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-        .withColumn("id", F.concat(F.lit("conv-"), F.col("conv_id"), tail))
+        .withColumn("id", F.concat(F.lit("conv-"), F.col("conv_id")))
     )
 
 

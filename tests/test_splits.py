@@ -1,5 +1,8 @@
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from precis.plans import oracle
 from precis.session import path_exists, scratch_path
 from precis.sources import artifacts as A
 from precis.sources import pairs as P
@@ -65,16 +68,33 @@ def test_batches(pairs):
     assert [i for _, i in sorted(by["train", 1])] == [f"train-{i:03d}" for i in range(8, 16)]
 
 
-def test_turns(spark, monkeypatch):
+def test_turns(spark):
     turns = [(1, 2, "assistant", "C"), (1, 0, "user", "A"), (1, 1, "user", "B\nb"), (2, 0, "user", "x"), (3, 0, "assistant", "y")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     got = {r.id: r.dialogue for r in P.dialogue_from_turns(df).collect()}
     assert got["conv-1"] == "user: A\nuser: B\nb\nassistant: C"
     pair = P.pairs_from_turns(df).collect()
     assert [(r.id, r.dialogue, r.summary, r.split) for r in pair] == [("conv-1", "user: A\nuser: B\nb", "C", "train")]
-    monkeypatch.setattr(P, "TURNS_PER_ROW", 2)
-    got = {r.id: r.dialogue for r in P.dialogue_from_turns(df).collect()}
-    assert got["conv-1"] == "user: A\nuser: B\nb" and got["conv-1/1"] == "assistant: C"
+
+
+@pytest.mark.parametrize("n", [10_001, 25_000])
+def test_long_conversations_make_one_pair(spark, tmp_path, n):
+    """The true last turn is the summary, as in the statement on the same rows."""
+    rows = spark.range(n).select(
+        F.lit(4).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == (n - 1) % 2, "assistant").otherwise("user").alias("role"),
+        F.concat(F.lit("said "), "id").alias("text"),
+    )
+    got = P.pairs_from_turns(rows).collect()
+    assert [r.summary for r in got] == [f"said {n - 1}"]
+    con = duckdb.connect()
+    rows.coalesce(1).write.parquet(str(tmp_path / "talk"))
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/talk/*.parquet'")
+    con.execute("CREATE VIEW documents AS SELECT 1 AS doc_id, 'no line' AS text")
+    want = con.execute(oracle.oracle_sql()["load_splits"]).fetchall()
+    assert [(r.id, r.split, r.dialogue, r.summary) for r in got] == want
+    assert P.dialogue_from_turns(rows).first().n_turns == n
 
 
 def test_latest_artifact_sorts_numbers(spark):
