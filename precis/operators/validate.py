@@ -118,6 +118,12 @@ def _blank_checks(contract: Contract) -> list[Column]:
     ]
 
 
+def counted(profiled: DataFrame, present: Sequence[str]) -> DataFrame:
+    """A profile with a row for each split present, empty ones with 0 rows."""
+    names = _rows(profiled.sparkSession, [(s,) for s in present], "split string")
+    return names.join(profiled, "split", "left").fillna(0, ["n_rows"])
+
+
 def _run_checks(profiled: DataFrame, contract: Contract, checks: Sequence[Column]) -> DataFrame:
     """The checks of every required split present; those of absent columns are NULL and fall away."""
     required = F.broadcast(required_splits(profiled.sparkSession, contract))
@@ -125,9 +131,9 @@ def _run_checks(profiled: DataFrame, contract: Contract, checks: Sequence[Column
     return present.select(F.inline(F.array(*checks))).where(F.col("passed").isNotNull())
 
 
-def non_empty(profiled: DataFrame, contract: Contract) -> DataFrame:
-    """One check per required split present."""
-    return _run_checks(profiled, contract, [_non_empty_check()])
+def non_empty(profiled: DataFrame, present: Sequence[str], contract: Contract) -> DataFrame:
+    """One check per required split present; ``present`` names them, as an empty one has no profile."""
+    return _run_checks(counted(profiled, present), contract, [_non_empty_check()])
 
 
 def no_blanks(profiled: DataFrame, contract: Contract) -> DataFrame:
@@ -161,29 +167,38 @@ def check_table(
     present = _rows(spark, [(s,) for s in columns], "split string")
     if profiled is None:
         profiled = profile(df, contract.text_columns)
-    counted = present.join(profiled, "split", "left").fillna(0, ["n_rows"])
+    sized = counted(profiled, list(columns))
     for c in contract.text_columns:
         lacking = [s for s, names in columns.items() if c not in names]
         blanks = F.coalesce(f"{c}_blank", F.lit(0))
-        counted = counted.withColumn(
+        sized = sized.withColumn(
             f"{c}_blank", F.when(~F.col("split").isin(lacking), blanks) if lacking else blanks
         )
     return (
         split_exists(present, contract)
         .unionByName(columns_present(columns, spark, contract))
         .unionByName(
-            _run_checks(counted, contract, [_non_empty_check(), *_blank_checks(contract)])
+            _run_checks(sized, contract, [_non_empty_check(), *_blank_checks(contract)])
         )
     )
 
 
 def check_splits(spark: SparkSession, splits: Mapping[str, DataFrame], contract: Contract) -> DataFrame:
-    """All checks of separately loaded splits. Absent columns and splits become failed checks."""
+    """All checks of separately loaded splits, types included.
+
+    Absent columns and splits become failed checks. A column of another type is
+    counted as text, so that its split can still be checked.
+    """
     columns = {s: df.columns for s, df in splits.items()}
-    empty = spark.createDataFrame([], contract.schema)
-    known = {s: df.select(*[c for c in contract.schema.names if c in df.columns]) for s, df in splits.items()}
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in contract.schema.names])
+    empty = spark.createDataFrame([], texts)
+    known = {
+        s: df.select(*[F.col(c).cast("string").alias(c) for c in texts.names if c in df.columns])
+        for s, df in splits.items()
+    }
     table = union_splits({**known, "": empty}).where(F.col("split") != "")
-    return check_table(table, columns, contract)
+    types = types_match({s: df.schema for s, df in splits.items()}, spark, contract)
+    return check_table(table, columns, contract).unionByName(types)
 
 
 def overall_status(checks: DataFrame) -> DataFrame:
@@ -219,7 +234,7 @@ def write_report(checks: DataFrame, path: str) -> None:
 
 def missing_dataset_report(spark: SparkSession, path: str) -> DataFrame:
     """The single failed check of a dataset directory that does not exist."""
-    return _rows(spark, [("error", False, f"Dataset directory not found: {path}")], CHECK_SCHEMA)
+    return _rows(spark, [("error", False, f"no dataset below {path}")], CHECK_SCHEMA)
 
 
 def require_valid(checks: DataFrame) -> None:

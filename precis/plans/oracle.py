@@ -359,17 +359,68 @@ profile AS (
   ) c GROUP BY ALL
 )"""
 
-REQUIRED = "required AS (SELECT unnest(['train', 'test', 'validation']) AS split)"
+# The splits that the validation queries look at: those of the pairs, an empty one, and
+# one whose summaries are numbers. Types come from the catalogue and the values.
+CHECKED = """
+required AS (SELECT unnest(['train', 'test', 'validation', 'empty', 'numbers', 'absent']) AS split),
+registry AS (SELECT unnest(['train', 'test', 'validation', 'empty', 'numbers']) AS split),
+wanted AS (SELECT unnest(['id', 'dialogue', 'summary', 'speaker']) AS col),
+columns AS (
+  SELECT split, column_name AS col, lower(data_type) AS kind
+  FROM registry, (SELECT * FROM (DESCRIBE SELECT id, dialogue, summary FROM pairs) d(column_name, data_type, a, b, c, e))
+  WHERE split <> 'numbers'
+  UNION ALL
+  SELECT 'numbers', CASE column_name WHEN 'doc_id' THEN 'id' WHEN 'text' THEN 'dialogue' ELSE 'summary' END,
+         CASE column_name WHEN 'doc_id' THEN 'varchar' ELSE lower(data_type) END
+  FROM information_schema.columns WHERE table_name = 'documents' AND column_name IN ('doc_id', 'text', 'n_chars')
+),
+typed AS (SELECT split, col, CASE kind WHEN 'varchar' THEN 'string' ELSE kind END AS kind FROM columns),
+all_rows AS (
+  SELECT split, dialogue, summary FROM pairs
+  UNION ALL SELECT 'numbers', text, n_chars::VARCHAR FROM documents
+),
+split_sizes AS (SELECT g.split, count(r.split) AS n_rows FROM registry g LEFT JOIN all_rows r ON r.split = g.split GROUP BY g.split),
+exists_checks AS (
+  SELECT 'split_' || split || '_exists' AS check_key, split IN (SELECT split FROM registry) AS passed, NULL::VARCHAR AS detail FROM required
+),
+column_checks AS (
+  SELECT 'split_' || g.split || '_col_' || w.col AS check_key, c.col IS NOT NULL AS passed, NULL::VARCHAR AS detail
+  FROM registry g CROSS JOIN wanted w LEFT JOIN typed c ON c.split = g.split AND c.col = w.col
+),
+type_checks AS (
+  SELECT 'split_' || split || '_' || col || '_type' AS check_key, kind = 'string' AS passed, kind || ', expected string' AS detail FROM typed
+),
+non_empty_checks AS (SELECT 'split_' || split || '_non_empty' AS check_key, n_rows > 0 AS passed, n_rows || ' rows' AS detail FROM split_sizes)"""
+
+
+def blank_checks(source: str, splits: str) -> str:
+    """No-blank checks of ``source(split, dialogue, summary)`` for the splits of a table."""
+    blank = f"(value IS NULL OR regexp_full_match(value, '{SPACE}*'))"
+    return f"""
+  SELECT 'split_' || split || '_' || col || '_no_nulls' AS check_key, n = 0 AS passed, n || ' blank' AS detail
+  FROM (
+    SELECT g.split, col, count(*) FILTER (WHERE v.split IS NOT NULL AND {blank}) AS n
+    FROM {splits} g CROSS JOIN (SELECT unnest(['dialogue', 'summary']) AS col) c
+    LEFT JOIN (
+      SELECT split, 'dialogue' AS name, dialogue AS value FROM {source} UNION ALL SELECT split, 'summary', summary FROM {source}
+    ) v ON v.split = g.split AND v.name = c.col GROUP BY ALL
+  )"""
+
 
-CHECKS = f"""{PROFILE}, {REQUIRED},
+REPORT = f"""{CHECKED},
 checks AS (
-  SELECT 'split_' || split || '_exists' AS check_key, split IN (SELECT split FROM pairs) AS passed, NULL::VARCHAR AS detail FROM required
-  UNION ALL
-  SELECT 'split_' || split || '_col_' || c, true, NULL FROM required, (SELECT unnest(['id', 'dialogue', 'summary']) AS c)
+  SELECT * FROM exists_checks UNION ALL SELECT * FROM column_checks UNION ALL SELECT * FROM type_checks
+  UNION ALL SELECT * FROM non_empty_checks UNION ALL {blank_checks("all_rows", "registry")}
+),
+own AS (SELECT unnest(['train', 'test', 'validation']) AS split),
+plain_checks AS (
+  SELECT check_key, passed FROM exists_checks WHERE split_part(check_key, '_', 2) IN (SELECT split FROM own)
   UNION ALL
-  SELECT 'split_' || split || '_non_empty', count(*) > 0, count(*) || ' rows' FROM pairs GROUP BY split
+  SELECT check_key, passed FROM column_checks
+  WHERE split_part(check_key, '_', 2) IN (SELECT split FROM own) AND NOT ends_with(check_key, 'speaker')
   UNION ALL
-  SELECT 'split_' || split || '_' || p.column || '_no_nulls', n_blank = 0, n_blank || ' blank' FROM profile p
+  SELECT 'split_' || split || '_non_empty', (SELECT count(*) FROM pairs p WHERE p.split = own.split) > 0 FROM own
+  UNION ALL SELECT check_key, passed FROM ({blank_checks("pairs", "own")})
 )"""
 
 BATCHES = """
@@ -406,7 +457,10 @@ def bootstrap() -> str:
         weight += f" WHEN draw < '{edge}' THEN {k}"
     weight += f" ELSE {len(POISSON_EDGES)} END"
     return (
-        with_(PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"))
+        with_(
+            PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"), lcs_scores("lead", "sl"),
+            union_lcs_scores("lead", "su"), recursive=True,
+        )
         + f""",
 draws AS (
   SELECT id, four * 4 + place AS replicate, substr(digest, 8 * place + 1, 8) AS draw
@@ -415,7 +469,7 @@ draws AS (
 weights AS (SELECT id, replicate, {weight} AS w FROM draws),
 means AS (
   SELECT split, metric, replicate, sum(w * CAST(round(f1 * 1000000) AS BIGINT)) / (sum(w) * 1000000.0::DOUBLE) AS mean
-  FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2) JOIN weights USING (id) WHERE w > 0 GROUP BY ALL
+  FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM sl UNION ALL SELECT * FROM su) JOIN weights USING (id) WHERE w > 0 GROUP BY ALL
 )
 SELECT split, metric, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.5), 6) AS mid,
        round(quantile_cont(mean, 0.975), 6) AS high
@@ -423,25 +477,29 @@ FROM means GROUP BY ALL"""
     )
 
 
-def compare_models() -> str:
+def compared() -> str:
+    """Mean scores of all methods, as table ``scores(model, split, metric, n_pairs, precision, recall, f1)``."""
     methods = ("lead", "frequency", "tfidf", "textrank")
-    union = " UNION ALL ".join(f"SELECT '{m}' AS model, * FROM {m}" for m in methods)
-    key = "model, id"
+    union = " UNION ALL ".join(f"SELECT '{m}/' || id AS id, split, prediction, summary FROM {m}" for m in methods)
+    scored = " UNION ALL ".join(f"SELECT split_part(id, '/', 1) AS model, * FROM {t}" for t in ("s1", "s2", "sl", "su"))
     return (
         with_(
             PAIRS, LEAD, SENTENCES, FREQUENCY, chosen("frequency"), TFIDF, chosen("tfidf"),
             textrank(), chosen("textrank", str(RANK_BASE)),
             f"\npredicted AS MATERIALIZED ({union})",
-            ngram_scores("predicted", 1, "s1", key), ngram_scores("predicted", 2, "s2", key),
+            ngram_scores("predicted", 1, "s1"), ngram_scores("predicted", 2, "s2"),
+            lcs_scores("predicted", "sl"), union_lcs_scores("predicted", "su"),
             recursive=True,
         )
-        + f""",
-scores AS ({corpus('(SELECT * FROM s1 UNION ALL SELECT * FROM s2)', 'model, split, metric')})
-SELECT model, split, max(f1) FILTER (WHERE metric = 'rouge1') AS rouge1, max(f1) FILTER (WHERE metric = 'rouge2') AS rouge2
-FROM scores GROUP BY ALL"""
+        + f",\nscores AS ({corpus(f'({scored})', 'model, split, metric')})\n"
     )
 
 
+def wide(columns: str = "model, split") -> str:
+    kinds = ", ".join(f"max(f1) FILTER (WHERE metric = '{m}') AS {m}" for m in ("rouge1", "rouge2", "rougeL", "rougeLsum"))
+    return f"SELECT {columns}, {kinds} FROM scores GROUP BY ALL"
+
+
 def compute_metrics() -> str:
     texts = """
 texts AS MATERIALIZED (SELECT p.id, 'all' AS split, p.text AS prediction, r.text AS summary FROM pt p JOIN rt r USING (id))"""
@@ -541,25 +599,19 @@ WHERE d.doc_id IS NULL OR l.doc_id IS NULL""",
         + "SELECT split, id, dialogue FROM pairs QUALIFY row_number() OVER (PARTITION BY split ORDER BY id) = 2",
         "batch_chunks": pairs
         + "SELECT id, split, pos, pos // 8 AS chunk FROM (SELECT id, split, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS pos FROM pairs)",
-        "split_exists_check": with_(PAIRS, REQUIRED)
-        + "SELECT 'split_' || split || '_exists' AS check_key, split IN (SELECT split FROM pairs) AS passed FROM required",
-        "column_check": pairs
-        + "SELECT split, 'split_' || split || '_col_' || c AS check_key, true AS passed, n_rows"
-        " FROM (SELECT split, count(*) AS n_rows FROM pairs GROUP BY split), (SELECT unnest(['id', 'dialogue', 'summary']) AS c)",
-        "type_check": pairs
-        + "SELECT split, 'split_' || split || '_' || c || '_type' AS check_key, true AS passed,"
-        " 'string, expected string' AS detail, n_rows"
-        " FROM (SELECT split, count(*) AS n_rows FROM pairs GROUP BY split), (SELECT unnest(['id', 'dialogue', 'summary']) AS c)",
-        "non_empty_check": pairs
-        + "SELECT 'split_' || split || '_non_empty' AS check_key, count(*) > 0 AS passed, count(*) || ' rows' AS detail FROM pairs GROUP BY split",
-        "split_counts": pairs + "SELECT split, count(*) AS n_rows FROM pairs GROUP BY split",
+        "split_exists_check": with_(PAIRS, CHECKED) + "SELECT check_key, passed FROM exists_checks",
+        "column_check": with_(PAIRS, CHECKED) + "SELECT check_key, passed FROM column_checks",
+        "type_check": with_(PAIRS, CHECKED) + "SELECT * FROM type_checks",
+        "non_empty_check": with_(PAIRS, CHECKED) + "SELECT * FROM non_empty_checks",
+        "split_counts": with_(PAIRS, CHECKED) + "SELECT split, n_rows FROM split_sizes",
         "blank_check": with_(PAIRS, PROFILE) + "SELECT split, n_rows, p.column, n_blank, n_values, n_chars FROM profile p",
         "length_stats": with_(PAIRS, PROFILE)
         + "SELECT split, p.column, n_rows, round(n_chars / n_values, 6) AS mean_chars,"
         " round_even(n_chars / n_values, 0)::BIGINT AS mean_chars_shown FROM profile p",
-        "validation_report": with_(PAIRS, CHECKS) + "SELECT * FROM checks",
-        "validation_status": with_(PAIRS, CHECKS)
-        + "SELECT bool_and(passed) AS validation_status, count(*) AS n_checks, count(*) FILTER (WHERE NOT passed) AS n_failed FROM checks",
+        "validation_report": with_(PAIRS, REPORT) + "SELECT * FROM checks",
+        "validation_status": with_(PAIRS, REPORT)
+        + "SELECT contract, bool_and(passed) AS validation_status, count(*) AS n_checks, count(*) FILTER (WHERE NOT passed) AS n_failed"
+        " FROM (SELECT 'strict' AS contract, passed FROM checks UNION ALL SELECT 'plain', passed FROM plain_checks) GROUP BY contract",
         "tokens": f"SELECT doc_id, len(t)::INT AS n_tokens, array_to_string(t, ' ') AS tokens FROM (SELECT doc_id, {toks('text')} AS t FROM documents)",
         "sentences": f"SELECT doc_id, unnest(range(0, len(ss)))::INT AS sent, unnest(ss) AS sentence FROM (SELECT doc_id, {sents('text')} AS ss FROM documents)",
         "ngrams": f"SELECT gram, count(*) AS n FROM (SELECT unnest({grams('t', 2)}) AS gram FROM (SELECT {toks('text')} AS t FROM documents)) GROUP BY gram",
@@ -596,24 +648,12 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         "rouge2": with_(PAIRS, LEAD, ngram_scores("lead", 2, "s")) + "SELECT * FROM s",
         "rougeL": with_(PAIRS, LEAD, lcs_scores("lead", "s"), recursive=True) + "SELECT * FROM s",
         "rougeLsum": with_(PAIRS, LEAD, union_lcs_scores("lead", "s"), recursive=True) + "SELECT * FROM s",
-        "rouge_corpus": with_(
-            PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"), lcs_scores("lead", "sl"),
-            recursive=True,
-        )
-        + corpus(
-            "(SELECT 'lead' AS model, * FROM s1 UNION ALL SELECT 'lead', * FROM s2 UNION ALL SELECT 'lead', * FROM sl)",
-            "model, split, metric",
-        ),
+        "rouge_corpus": compared() + "SELECT * FROM scores",
         "rouge_bootstrap": bootstrap(),
-        "metrics_rounded": with_(PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"))
-        + "SELECT split, metric, round(f1, 4) AS f1 FROM ("
-        + corpus("(SELECT * FROM s1 UNION ALL SELECT * FROM s2)", "split, metric")
-        + ")",
-        "metrics_wide": with_(PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"))
-        + "SELECT 'lead' AS model, split, max(f1) FILTER (WHERE metric = 'rouge1') AS rouge1, max(f1) FILTER (WHERE metric = 'rouge2') AS rouge2 FROM ("
-        + corpus("(SELECT * FROM s1 UNION ALL SELECT * FROM s2)", "split, metric")
-        + ") GROUP BY split",
-        "evaluate_models": compare_models(),
+        "metrics_rounded": compared() + "SELECT model, split, metric, round(f1, 4) AS f1 FROM scores",
+        "metrics_wide": compared()
+        + f"SELECT * FROM ({wide()}) CROSS JOIN (SELECT unnest(['csv', 'json']) AS file)",
+        "evaluate_models": compared() + wide(),
         "batch_progress": pairs
         + "SELECT split, group_no, count(*) AS n_rows, max(pos) + 1 AS done FROM (SELECT split, pos, pos // 8 // 50 AS group_no"
         " FROM (SELECT split, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS pos FROM pairs)) GROUP BY ALL",

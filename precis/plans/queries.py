@@ -32,9 +32,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CONTRACT = V.Contract()
+# What the validation queries ask for: beside the splits of the data an absent one, an
+# empty one, one with numbers for summaries, and a column that no split has.
+REQUIRED = ("train", "test", "validation", "empty", "numbers", "absent")
+STRICT = V.Contract(REQUIRED, {s: ("id", "dialogue", "summary", "speaker") for s in REQUIRED})
 BATCH = 8
-NGRAM_METRICS = ("rouge1", "rouge2")
-SQL_METRICS = ("rouge1", "rouge2", "rougeL")
 
 
 def query(fn: Query) -> Query:
@@ -78,6 +80,20 @@ def _saved(spark: SparkSession, d: str, names: tuple[str, ...] = SPLITS) -> dict
     return SP.load_splits(spark, root, names)
 
 
+def _checked(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The dataset that the validation queries look at."""
+    docs = read_table(spark, d, "documents")
+    numbers = docs.select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("dialogue"), F.col("n_chars").alias("summary")
+    )
+    return {**_saved(spark, d, (*SPLITS, "empty")), "numbers": numbers}
+
+
+def _profiled(splits: dict[str, DataFrame]) -> DataFrame:
+    texts = {s: df.withColumn("summary", F.col("summary").cast("string")) for s, df in splits.items()}
+    return V.profile(SP.union_splits(texts), CONTRACT.text_columns)
+
+
 # Sources and sinks
 
 
@@ -134,12 +150,6 @@ def json_roundtrip(spark, d):
     return A.load_json(spark, path, "doc_id long, lang string, source string, n_chars long, text string")
 
 
-@query
-def artifact_sizes(spark, d):
-    files = A.file_sizes(spark, d, "*.parquet")
-    return files.withColumn("path", F.regexp_extract("path", r"([^/]+)\z", 1))
-
-
 @query
 def size_units(spark, d):
     n_bytes = F.octet_length("text")
@@ -200,37 +210,31 @@ def batch_progress(spark, d):
 
 @query
 def split_exists_check(spark, d):
-    available = load_pairs(spark, d).select("split").distinct()
-    return V.split_exists(available, CONTRACT).select("check_key", "passed")
+    present = spark.createDataFrame([(s,) for s in _checked(spark, d)], "split string")
+    return V.split_exists(present, STRICT).select("check_key", "passed")
 
 
 @query
 def column_check(spark, d):
-    splits = _saved(spark, d)
-    checks = V.columns_present({s: df.columns for s, df in splits.items()}, spark, CONTRACT)
-    sizes = V.profile(SP.union_splits(splits), ["dialogue"]).select("split", "n_rows")
-    split = F.regexp_extract("check_key", "split_([a-z]+)_col", 1)
-    return checks.select(split.alias("split"), "check_key", "passed").join(sizes, "split")
+    columns = {s: df.columns for s, df in _checked(spark, d).items()}
+    return V.columns_present(columns, spark, STRICT).select("check_key", "passed")
 
 
 @query
 def type_check(spark, d):
-    splits = _saved(spark, d)
-    checks = V.types_match({s: df.schema for s, df in splits.items()}, spark, CONTRACT)
-    sizes = V.profile(SP.union_splits(splits), ["dialogue"]).select("split", "n_rows")
-    split = F.regexp_extract("check_key", "split_([a-z]+)_", 1)
-    return checks.withColumn("split", split).join(sizes, "split")
+    return V.types_match({s: df.schema for s, df in _checked(spark, d).items()}, spark, STRICT)
 
 
 @query
 def non_empty_check(spark, d):
-    return V.non_empty(V.profile(load_pairs(spark, d), CONTRACT.text_columns), CONTRACT)
+    splits = _checked(spark, d)
+    return V.non_empty(_profiled(splits), list(splits), STRICT)
 
 
 @query
 def split_counts(spark, d):
-    pairs = load_pairs(spark, d)
-    return pairs.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    splits = _checked(spark, d)
+    return V.counted(_profiled(splits), list(splits)).select("split", "n_rows")
 
 
 @query
@@ -248,13 +252,16 @@ def length_stats(spark, d):
 
 @query
 def validation_report(spark, d):
-    return V.check_splits(spark, _saved(spark, d), CONTRACT)
+    return V.check_splits(spark, _checked(spark, d), STRICT)
 
 
 @query
 def validation_status(spark, d):
+    """Of the strict contract, and of the plain one over the data's own splits."""
+    strict = V.overall_status(V.check_splits(spark, _checked(spark, d), STRICT))
     pairs = load_pairs(spark, d)
-    return V.overall_status(V.check_table(pairs, {s: pairs.columns for s in SPLITS}, CONTRACT))
+    plain = V.overall_status(V.check_table(pairs, {s: pairs.columns for s in SPLITS}, CONTRACT))
+    return strict.withColumn("contract", F.lit("strict")).unionByName(plain.withColumn("contract", F.lit("plain")))
 
 
 # Text functions
@@ -430,6 +437,12 @@ def rouge1_stemmed(spark, d):
     return _rouge(spark, d, "rouge1", stemmed=True)
 
 
+def _compared(spark: SparkSession, d: str) -> DataFrame:
+    """Corpus ROUGE of all methods, from pairs that are built once."""
+    pairs = stage_table(load_pairs(spark, d), "pairs")
+    return EV.evaluate(pairs, S.METHODS, fit_on=_train(pairs))
+
+
 @query
 def pair_predictions(spark, d):
     pairs = load_pairs(spark, d)
@@ -439,38 +452,39 @@ def pair_predictions(spark, d):
 
 @query
 def rouge_corpus(spark, d):
-    return EV.evaluate(load_pairs(spark, d), ["lead"], metrics=SQL_METRICS)
+    return _compared(spark, d)
 
 
 @query
 def rouge_bootstrap(spark, d):
     scores = G.rouge_scores(
-        _lead(spark, d), ["id"], "prediction", "summary", NGRAM_METRICS, ["split"]
+        _lead(spark, d), ["id"], "prediction", "summary", G.METRICS, ["split"]
     )
-    return G.bootstrap_interval(scores, "id", ["split"], NGRAM_METRICS)
+    return G.bootstrap_interval(scores, "id", ["split"], G.METRICS)
 
 
 @query
 def metrics_rounded(spark, d):
-    scores = EV.evaluate(load_pairs(spark, d), ["lead"], metrics=NGRAM_METRICS)
-    return scores.select("split", "metric", F.round("f1", 4).alias("f1")).coalesce(1).sortWithinPartitions("split", "metric")
+    shown = _compared(spark, d).select("model", "split", "metric", F.round("f1", 4).alias("f1"))
+    return shown.coalesce(1).sortWithinPartitions("model", "split", "metric")
 
 
 @query
 def metrics_wide(spark, d):
     path = scratch_path(spark, "metrics")
-    scores = EV.evaluate(load_pairs(spark, d), ["lead"], metrics=NGRAM_METRICS)
-    wide = A.metrics_wide(scores, ["model", "split"], metrics=NGRAM_METRICS)
-    A.write_metrics(wide, path)
-    schema = "model string, split string, rouge1 double, rouge2 double"
-    return spark.read.schema(schema).option("header", True).csv(f"{path}.csv")
+    A.write_metrics(A.metrics_wide(_compared(spark, d), ["model", "split"]), path)
+    schema = ", ".join(["model string", "split string", *(f"{m} double" for m in G.METRICS)])
+    written = {
+        "csv": spark.read.schema(schema).option("header", True).csv(f"{path}.csv"),
+        "json": spark.read.schema(schema).json(f"{path}.json"),
+    }
+    csv, json = (df.withColumn("file", F.lit(kind)) for kind, df in written.items())
+    return csv.unionByName(json)
 
 
 @query
 def evaluate_models(spark, d):
-    pairs = load_pairs(spark, d)
-    scores = EV.evaluate(pairs, S.METHODS, metrics=NGRAM_METRICS, fit_on=_train(pairs))
-    return A.metrics_wide(scores, ["model", "split"], metrics=NGRAM_METRICS)
+    return A.metrics_wide(_compared(spark, d), ["model", "split"])
 
 
 # Requests
