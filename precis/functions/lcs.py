@@ -22,26 +22,45 @@ def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
 def lcs_places(ref: Sequence[str], cand: Sequence[str]) -> set[int]:
     """Positions in ``ref`` of one longest common subsequence.
 
-    Walking back, a tie moves along ``ref``.
+    Walking back, a tie moves along ``ref``. For each token of ``ref`` one integer
+    has a bit for each place of ``cand`` at which the length does not grow; the
+    walk back needs only two neighbouring lengths, which one bit tells apart.
     """
-    rows = [[0] * (len(cand) + 1)]
+    places: dict[str, int] = {}
+    for j, t in enumerate(cand):
+        places[t] = places.get(t, 0) | (1 << j)
+    full = (1 << len(cand)) - 1
+    rows, flat = [full], full
     for t in ref:
-        above, row = rows[-1], [0]
-        for j, c in enumerate(cand):
-            row.append(above[j] + 1 if t == c else max(above[j + 1], row[j]))
-        rows.append(row)
+        hit = flat & places.get(t, 0)
+        flat = ((flat + hit) | (flat - hit)) & full
+        rows.append(flat)
     i, j, out = len(ref), len(cand), set()
+    # The length of (i, j - 1) less that of (i - 1, j), kept while walking.
+    above = (rows[i - 1] ^ full).bit_count() if i else 0
+    here = (rows[i] ^ full).bit_count()
     while i and j:
+        left = here - (not rows[i] >> (j - 1) & 1)
         if ref[i - 1] == cand[j - 1]:
-            i, j = i - 1, j - 1
+            corner = above - (not rows[i - 1] >> (j - 1) & 1)
+            i, j, here = i - 1, j - 1, corner
             out.add(i)
-        elif rows[i][j - 1] > rows[i - 1][j]:
-            j -= 1
+            above = here - _step(rows, i, j, full) if i else 0
+        elif left > above:
+            above -= not rows[i - 1] >> (j - 1) & 1
+            j, here = j - 1, left
         else:
-            i -= 1
+            i, here = i - 1, above
+            above = here - _step(rows, i, j, full) if i else 0
     return out
 
 
+def _step(rows: Sequence[int], i: int, j: int, full: int) -> int:
+    """By how much the length grows from row ``i - 1`` to row ``i`` at column ``j``."""
+    low = (1 << j) - 1
+    return ((rows[i] ^ full) & low).bit_count() - ((rows[i - 1] ^ full) & low).bit_count()
+
+
 def union_hits(ref: Sequence[Sequence[str]], cand: Sequence[Sequence[str]]) -> int:
     """Tokens of the union LCS over all sentence pairs, each counted at most as often as on either side."""
     left_r = Counter(t for s in ref for t in s)

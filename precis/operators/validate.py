@@ -197,7 +197,7 @@ def check_splits(spark: SparkSession, splits: Mapping[str, DataFrame], contract:
         for s, df in splits.items()
     }
     table = union_splits({**known, "": empty}).where(F.col("split") != "")
-    types = types_match({s: df.schema for s, df in splits.items()}, spark, contract)
+    types = types_match({s: df.schema for s, df in splits.items() if s in contract.splits}, spark, contract)
     return check_table(table, columns, contract).unionByName(types)
 
 
@@ -213,12 +213,12 @@ def overall_status(checks: DataFrame) -> DataFrame:
 def report_json(checks: DataFrame) -> DataFrame:
     """The report as one JSON text: ``{"validation_status": …, "details": {key: passed}}``.
 
-    An ``error`` shows its message instead. The group is the list of checks, whose
+    An ``error`` or ``exception`` shows its message instead. The group is the list of checks, whose
     number the contract sets.
     """
     quoted = F.to_json(F.array("detail"))
     message = quoted.substr(F.lit(2), F.length(quoted) - 2)
-    shown = F.when(F.col("check_key") == "error", message).otherwise(F.col("passed").cast("string"))
+    shown = F.when(F.col("check_key").isin("error", "exception"), message).otherwise(F.col("passed").cast("string"))
     entries = F.array_sort(F.collect_list(F.struct("check_key", shown.alias("shown"))))
     details = F.map_from_entries(
         F.transform(entries, lambda e: F.struct(e.check_key, F.parse_json(e.shown)))
@@ -237,6 +237,12 @@ def missing_dataset_report(spark: SparkSession, path: str) -> DataFrame:
     return _rows(spark, [("error", False, f"no dataset below {path}")], CHECK_SCHEMA)
 
 
+def exception_report(spark: SparkSession, error: Exception) -> DataFrame:
+    """The single failed check of a validation that broke off."""
+    first = (str(error).splitlines() or [""])[0]
+    return _rows(spark, [("exception", False, f"{type(error).__name__}: {first}")], CHECK_SCHEMA)
+
+
 def require_valid(checks: DataFrame) -> None:
     """Raise unless every check passed."""
     status = overall_status(checks).first()

@@ -11,15 +11,22 @@ from precis.operators.encode import MAX_INPUT, MAX_TARGET
 from precis.operators.summarize import MAX_WORDS, METHODS
 from precis.operators.train import GRID
 from precis.operators.validate import Contract
+from precis.sources.splits import pair_schema
 
 
 @dataclass(frozen=True)
 class IngestConfig:
-    """Where pairs come from and where the dataset goes."""
+    """Where pairs come from and where the dataset goes.
+
+    ``paths`` names a Parquet path for each split of a dataset of one's own, whose
+    columns ``renames`` changes; without it the pairs come from ``source``.
+    """
 
     source: str
     dataset: str
     splits: tuple[str, ...] = ("train", "validation", "test")
+    paths: Mapping[str, str] = field(default_factory=dict)
+    renames: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -27,9 +34,15 @@ class ValidateConfig:
     dataset: str
     report: str
     required_splits: tuple[str, ...] = ("train", "test", "validation")
-    required_columns: Mapping[str, tuple[str, ...]] = field(
-        default_factory=lambda: dict(Contract().columns)
-    )
+    required_columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    text_column: str = "dialogue"
+    summary_column: str = "summary"
+
+    def contract(self) -> Contract:
+        """What stage 2 asks for; without ``required_columns`` id, text and summary of each split."""
+        own = ("id", self.text_column, self.summary_column)
+        columns = self.required_columns or {s: own for s in self.required_splits}
+        return Contract(self.required_splits, columns, own[1:], pair_schema(*own[1:]))
 
 
 @dataclass(frozen=True)
@@ -59,21 +72,21 @@ class EvaluateConfig:
     models: tuple[str, ...] = ()
     methods: tuple[str, ...] = METHODS
     max_words: int = MAX_WORDS
+    base: str = METHODS[0]  # stands in where no model is saved
     text_column: str = "dialogue"
     summary_column: str = "summary"
 
 
 def read_yaml(path: str | Path) -> dict[str, Any]:
-    """A YAML file as a dict. Raises when it is absent or empty."""
+    """The parameters of a YAML file, which must hold a mapping with ``source`` and ``root``."""
     import yaml
 
-    path = Path(path)
-    if not path.exists():
-        raise FileNotFoundError(f"YAML file not found: {path}")
-    content = yaml.safe_load(path.read_text(encoding="utf-8"))
-    if content is None:
-        raise ValueError(f"YAML file is empty: {path}")
-    return content
+    with open(path, encoding="utf-8") as file:
+        parameters = yaml.safe_load(file)
+    lacking = {"source", "root"} - set(parameters if isinstance(parameters, dict) else ())
+    if lacking:
+        raise ValueError(f"{path} sets no {' and no '.join(sorted(lacking))}")
+    return parameters
 
 
 def _build(kind: type, values: Mapping[str, Any]) -> Any:
@@ -97,12 +110,17 @@ class JobConfig:
 
     @classmethod
     def at(cls, source: str, root: str, **sections: Mapping[str, Any]) -> JobConfig:
-        """Defaults below ``root``, changed by the given sections."""
+        """Defaults below ``root``, changed by the given sections.
+
+        ``text_column`` and ``summary_column`` beside the sections hold for all stages.
+        """
         data, model = f"{root}/dataset", f"{root}/model"
         encoded = f"{root}/encoded"
+        names = {c: sections.pop(c) for c in ("text_column", "summary_column") if c in sections}
 
         def section(name: str, kind: type, **defaults: Any) -> Any:
-            return _build(kind, {**defaults, **sections.get(name, {})})
+            own = {c: n for c, n in names.items() if c in {f.name for f in fields(kind)}}
+            return _build(kind, {**defaults, **own, **sections.get(name, {})})
 
         return cls(
             section("ingest", IngestConfig, source=source, dataset=data),

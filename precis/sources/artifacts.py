@@ -53,11 +53,6 @@ def trailing_number(path: Column) -> Column:
     return F.regexp_extract(path, r"([0-9]+)\z", 1)
 
 
-def first_existing(candidates: Sequence[tuple[str, bool]]) -> str | None:
-    """The first path of ``(path, exists)`` that exists: newest model, saved model, then none."""
-    return next((path for path, exists in candidates if exists), None)
-
-
 def save_json(df: DataFrame, path: str) -> None:
     """Write rows as JSON lines; parent folders are made."""
     df.write.mode("overwrite").json(path)

@@ -16,9 +16,14 @@ from pyspark.sql import types as T
 from precis.operators.skew import with_positions
 from precis.session import path_exists, write_file
 
-PAIR_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ("id", "dialogue", "summary")]
-)
+
+
+def pair_schema(text: str = "dialogue", summary: str = "summary") -> T.StructType:
+    """An id, a text and its summary."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in ("id", text, summary)])
+
+
+PAIR_SCHEMA = pair_schema()
 DONE = "_DATASET_COMPLETE"
 
 
@@ -56,6 +61,14 @@ def save_splits(df: DataFrame, root: str, names: Sequence[str]) -> None:
     write_file(spark, f"{root}/{DONE}")
 
 
+def save_split_tables(splits: Mapping[str, DataFrame], root: str) -> None:
+    """Write each split as it is, whatever its columns and types; stage 2 is there to judge them."""
+    for name, df in splits.items():
+        df.write.mode("overwrite").parquet(f"{root}/split={name}")
+        spark = df.sparkSession
+    write_file(spark, f"{root}/{DONE}")
+
+
 def ingest(df: DataFrame, root: str, names: Sequence[str]) -> bool:
     """Save unless a complete dataset is there. An empty or half-written one is replaced."""
     if path_exists(df.sparkSession, f"{root}/{DONE}"):
@@ -81,7 +94,7 @@ def head_rows(df: DataFrame, k: int, key: str = "id") -> DataFrame:
     """
     place = F.row_number().over(Window.partitionBy("split").orderBy(key))
     first = df.select("split", key).withColumn("_place", place).where(F.col("_place") <= k)
-    return df.join(F.broadcast(first.drop("_place")), ["split", key])
+    return df.join(first.drop("_place"), ["split", key])
 
 
 def row_at(df: DataFrame, position: int, key: str = "id") -> DataFrame:

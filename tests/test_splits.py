@@ -104,16 +104,15 @@ def test_latest_artifact_sorts_numbers(spark):
 
     got = A.latest_artifact(df, "path", F.lit("run"), A.trailing_number(F.col("path"))).first()
     assert (got.path, got.n_versions) == ("run/checkpoint-1000", 3)
-    assert A.first_existing([("a", False), ("b", True)]) == "b"
 
 
 def test_file_sizes(spark, tmp_path):
-    (tmp_path / "a.txt").write_text("hello")
-    (tmp_path / "b.txt").write_text("x" * 2048)
+    (tmp_path / "a.txt").write_text("wool and")
+    (tmp_path / "b.txt").write_text("ab" * 768)
     files = A.file_sizes(spark, str(tmp_path))
-    assert sorted(r["size"] for r in files.collect()) == ["2.0 KB", "5 B"]
+    assert sorted(r["size"] for r in files.collect()) == ["1.5 KB", "8 B"]
     total = A.total_size(files).first()
-    assert (total.n_files, total.length, total["size"]) == (2, 2053, "2.0 KB")
+    assert (total.n_files, total.length, total["size"]) == (2, 1544, "1.5 KB")
 
 
 def test_json(spark, tmp_path):

@@ -18,23 +18,23 @@ def checks(spark, splits):
     return {r.check_key: r.passed for r in V.check_splits(spark, splits, CONTRACT).collect()}
 
 
-def test_happy_path_has_21_checks(spark):
+def test_happy_path_has_21_checks_and_9_of_types(spark):
     got = checks(spark, {s: good(spark) for s in CONTRACT.splits})
-    assert len(got) == 21 and all(got.values())
+    assert len(got) == 30 and sum(k.endswith("_type") for k in got) == 9 and all(got.values())
 
 
 def test_missing_split_skips_its_other_checks(spark):
     got = checks(spark, {"train": good(spark), "test": good(spark)})
     assert got["split_validation_exists"] is False
     assert [k for k in got if k.startswith("split_validation")] == ["split_validation_exists"]
-    assert len(got) == 15
+    assert len(got) == 21
 
 
 def test_empty_split_exists_but_fails(spark):
     splits = {s: good(spark) for s in CONTRACT.splits} | {"test": good(spark).limit(0)}
     got = checks(spark, splits)
     assert got["split_test_exists"] and not got["split_test_non_empty"]
-    assert got["split_test_dialogue_no_nulls"] and len(got) == 21
+    assert got["split_test_dialogue_no_nulls"] and len(got) == 30
 
 
 def test_missing_column_skips_its_blank_check(spark):
@@ -42,12 +42,12 @@ def test_missing_column_skips_its_blank_check(spark):
     splits["train"] = splits["train"].drop("summary")
     got = checks(spark, splits)
     assert got["split_train_col_summary"] is False
-    assert "split_train_summary_no_nulls" not in got and len(got) == 20
+    assert "split_train_summary_no_nulls" not in got and len(got) == 28
 
 
 def test_extra_split_is_ignored(spark):
     splits = {s: good(spark) for s in (*CONTRACT.splits, "extra")}
-    assert len(checks(spark, splits)) == 21
+    assert len(checks(spark, splits)) == 30
 
 
 @pytest.mark.parametrize("blank", [None, "", "  ", "\t\n", "\xa0", "\x85", "\x1c\x1f"])
@@ -81,7 +81,7 @@ def test_report_file_and_gate(spark):
     path = scratch_path(spark, "report")
     V.write_report(ok, path)
     report = json.loads("\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect()))
-    assert report["validation_status"] is True and len(report["details"]) == 21
+    assert report["validation_status"] is True and len(report["details"]) == 30
     assert set(report["details"].values()) == {True}
     V.require_valid(ok)
     bad = V.check_splits(spark, {"train": good(spark)}, CONTRACT)
@@ -90,7 +90,7 @@ def test_report_file_and_gate(spark):
     gone = V.missing_dataset_report(spark, "/nowhere")
     assert V.overall_status(gone).first().validation_status is False
     assert json.loads(V.report_json(gone).first().value) == {
-        "validation_status": False, "details": {"error": "Dataset directory not found: /nowhere"},
+        "validation_status": False, "details": {"error": "no dataset below /nowhere"},
     }
 
 
