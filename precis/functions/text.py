@@ -52,7 +52,7 @@ def sentences(c: Column) -> Column:
     return F.filter(F.coalesce(parts, F.array().cast("array<string>")), lambda s: s != "")
 
 
-def cut_words(c: Column, n: int) -> Column:
+def cut_words(c: Column, n: int | Column) -> Column:
     """The text itself, or its first ``n`` words when it has more."""
     return let(
         words(c), lambda w: F.when(F.size(w) > n, F.array_join(F.slice(w, 1, n), " ")).otherwise(c)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.functions.text import strip
+from precis.functions.text import cut_words, strip
 from precis.operators.skew import lookup_join
-from precis.operators.summarize import MAX_WORDS, summarize
+from precis.operators.summarize import MAX_WORDS, summarize, summarize_with
 from precis.session import stage_table
 
 # Limits of a request.
@@ -17,6 +17,9 @@ MIN_CHARS = 10
 MIN_BATCH, MAX_BATCH = 1, 10
 MIN_SUMMARY, MAX_SUMMARY = 1, 512
 
+# Loads a model once per task; the model turns a list of texts into their summaries.
+Model = Callable[[], Callable[[list[str]], list[str]]]
+
 
 def request_status(text: Column, trim: bool = False, max_length: Column | None = None) -> Column:
     """``ok``, or why a request is rejected: ``missing``, ``too_short`` or ``max_length``."""
@@ -50,14 +53,14 @@ def array_batch_status(texts: Column) -> Column:
     ).otherwise("batch_size")
 
 
-def validate_batches(df: DataFrame, batch: str, text: str = "text") -> DataFrame:
+def validate_batches(df: DataFrame, batch: str, text: str = "text", max_length: str | None = None) -> DataFrame:
     """Status per text: that of its batch, then its own.
 
     Sizes come from a counting aggregation; a batch of any size is never gathered.
     """
     sizes = stage_table(batch_sizes(df, batch).withColumnRenamed("status", "_batch"), "batches")
     sized = lookup_join(df, sizes, batch, weight="n")
-    own = request_status(F.col(text))
+    own = request_status(F.col(text), max_length=None if max_length is None else F.col(max_length))
     return sized.withColumn(
         "status", F.when(F.col("_batch") == "ok", own).otherwise(F.col("_batch"))
     ).drop("_batch", "n")
@@ -70,13 +73,26 @@ def predict(
     keep: Sequence[str] = (),
     method: str = "lead",
     max_words: int = MAX_WORDS,
+    max_length: str | None = None,
+    model: Model | None = None,
 ) -> DataFrame:
-    """One response per text: input, summary, both lengths in characters, and the time.
+    """One response per text: input, summary, both lengths in characters, the time, and any error.
 
-    A blank text gets an empty summary.
+    A summary holds at most ``max_words`` words, or as many as the request's own
+    ``max_length`` says where it is not null. A plug-in ``model`` (see
+    ``summarize_with``) takes the place of the method; if it fails on a text,
+    that response has its message as ``error`` and no summary. A blank text gets an
+    empty summary.
     """
+    budget = max_words if max_length is None else F.coalesce(F.col(max_length), F.lit(max_words))
     kept = [text, *[c for c in keep if c != text]]
-    out = summarize(df, key, text, method, keep=kept, max_words=max_words)
+    if model is None:
+        out = summarize(df, key, text, method, keep=kept, max_words=budget)
+        out = out.withColumn("error", F.lit(None).cast("string"))
+    else:
+        limited = df.select(key, *kept, F.lit(budget).alias("_budget"))
+        out = summarize_with(limited, text, model)
+        out = out.withColumn("prediction", cut_words(F.col("prediction"), F.col("_budget")))
     return out.select(
         key,
         *[c for c in keep if c != text],
@@ -85,20 +101,28 @@ def predict(
         F.length(text).alias("input_length"),
         F.length("prediction").alias("summary_length"),
         F.current_timestamp().alias("timestamp"),
+        "error",
     )
 
 
 def predict_batches(
-    df: DataFrame, batch: str, position: str, text: str = "text", method: str = "lead", max_words: int = MAX_WORDS
+    df: DataFrame,
+    batch: str,
+    position: str,
+    text: str = "text",
+    method: str = "lead",
+    max_words: int = MAX_WORDS,
+    max_length: str | None = None,
+    model: Model | None = None,
 ) -> DataFrame:
     """``(batch, results, count)`` of the valid texts of every valid batch, in order.
 
     Only batches of at most ten texts reach the gathering step.
     """
-    rows = validate_batches(df, batch, text).where(F.col("status") == "ok")
+    rows = validate_batches(df, batch, text, max_length).where(F.col("status") == "ok")
     keyed = rows.withColumn("_key", F.concat_ws("/", batch, position))
-    responses = predict(keyed, "_key", text, [batch, position], method, max_words)
-    fields = ["input_text", "summary", "input_length", "summary_length", "timestamp"]
+    responses = predict(keyed, "_key", text, [batch, position], method, max_words, max_length, model)
+    fields = ["input_text", "summary", "input_length", "summary_length", "timestamp", "error"]
     gathered = F.array_sort(F.collect_list(F.struct(position, *fields)))
     return responses.groupBy(batch).agg(gathered.alias("results")).withColumn(
         "count", F.size("results")

@@ -31,8 +31,11 @@ ROUNDS, DAMPING = 5, 85
 RANK_ONE, WEIGHT_ONE, FLOW_ONE = 1_000_000, 1_000, 1_000
 RANK_BASE = (100 - DAMPING) * RANK_ONE // 100
 
+# Words of a summary: one number, or a column with one for each text.
+Budget = int | Column
 
-def choose_sentences(ranked: Column, max_words: int, no_repeat: int = NO_REPEAT) -> Column:
+
+def choose_sentences(ranked: Column, max_words: Budget, no_repeat: int = NO_REPEAT) -> Column:
     """Walk the ranked sentences and keep what fits, in text order.
 
     ``ranked`` is a sorted array of structs with ``sent`` and ``sentence``. A
@@ -73,48 +76,19 @@ def choose_sentences(ranked: Column, max_words: int, no_repeat: int = NO_REPEAT)
     )
 
 
-def lead(c: Column, k: int, max_words: int) -> Column:
+def lead(c: Column, k: int, max_words: Budget) -> Column:
     """The first ``k`` sentences, cut after ``max_words`` words."""
     first = F.array_join(F.slice(sentences(c), 1, k), " ")
     return let(first, lambda text: cut_words(text, max_words))
 
 
 def summarize_lead(
-    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), k: int = 3, max_words: int = MAX_WORDS
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), k: int = 3, max_words: Budget = MAX_WORDS
 ) -> DataFrame:
     """Lead baseline: a projection, without any shuffle."""
     return df.select(key, *keep, lead(F.col(text), k, max_words).alias("prediction"))
 
 
-def _word_rows(df: DataFrame, key: str, text: str, keep: Sequence[str]) -> DataFrame:
-    """Rows ``(key, sent, word, sentence, doc)`` of each text, co-located by key.
-
-    One row per word of at least ``MIN_CHARS``; one row per sentence with ``word`` NULL and the sentence;
-    one row per text with ``sent`` -1 and the kept columns.
-    """
-    doc = F.struct(*keep, F.lit(1).alias("_one"))
-    base = df.repartition(key).select(key, doc.alias("doc"), sentences(F.col(text)).alias("sents"))
-    none = F.lit(None).cast("string")
-    by_sentence = base.select(
-        key, "doc", F.posexplode(F.concat(F.array(none), "sents")).alias("sent", "sentence")
-    ).select(
-        key,
-        (F.col("sent") - 1).alias("sent"),
-        "sentence",
-        F.when(F.col("sent") == 0, F.col("doc")).alias("doc"),
-    )
-    toks = F.filter(tokens(F.coalesce("sentence", F.lit(""))), lambda w: F.length(w) >= MIN_CHARS)
-    return by_sentence.select(
-        key, "sent", "sentence", "doc", F.explode(F.concat(F.array(none), toks)).alias("word")
-    ).select(
-        key,
-        "sent",
-        "word",
-        F.when(F.col("word").isNull(), F.col("sentence")).alias("sentence"),
-        F.when(F.col("word").isNull(), F.col("doc")).alias("doc"),
-    )
-
-
 def _assemble(scored: DataFrame, key: str, keep: Sequence[str], max_words: int) -> DataFrame:
     """From ``(key, sent, score, sentence, doc)`` to one summary per text."""
     ranked = F.collect_list(
@@ -134,35 +108,57 @@ def _assemble(scored: DataFrame, key: str, keep: Sequence[str], max_words: int)
     )
 
 
-def summarize_frequency(
-    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: int = MAX_WORDS
-) -> DataFrame:
-    """Sentences rich in the text's own frequent words (Luhn 1958).
+def frequency_scores(texts: pa.Array) -> pa.Array:
+    """Scores of the sentences of each text by the text's own frequent words (Luhn 1958).
 
-    A sentence scores the sum, over its distinct frequent words, of their counts
-    in the text.
+    ``texts`` holds, per text, the longer words of every sentence. A sentence scores
+    the sum, over its distinct frequent words, of their counts in the text. Counts
+    are local to a text, so a whole Arrow batch is scored at once.
     """
-    counted = (
-        _word_rows(df, key, text, keep)
-        .groupBy(key, "sent", "word")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.first("sentence", ignorenulls=True).alias("sentence"),
-            F.first("doc", ignorenulls=True).alias("doc"),
-        )
+    sents = texts.flatten()
+    n_sents = pc.list_value_length(texts).to_numpy(zero_copy_only=False)
+    sent_of = np.repeat(np.arange(len(sents)), pc.list_value_length(sents).to_numpy(zero_copy_only=False))
+    text_of = np.repeat(np.arange(len(texts)), n_sents)[sent_of]
+    words = sents.flatten().dictionary_encode()
+    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    size = len(words.dictionary) + 1
+    _, word_of, counts = np.unique(text_of * size + codes, return_inverse=True, return_counts=True)
+    pairs = np.unique(sent_of * (len(counts) + 1) + word_of)
+    sent, count = pairs // (len(counts) + 1), counts[pairs % (len(counts) + 1)] if len(pairs) else pairs
+    scores = np.zeros(len(sents), dtype=np.int64)
+    np.add.at(scores, sent, np.where(count >= MIN_COUNT, count, 0))
+    ends = np.concatenate([[0], np.cumsum(n_sents)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(scores, pa.int64()))
+
+
+_frequency_scores = F.arrow_udf(frequency_scores, T.ArrayType(T.LongType()))
+
+
+def _scored_in_place(
+    df: DataFrame, key: str, text: str, keep: Sequence[str], max_words: Budget, scorer: Callable, terms: Callable
+) -> DataFrame:
+    """Summaries by a scorer that needs nothing but the text: a projection, without any shuffle."""
+    ship_package(df.sparkSession)
+    split = df.select(key, *keep, F.lit(max_words).alias("_budget"), sentences(F.col(text)).alias("_sents"))
+    ranked = F.zip_with(
+        F.transform("_sents", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence"))),
+        "_scores",
+        lambda s, score: F.struct((-score).alias("order"), s.sent.alias("sent"), s.sentence.alias("sentence")),
     )
-    in_text = F.sum("n").over(Window.partitionBy(key, "word"))
-    counts = F.col("word").isNotNull() & (F.col("in_text") >= MIN_COUNT)
-    scored = (
-        counted.withColumn("in_text", in_text)
-        .groupBy(key, "sent")
-        .agg(
-            F.sum(F.when(counts, F.col("in_text")).otherwise(0)).alias("score"),
-            F.first("sentence", ignorenulls=True).alias("sentence"),
-            F.first("doc", ignorenulls=True).alias("doc"),
-        )
+    return split.withColumn("_scores", scorer(F.transform("_sents", terms))).select(
+        key, *keep, choose_sentences(F.array_sort(ranked), F.col("_budget")).alias("prediction")
     )
-    return _assemble(scored, key, keep, max_words)
+
+
+def summarize_frequency(
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: Budget = MAX_WORDS
+) -> DataFrame:
+    """Sentences rich in the text's own frequent words (see ``frequency_scores``)."""
+
+    def terms(sentence: Column) -> Column:
+        return F.filter(tokens(sentence), lambda w: F.length(w) >= MIN_CHARS)
+
+    return _scored_in_place(df, key, text, keep, max_words, _frequency_scores, terms)
 
 
 def fit_idf(df: DataFrame, text: str) -> DataFrame:
@@ -190,7 +186,7 @@ def summarize_tfidf(
     key: str,
     text: str,
     keep: Sequence[str] = (),
-    max_words: int = MAX_WORDS,
+    max_words: Budget = MAX_WORDS,
 ) -> DataFrame:
     """Sentences closest to the TF-IDF weight of the whole text.
 
@@ -230,10 +226,10 @@ def summarize_tfidf(
     )
     none = F.array().cast("array<struct<sent:int,score:bigint>>")
     return (
-        df.select(key, *keep, sentences(F.col(text)).alias("_sents"))
+        df.select(key, *keep, F.lit(max_words).alias("_budget"), sentences(F.col(text)).alias("_sents"))
         .join(scores, key, "left")
         .withColumn("_scores", F.coalesce("_scores", none))
-        .select(key, *keep, choose_sentences(F.array_sort(ranked), max_words).alias("prediction"))
+        .select(key, *keep, choose_sentences(F.array_sort(ranked), F.col("_budget")).alias("prediction"))
     )
 
 
@@ -281,21 +277,11 @@ _graph_ranks = F.arrow_udf(graph_ranks, T.ArrayType(T.LongType()))
 
 
 def summarize_textrank(
-    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: int = MAX_WORDS
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: Budget = MAX_WORDS
 ) -> DataFrame:
-    """Sentences ranked by graph rank: a projection, without any shuffle."""
-    ship_package(df.sparkSession)
-    split = df.select(key, *keep, sentences(F.col(text)).alias("_sents"))
-    word_sets = F.transform("_sents", lambda s: F.array_distinct(tokens(s)))
-    ranked = F.zip_with(
-        F.transform("_sents", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence"))),
-        "_ranks",
-        lambda s, rank: F.struct(
-            (-rank).alias("order"), s.sent.alias("sent"), s.sentence.alias("sentence")
-        ),
-    )
-    return split.withColumn("_ranks", _graph_ranks(word_sets)).select(
-        key, *keep, choose_sentences(F.array_sort(ranked), max_words).alias("prediction")
+    """Sentences ranked by graph rank (see ``graph_ranks``)."""
+    return _scored_in_place(
+        df, key, text, keep, max_words, _graph_ranks, lambda s: F.array_distinct(tokens(s))
     )
 
 
@@ -350,11 +336,14 @@ def summarize(
     text: str,
     method: str = "lead",
     keep: Sequence[str] = (),
-    max_words: int = MAX_WORDS,
+    max_words: Budget = MAX_WORDS,
     fit_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Summaries ``(key, keep, prediction)`` by one of the built-in methods."""
-    if not 1 <= max_words <= 512:
+    """Summaries ``(key, keep, prediction)`` by one of the built-in methods.
+
+    ``max_words`` is a number, or a column of ``df`` with one of each text's own.
+    """
+    if isinstance(max_words, int) and not 1 <= max_words <= 512:
         raise ValueError("max_words must be between 1 and 512")
     if method == "lead":
         return summarize_lead(df, key, text, keep, max_words=max_words)

@@ -76,7 +76,7 @@ def words(x: str) -> str:
     return f"string_split_regex({x}, '{WORD_GAP}')"
 
 
-def cut(x: str, n: int = MAX_WORDS) -> str:
+def cut(x: str, n: int | str = MAX_WORDS) -> str:
     return (
         f"CASE WHEN len({words(x)}) > {n} THEN array_to_string(list_slice({words(x)}, 1, {n}), ' ')"
         f" ELSE {x} END"
@@ -437,8 +437,13 @@ checked AS (
 )"""
 
 
-def lead_text(x: str) -> str:
-    return cut(f"array_to_string(list_slice({sents(x)}, 1, 3), ' ')")
+def lead_text(x: str, n: int | str = MAX_WORDS) -> str:
+    return cut(f"array_to_string(list_slice({sents(x)}, 1, 3), ' ')", n)
+
+
+def budget(number: str) -> str:
+    """A request's own number of words."""
+    return f"CASE WHEN {number} % 7 <> 0 THEN ({number} % 31)::INT END"
 
 
 def _size(b: str) -> str:
@@ -662,8 +667,9 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         f" {STATUS.format(n='length(' + strip('text') + ')')} AS status FROM documents",
         "batch_validation": with_(BATCHES) + "SELECT batch, position, status FROM checked",
         "predict_batch": with_(BATCHES)
-        + f"""SELECT batch, (count(*) OVER (PARTITION BY batch))::INT AS count, position, text AS input_text, {lead_text('text')} AS summary,
-       length(text)::INT AS input_length, length({lead_text('text')})::INT AS summary_length FROM checked WHERE status = 'ok'""",
+        + f"""SELECT batch, (count(*) OVER (PARTITION BY batch))::INT AS count, position, text AS input_text, {lead_text('text', 'n')} AS summary,
+       length(text)::INT AS input_length, length({lead_text('text', 'n')})::INT AS summary_length, NULL::VARCHAR AS error
+FROM (SELECT *, coalesce({budget('position')}, {MAX_WORDS}) AS n FROM checked) WHERE status = 'ok' AND n BETWEEN 1 AND 512""",
         "compression": pairs
         + f"""SELECT id, split, length(dialogue)::INT AS input_length, n::INT AS summary_length,
        round((1 - n / length(dialogue)) * 100, 1) AS compression
@@ -673,8 +679,12 @@ SELECT status, count(*) AS n_texts, sum(length(text))::BIGINT AS chars_in, sum(n
 FROM (SELECT text, {STATUS.format(n='length(text)')} AS status, CASE WHEN length(text) >= 10 THEN length({lead_text('text')}) END AS n FROM documents)
 GROUP BY status""",
         "stream_predict": f"""
-SELECT doc_id, status, CASE WHEN status = 'ok' THEN s END AS summary, CASE WHEN status = 'ok' THEN length(s)::INT END AS summary_length
-FROM (SELECT doc_id, {STATUS.format(n='length(text)')} AS status, {lead_text('text')} AS s FROM documents)""",
+SELECT doc_id, status, CASE WHEN status = 'ok' THEN s END AS summary, CASE WHEN status = 'ok' THEN length(s)::INT END AS summary_length,
+       NULL::VARCHAR AS error
+FROM (
+  SELECT doc_id, CASE WHEN own = 'ok' AND n NOT BETWEEN 1 AND 512 THEN 'max_length' ELSE own END AS status, {lead_text('text', 'n')} AS s
+  FROM (SELECT *, {STATUS.format(n='length(text)')} AS own, coalesce({budget('doc_id')}, {MAX_WORDS}) AS n FROM documents)
+)""",
         "stream_blank_check": f"""
 SELECT role, 'text' AS column, count(*) AS n_rows, count(*) FILTER (WHERE text IS NULL OR regexp_full_match(text, '{SPACE}*')) AS n_blank,
        count(text) AS n_values, sum(length(text))::BIGINT AS n_chars FROM conversations GROUP BY role""",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from precis.operators.requests import predict, validate_requests
+from precis.operators.requests import Model, predict, validate_requests
 from precis.operators.summarize import MAX_WORDS
 from precis.operators.validate import per_column, profile
 
@@ -32,22 +32,26 @@ def score_stream(
     keep: Sequence[str] = (),
     method: str = "lead",
     max_words: int = MAX_WORDS,
+    max_length: str | None = None,
+    model: Model | None = None,
 ) -> StreamingQuery:
-    """Responses below ``out/ok``, rejected requests below ``out/rejected``.
+    """Responses below ``out/status=ok``, rejected requests below folders of their status.
 
-    Every micro-batch writes its own folder and replaces it when it is repeated
+    A micro-batch is read and checked once: rejected requests pass the model by,
+    and one write deals out all rows by status. Every micro-batch writes its own folder and replaces it when it is repeated
     after a failure, so each request is answered exactly once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = validate_requests(batch, text)
-        good = checked.where(F.col("status") == "ok")
-        predict(good, key, text, keep, method, max_words).write.mode("overwrite").parquet(
-            f"{out}/ok/batch={batch_id}"
-        )
-        checked.where(F.col("status") != "ok").write.mode("overwrite").parquet(
-            f"{out}/rejected/batch={batch_id}"
-        )
+        checked = validate_requests(batch, text, max_length=max_length)
+        good = F.col("status") == "ok"
+        # A rejected text is blank to the model, which leaves it alone.
+        asked = checked.withColumn("_asked", F.when(good, F.col(text)))
+        own = [c for c in keep if c not in (text, "status")]
+        answers = predict(asked, key, "_asked", [*own, text, "status"], method, max_words, max_length, model)
+        told = [F.when(good, F.col(c)).alias(c) for c in ("summary", "input_length", "summary_length", "timestamp")]
+        rows = answers.select(key, *own, F.col(text).alias("input_text"), *told, "error", "status")
+        rows.write.mode("overwrite").partitionBy("status").parquet(f"{out}/batch={batch_id}")
 
     return (
         requests.writeStream.foreachBatch(write)

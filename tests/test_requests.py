@@ -5,8 +5,8 @@ from precis.operators import requests as R
 from precis.streaming import scoring as ST
 
 CHAT = (
-    "Amanda: Hey, are we meeting today?\nJerry: Sure! What time works?\nAmanda: How about 3pm?\n"
-    "Jerry: Perfect.\nAmanda: I'll bring the reports.\nJerry: Awesome!"
+    "Ines: The kiln is free on Tuesday.\nOmar: I can bring the glazes.\nInes: Two shelves are ours.\n"
+    "Omar: Then we fire the bowls first. The plates can wait a week."
 )
 
 
@@ -85,15 +85,15 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     for expected in (1, 1):
         arrivals = ST.stream_table(spark, source, SCHEMA, "*.parquet")
         ST.score_stream(arrivals, out, checkpoint, "id").awaitTermination()
-        assert spark.read.parquet(f"{out}/ok").count() == expected
+        assert spark.read.parquet(out).where("status = 'ok'").count() == expected
     second = [(4, "Ann: a new request here."), (5, "x")]
     spark.createDataFrame(second, SCHEMA).coalesce(1).write.mode("append").parquet(source)
     ST.score_stream(ST.stream_table(spark, source, SCHEMA, "*.parquet"), out, checkpoint, "id").awaitTermination()
-    streamed = {r.id: r.summary for r in spark.read.parquet(f"{out}/ok").collect()}
+    streamed = {r.id: r.summary for r in spark.read.parquet(out).where("status = 'ok'").collect()}
     everything = spark.createDataFrame(first + second, SCHEMA)
     good = R.validate_requests(everything).where("status = 'ok'")
     assert streamed == {r.id: r.summary for r in R.predict(good, "id").collect()}
-    rejected = {r.id: r.status for r in spark.read.parquet(f"{out}/rejected").collect()}
+    rejected = {r.id: r.status for r in spark.read.parquet(out).where("status <> 'ok'").collect()}
     assert rejected == {2: "too_short", 3: "missing", 5: "too_short"}
 
 
@@ -107,3 +107,50 @@ def test_stream_checks(spark, tmp_path):
     assert history.select("batch").distinct().count() == 2
     got = {r.split: (r.n_rows, r.n_blank) for r in ST.check_totals(history).collect()}
     assert got == {"user": (3, 2), "bot": (1, 0)}
+
+
+def shouting():
+    """A model that fails on texts about rain; made here, so that it travels by value."""
+
+    def load():
+        def run(texts):
+            if any("rain" in t for t in texts):
+                raise ValueError("no rain")
+            return [t.upper() for t in texts]
+
+        return run
+
+    return load
+
+
+def test_model_and_errors(spark):
+    rows = [(1, "sun and more sun today", 3), (2, "rain again and again", 3), (3, "wind all the day long", None)]
+    df = spark.createDataFrame(rows, "id int, text string, max_length int")
+    got = {r.id: r for r in R.predict(df, "id", max_length="max_length", model=shouting()).collect()}
+    assert (got[1].summary, got[1].error) == ("SUN AND MORE", None)
+    assert (got[2].summary, got[2].error) == (None, "no rain")
+    assert got[3].summary == "WIND ALL THE DAY LONG"
+    batches = df.selectExpr("1 as batch", "id as position", "text", "max_length")
+    results = R.predict_batches(batches, "batch", "position", max_length="max_length", model=shouting()).first().results
+    assert [r.error for r in results] == [None, "no rain", None]
+
+
+@pytest.mark.parametrize("method", ["lead", "frequency", "tfidf", "textrank"])
+def test_own_budget_of_each_request(spark, method):
+    text = "Seven words stand in this first sentence. Four stand in this. Three words here."
+    df = spark.createDataFrame([(1, text, 4), (2, text, 14), (3, text, None)], "id int, text string, max_length int")
+    got = {r.id: r.summary for r in R.predict(df, "id", method=method, max_length="max_length").collect()}
+    assert [len(got[i].split()) for i in (1, 2)] <= [4, 14] and len(got[1].split()) <= 4
+    assert got[3] == text
+
+
+def test_stream_with_a_failing_model(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    rows = [(1, "sun and more sun"), (2, "rain again and again"), (3, "rain")]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(source)
+    arrivals = ST.stream_table(spark, source, SCHEMA, "*.parquet")
+    ST.score_stream(arrivals, out, checkpoint, "id", model=shouting()).awaitTermination()
+    got = {r.id: (r.status, r.summary, r.error) for r in spark.read.parquet(out).collect()}
+    assert got == {
+        1: ("ok", "SUN AND MORE SUN", None), 2: ("ok", None, "no rain"), 3: ("too_short", None, None),
+    }
