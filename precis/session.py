@@ -2,33 +2,46 @@
 
 Plans that need stable intermediate results write them as Parquet below the
 folder named by ``spark.checkpoint.dir``, so that a lost executor costs a
-re-read and never a different result.
+re-read and never a different result. Each application has its own folder there
+and drops it when the driver's Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import io
-import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_default: str | None = None
+# Where staged tables go in local mode when spark.checkpoint.dir is unset; never used on a cluster.
+LOCAL_DIR = "/tmp/checkpoints"
+
+_owned: set[str] = set()
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended first
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach; a private one only in local mode."""
-    global _local_default
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """This application's folder below ``spark.checkpoint.dir``, which every executor can reach."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not top and (master == "local" or master.startswith("local[")):
+        top = LOCAL_DIR
+    if not top:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_default is None:
-        _local_default = tempfile.mkdtemp(prefix="precis-")
-    return _local_default
+    own = f"{top.rstrip('/')}/precis-{spark.sparkContext.applicationId}"
+    if own not in _owned:
+        _owned.add(own)
+        atexit.register(_drop, spark, own)
+    return own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
