@@ -6,22 +6,33 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType
 
 from precis.session import stage_table
 
-# Broadcast heads hold at most this many keys of at most this many characters: a few
-# megabytes as a rule, 26 MB at worst.
+# Broadcast heads hold at most this many keys, each as a 128-bit hash whatever its length,
+# with text values of at most this many bytes: a few megabytes as a rule, 28 MB at worst.
 HEAD_ROWS = 100_000
-HEAD_KEY_CHARS = 64
+HEAD_VALUE_BYTES = 256
 # Rows per block in two-level running aggregates.
 BLOCK_ROWS = 65_536
 
 
+_HASH = ("_head_a", "_head_b")
+
+
+def hashed(df: DataFrame, on: str) -> DataFrame:
+    """``df`` with two 64-bit hashes of ``on``; two keys that agree in both do not occur in practice."""
+    return df.withColumns({_HASH[0]: F.xxhash64(on), _HASH[1]: F.xxhash64(F.lit("head"), on)})
+
+
 def head_of(dim: DataFrame, on: str, weight: str, head_rows: int = HEAD_ROWS) -> DataFrame:
-    """The heaviest keys of ``dim``, small enough to broadcast whatever the data."""
-    short = dim.where(F.length(F.col(on).cast("string")) <= HEAD_KEY_CHARS)
-    return F.broadcast(short.orderBy(F.desc(weight), on).limit(head_rows))
+    """The heaviest keys of ``dim`` by hash, with its other columns: small enough to broadcast whatever the data."""
+    texts = [f.name for f in dim.schema if f.name != on and f.dataType == StringType()]
+    known = dim.where(F.col(on).isNotNull())
+    for c in texts:
+        known = known.where(F.coalesce(F.octet_length(c), F.lit(0)) <= HEAD_VALUE_BYTES)
+    return F.broadcast(hashed(known, on).orderBy(F.desc(weight), *_HASH).limit(head_rows).drop(on))
 
 
 def lookup_join(
@@ -35,9 +46,11 @@ def lookup_join(
     more than once: pass tables, not long plans.
     """
     head = head_of(dim, on, weight, head_rows)
-    hot = rows.join(head, on)
-    cold = rows.join(head.select(on), on, "left_anti").join(dim.hint("shuffle_merge"), on)
-    return hot.unionByName(cold)
+    keyed = hashed(rows, on)
+    hot = keyed.join(head, list(_HASH)).drop(*_HASH)
+    cold = keyed.join(head.select(*_HASH), list(_HASH), "left_anti").drop(*_HASH)
+    cold = cold.join(dim.hint("shuffle_merge"), on)
+    return hot.select(*cold.columns).unionByName(cold)
 
 
 def lookup_arrays(
@@ -64,7 +77,8 @@ def lookup_arrays(
     head = head_of(dim.select(on, value, weight), on, weight, head_rows).drop(weight)
     place = F.struct("_of", "_pos", value, on)
     tried = (
-        elements.join(head, on, "left")
+        hashed(elements, on)
+        .join(head, list(_HASH), "left")
         .groupBy(key)
         .agg(F.collect_list(F.when(F.col("_of") >= 0, place)).alias("_tried"))
     )
