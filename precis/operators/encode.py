@@ -46,6 +46,8 @@ def encode(
     ``[start] + ids + [end]``, truncated to the length and, with ``pad``, filled
     up to it. Truncation comes first, so no row is regrouped beyond its length.
     """
+    if min(columns.values(), default=2) < 2:
+        raise ValueError("a length must leave room for the start and end ids")
     arrays = {c: F.slice(tokens(F.coalesce(c, F.lit(""))), 1, n - 2) for c, n in columns.items()}
     out = lookup_arrays(df, key, arrays, vocab, "token", "token_id", weight="n")
     for c, n in columns.items():

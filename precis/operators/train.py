@@ -18,6 +18,7 @@ from precis.session import path_exists, stage_table
 
 FEATURES = ("place", "place_share", "n_words", "frequency", "frequency_share")
 GRID = (0.0, 0.01, 0.1)
+MAX_ITER = 100
 BEST_SENTENCES = 3
 
 
@@ -115,11 +116,12 @@ def log_loss(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def train_sentence_model(
-    features: DataFrame, grid: Sequence[float] = GRID
+    features: DataFrame, grid: Sequence[float] = GRID, max_iter: int = MAX_ITER
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on train, choose the regularisation by validation loss, report all splits.
 
-    Returns the chosen model and ``(reg_param, split, n_sentences, log_loss, chosen)``.
+    Returns the chosen model and ``(reg_param, split, n_sentences, log_loss, chosen,
+    converged)``; a fit that used up ``max_iter`` steps has not converged.
     """
     spark = features.sparkSession
     features = stage_table(features.select("split", "label", *FEATURES), "features")
@@ -133,15 +135,17 @@ def train_sentence_model(
     prepared = prepare.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     tried = []
     for reg in grid:
-        fitted = LogisticRegression(regParam=reg, maxIter=25, standardization=False).fit(prepared)
+        fitted = LogisticRegression(regParam=reg, maxIter=max_iter, standardization=False).fit(prepared)
+        converged = fitted.summary.totalIterations < max_iter
         model = PipelineModel([*prepare.stages, fitted])
         # One row per split comes back to the driver.
-        tried += [(model, reg, r.split, r.n_sentences, r.log_loss) for r in log_loss(model, features).collect()]
+        losses = log_loss(model, features).collect()
+        tried += [(model, reg, r.split, r.n_sentences, r.log_loss, converged) for r in losses]
     prepared.unpersist()
     validated = [t for t in tried if t[2] == "validation"] or tried
     best = min(validated, key=lambda t: (t[4], t[1]))
-    rows = [(reg, split, n, loss, reg == best[1]) for _, reg, split, n, loss in tried]
-    schema = "reg_param double, split string, n_sentences long, log_loss double, chosen boolean"
+    rows = [(reg, split, n, loss, reg == best[1], done) for _, reg, split, n, loss, done in tried]
+    schema = "reg_param double, split string, n_sentences long, log_loss double, chosen boolean, converged boolean"
     return best[0], spark.createDataFrame(rows, schema)
 
 

@@ -648,6 +648,7 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         "summarize_textrank": with_(PAIRS, SENTENCES, textrank(), chosen("textrank", str(RANK_BASE)), recursive=True)
         + "SELECT id, split, prediction FROM textrank",
         "sentence_features": features(),
+        "training_sizes": f"SELECT split, count(*) AS n_sentences, sum(label)::BIGINT AS n_chosen FROM ({features()}) GROUP BY split",
         "pair_predictions": lead + "SELECT id, split, prediction, summary FROM lead",
         "rouge1": with_(PAIRS, LEAD, ngram_scores("lead", 1, "s")) + "SELECT * FROM s",
         "rouge2": with_(PAIRS, LEAD, ngram_scores("lead", 2, "s")) + "SELECT * FROM s",

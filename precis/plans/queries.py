@@ -403,6 +403,15 @@ def sentence_features(spark, d):
     return features.select("id", "split", "sent", "n_words", "frequency", "overlap", "label")
 
 
+@query
+def training_sizes(spark, d):
+    """What the sentence model learns from, by split."""
+    features = M.sentence_features(load_pairs(spark, d), "id", "dialogue", "summary", ["split"])
+    return features.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_sentences"), F.sum("label").cast("long").alias("n_chosen")
+    )
+
+
 # Scores
 
 

@@ -70,3 +70,9 @@ def test_compute_metrics(spark, vocab):
     df = spark.createDataFrame([("x", [0, 4, 5, 2], [0, 4, 5, 2, -100])], "id string, p array<int>, l array<int>")
     got = {r.metric: r.f1 for r in E.compute_metrics(df, "id", "p", "l", vocab, stemmed=True).collect()}
     assert got == {"rouge1": 1.0, "rouge2": 1.0, "rougeL": 1.0, "rougeLsum": 1.0}
+
+
+def test_lengths_leave_room_for_the_marks(spark, vocab):
+    df = spark.createDataFrame([("a", "x")], "id string, t string")
+    with pytest.raises(ValueError, match="room"):
+        E.encode(df, "id", {"t": 1}, vocab)
