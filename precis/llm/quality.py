@@ -21,6 +21,10 @@ WINDOW = 5
 BASE_WORDS = 10
 BASE_REPEATS = 20  # percent of the words
 
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_other", "n_lines",
+)
+
 _GAP = r"[\x20\x09-\x0D]"
 _NO_GAP = r"[^\x20\x09-\x0D]"
 
@@ -94,34 +98,33 @@ def _found(text: Column, signs: str) -> Column:
     return (F.size(F.split(text, signs)) - 1).cast("long")
 
 
-def measures(df: DataFrame, text: str, name: str) -> DataFrame:
-    """All columns of ``df`` and a struct ``name`` of the text's measures; a null text is empty."""
-    own = F.coalesce(F.col(text), F.lit(""))
+def _once(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df`` with further columns that are computed once, however often later steps name them.
+
+    A generator over one row, as the optimizer would merge plain projections and
+    repeat the columns' expressions wherever they are used.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
+def measures(rows: DataFrame) -> DataFrame:
+    """``row`` and the measures of ``text``, for rows ``(row, text)``; a null text is empty."""
+    own = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(own, f"{_GAP}+"), lambda w: w != "")
-    with_words = df.withColumn(name, F.struct(words.alias("words"), own.alias("text")))
-    w, t = F.col(name)["words"], F.col(name)["text"]
-    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(_NO_GAP))
+    lines = F.filter(F.split(own, "\n"), lambda x: x.rlike(_NO_GAP))
     both = _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d")))
-    return with_words.withColumn(
-        name,
-        F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            _found(t, r"[#*$%&|<>]").alias("n_symbols"),
-            both.alias("lines"),
-            repeated_words(w).alias("n_repeat_words"),
-            _found(t, r"\p{Lu}").alias("n_capitals"),
-            _found(t, r"[^\p{L}\s]").alias("n_other"),
-        ),
-    ).withColumn(
-        name,
-        F.struct(
-            *[F.col(name)[c].alias(c) for c in ("n_words", "word_chars", "n_symbols")],
-            (F.col(name)["lines"]["n"] - F.col(name)["lines"]["d"]).cast("long").alias("n_dup_lines"),
-            *[F.col(name)[c].alias(c) for c in ("n_repeat_words", "n_capitals", "n_other")],
-            F.col(name)["lines"]["n"].cast("long").alias("n_lines"),
-        ),
-    )
+    cut = _once(rows, own.alias("own"), words.alias("words"), both.alias("lines"))
+    return _once(
+        cut.select("row", "own", "words", "lines"),
+        F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        _found(F.col("own"), r"[#*$%&|<>]").alias("n_symbols"),
+        (F.col("lines.n") - F.col("lines.d")).cast("long").alias("n_dup_lines"),
+        repeated_words(F.col("words")).alias("n_repeat_words"),
+        _found(F.col("own"), r"\p{Lu}").alias("n_capitals"),
+        _found(F.col("own"), r"[^\p{L}\s]").alias("n_other"),
+        F.col("lines.n").cast("long").alias("n_lines"),
+    ).select("row", *MEASURES)
 
 
 def base_failed() -> Column:
@@ -157,6 +160,13 @@ def posterior(estimate: Estimate) -> Column:
     return odds / (1 + odds)
 
 
+def _free(df: DataFrame) -> str:
+    name = "quality"
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def estimate(patterns: DataFrame, names: Sequence[str]) -> Estimate:
     """Fit to vote patterns (a column for each rule, and their number ``n``).
 
@@ -191,13 +201,6 @@ def estimate(patterns: DataFrame, names: Sequence[str]) -> Estimate:
     return now
 
 
-def _free(df: DataFrame) -> str:
-    name = "quality"
-    while name in df.columns:
-        name += "_"
-    return name
-
-
 def judged(df: DataFrame, text: str, rules: Sequence[Rule] = RULES, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``df`` and a struct of measures, ``base_failed``, ``posterior`` and ``kept``.
 
@@ -209,8 +212,8 @@ def judged(df: DataFrame, text: str, rules: Sequence[Rule] = RULES, threshold: f
     an empty table gives no rows.
     """
     name = _free(df)
-    measured = measures(df, text, name)
-    return _verdict(measured, name, _fitted(measured.select(f"{name}.*"), rules), rules, threshold)
+    measured = measures(df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text")))
+    return _verdict(measured, _fitted(measured, rules), rules, threshold, name).select("row.*", name)
 
 
 def _fitted(measured: DataFrame, rules: Sequence[Rule]) -> Estimate:
@@ -219,18 +222,17 @@ def _fitted(measured: DataFrame, rules: Sequence[Rule]) -> Estimate:
     return estimate(stage_table(own.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "votes"), names)
 
 
-def _verdict(df: DataFrame, name: str, found: Estimate, rules: Sequence[Rule], threshold: float) -> DataFrame:
-    others = [F.col(c) for c in df.columns if c != name]
-    held = df.select(F.struct(*others).alias("row"), f"{name}.*") if others else df.select(f"{name}.*")
-    kinds = [c for c in held.columns if c != "row"]
-    voted = held.withColumns(votes(rules)).withColumns({"base_failed": base_failed(), "posterior": posterior(found)})
+def _verdict(measured: DataFrame, found: Estimate, rules: Sequence[Rule], threshold: float, name: str) -> DataFrame:
+    """``row`` and the struct ``name``."""
+    voted = _once(measured, *[v.alias(n) for n, v in votes(rules).items()])
+    voted = _once(voted, base_failed().alias("base_failed"), posterior(found).alias("posterior"))
     kept = ~F.col("base_failed") & (F.col("posterior") >= threshold)
-    verdict = F.struct(*kinds, "base_failed", "posterior", kept.alias("kept")).alias(name)
-    return voted.select(*(["row.*"] if others else []), verdict)
+    return voted.select("row", F.struct(*MEASURES, "base_failed", "posterior", kept.alias("kept")).alias(name))
 
 
 def verdicts(df: DataFrame, key: str, text: str, rules: Sequence[Rule] = RULES, threshold: float = THRESHOLD) -> DataFrame:
     """``key``, measures, ``base_failed``, ``posterior`` and ``kept`` of each row; texts are measured once."""
-    measured = stage_table(measures(df.select(F.col(key).alias("key"), text), text, "quality").drop(text), "quality")
-    found = _fitted(measured.select("quality.*"), rules)
-    return _verdict(measured, "quality", found, rules, threshold).select("key", "quality.*")
+    rows = df.select(F.col(key).alias("row"), F.col(text).alias("text"))
+    measured = stage_table(measures(rows), "quality")
+    found = _fitted(measured, rules)
+    return _verdict(measured, found, rules, threshold, "quality").select(F.col("row").alias("key"), "quality.*")
