@@ -17,26 +17,27 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precis.llm.words import Slice, mapped, mix, slices
+from precis.llm.words import Slice, mapped, mix, slices, small_batches
 from precis.session import ship_package, stage_table
 
 WORD, PAIR = 0, 1
 LEVEL_BASE = 1.5
 PRIOR = 2000.0
-BITS_PER_ENTRY = 8
+BITS_PER_ENTRY = 7
 BITS_SET = 3
 # Bound of what is broadcast. A corpus that needs more keeps the n-grams of higher
 # counts: the lowest level kept is the first with which all fits.
-FILTER_BYTES = 112 << 20
+FILTER_BYTES = 96 << 20
 # Words whose exact counts are broadcast for the base score; others are joined.
 HEAD_ROWS = 500_000
 # Tokens that a task counts before it passes the counts on.
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 1_000_000
 
 _U = np.uint64
 _END = _U(0x6A09E667F3BCC909)  # the token that ends a text
@@ -230,6 +231,32 @@ def _word_rows(counts: DataFrame, low: float, high: float) -> DataFrame:
     return mapped(counts.where(F.col("kind") == WORD).select("n", "payload"), rows, "h long, c long")
 
 
+def _filter(counts: DataFrame, shard_bits: int, lowest: int) -> Filter:
+    """The filter of all n-grams from a level on, its regions built by the tasks and laid side by side."""
+
+    def region(batch):
+        rows = []
+        for kind, shard, size, payload in zip(*batch.columns, strict=True):
+            keys, c = _unpack(payload.as_py(), size.as_py())
+            own = level(c) - lowest + 1
+            keys, own = keys[own > 0], own[own > 0]
+            words = int(-(-int(own.sum()) * BITS_PER_ENTRY // 64))
+            rows.append((kind.as_py(), shard.as_py(), _region(keys, own, words).tobytes()))
+        yield _batch(rows, ["kind", "shard", "words"], [pa.int32(), pa.int32(), pa.binary()])
+
+    built = mapped(counts.select("kind", "shard", "n", "payload"), region, "kind int, shard int, words binary").toArrow()
+    places = built.column(0).to_numpy().astype(np.int64) * (1 << shard_bits) + built.column(1).to_numpy()
+    base, size = (np.zeros(2 << shard_bits, dtype=np.int64) for _ in range(2))
+    sizes = pa.compute.binary_length(built.column(2)).to_numpy().astype(np.int64) // 8
+    words = np.empty(int(sizes.sum()), dtype=_U)
+    at, regions = 0, (x for chunk in built.column(2).chunks for x in chunk)
+    for place, n, own in zip(places, sizes, regions, strict=True):
+        words[at : at + n] = np.frombuffer(own.as_buffer(), "<u8")
+        base[place], size[place] = at, n
+        at += int(n)
+    return Filter(Shape(shard_bits, lowest, base, size.astype(_U)), words)
+
+
 def learn(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows: int = HEAD_ROWS) -> Model:
     """Count all words and pairs of ``text`` and build the filter."""
     spark = df.sparkSession
@@ -237,7 +264,8 @@ def learn(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows:
     shard_bits = max(4, (4 * parts - 1).bit_length())
     runs = _runs(df.select(F.col(text).alias("text")), shard_bits)
     merged = runs.groupBy("kind", "shard").applyInArrow(_merge, f"{_RUNS}, total long, levels array<long>")
-    counts = stage_table(merged, "ngrams")
+    with small_batches(spark):
+        counts = stage_table(merged, "ngrams")
     sums = counts.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect()
     by_kind = {r["kind"]: r for r in sums}
     n, v = (by_kind[WORD]["total"], by_kind[WORD]["n"]) if sums else (0, 0)
@@ -246,33 +274,13 @@ def learn(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows:
         levels[r[0], r[1]] = r[2]
 
     lowest = _lowest(levels.sum(axis=0), filter_bytes)
-
-    def region(batch):
-        rows = []
-        for kind, shard, size, payload in zip(*batch.columns, strict=True):
-            keys, c = _unpack(payload.as_py(), size.as_py())
-            own = level(c) - lowest + 1
-            keys, own = keys[own > 0], own[own > 0]
-            words = int(-(-int(own.sum()) * BITS_PER_ENTRY // 64))
-            rows.append((kind.as_py(), shard.as_py(), _region(keys, own, words).tobytes()))
-        yield _batch(rows, ["kind", "shard", "words"], [pa.int32(), pa.int32(), pa.binary()])
-
-    built = mapped(counts.select("kind", "shard", "n", "payload"), region, "kind int, shard int, words binary").toArrow()
-    base, size = (np.zeros(2 << shard_bits, dtype=np.int64) for _ in range(2))
-    places = built.column(0).to_numpy().astype(np.int64) * (1 << shard_bits) + built.column(1).to_numpy()
-    regions = [np.frombuffer(x.as_buffer(), "<u8") for chunk in built.column(2).chunks for x in chunk]
-    at = 0
-    for place, words in zip(places, regions, strict=True):
-        base[place], size[place] = at, len(words)
-        at += len(words)
-    words = np.concatenate([np.zeros(0, _U), *regions])
+    bloom = _filter(counts, shard_bits, lowest)
     head_level = _head_level(levels[WORD], head_rows)
     head_from = float(_LOWEST[head_level - 1]) if head_level <= len(_LOWEST) else float("inf")
     head = _word_rows(counts, head_from, float("inf")).toArrow()
     hashes = head.column(0).to_numpy().view(_U)
     order = np.argsort(hashes)
-    shape = Shape(shard_bits, lowest, base, size.astype(_U))
-    return Model(counts, Filter(shape, words), n, v, head_from, hashes[order], head.column(1).to_numpy()[order])
+    return Model(counts, bloom, n, v, head_from, hashes[order], head.column(1).to_numpy()[order])
 
 
 def score(df: DataFrame, key: str, text: str, learns: Column, **bounds: int) -> DataFrame:
@@ -334,7 +342,9 @@ def score(df: DataFrame, key: str, text: str, learns: Column, **bounds: int) ->
     ship_package(spark)
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"uid long, key {kind}, learned boolean, n_tokens long, known long, base double, score double, rare array<long>"
-    scored = stage_table(rows.mapInArrow(run, schema), "scored")
+    with small_batches(spark):
+        scored = stage_table(rows.mapInArrow(run, schema), "scored")
+    sent.destroy()  # no later step asks for it
     rare = scored.select("uid", F.explode("rare").alias("h"))
     found = rare.join(_word_rows(model.counts, 0, model.head_from), "h", "left").groupBy("uid")
     more = found.agg(

@@ -7,13 +7,14 @@ of its own), so memory follows the longest text and not the batch.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from precis.session import ship_package
 
@@ -132,6 +133,18 @@ def mapped(
     return df.mapInArrow(run, schema)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most so many rows in the jobs run inside, for workers that hold much besides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def counted(df: DataFrame, text: str, out: str) -> DataFrame:
     """All columns of ``df`` and the number of words of ``text`` (null: 0) as ``out``."""
     from pyspark.sql import types as T
