@@ -4,7 +4,10 @@ Counts of words and word pairs are rounded down to levels on a logarithmic scale
 n-gram of level k is put into the filter k times, together with 1 to k; its level is
 read back by asking for 1, 2, 3 and so on until the filter says no. The filter may
 say yes in error, never no, so a level is never too low. It is cut into regions by
-hash, each built by one task and sized by what it holds; the whole is broadcast.
+hash, each built by one task and sized by what it holds. A filter within
+``FILTER_BYTES`` is broadcast; of a larger one each region stays with its shard, and
+the distinct n-grams of blocks of texts are sent there to be read. Both ways give
+the same levels, and all n-grams are in the filter at any size.
 
 A token's probability follows Dirichlet smoothing: the pair's count plus ``PRIOR``
 times the word's own smoothed share, over the context's count plus ``PRIOR``.
@@ -31,8 +34,7 @@ LEVEL_BASE = 1.5
 PRIOR = 2000.0
 BITS_PER_ENTRY = 7
 BITS_SET = 3
-# Bound of what is broadcast. A corpus that needs more keeps the n-grams of higher
-# counts: the lowest level kept is the first with which all fits.
+# Bound of what is broadcast. Of a larger filter ``score`` reads the regions by shard.
 FILTER_BYTES = 96 << 20
 # Words whose exact counts are broadcast for the base score; others are joined.
 HEAD_ROWS = 500_000
@@ -64,9 +66,14 @@ def tokens(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(rows), np.diff(part.first))
     out = np.full(len(part.hashes) + rows, _END, dtype=_U)
     out[np.arange(len(row)) + row] = part.hashes
-    before = np.empty_like(out)
-    before[:1], before[1:] = _END, out[:-1]
-    return out, mix(before * _CONTEXT + out), part.first[:-1] + np.arange(rows)
+    return out, _pairs(out), part.first[:-1] + np.arange(rows)
+
+
+def _pairs(own: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs of tokens with the one before, the first with an end."""
+    before = np.empty_like(own)
+    before[:1], before[1:] = _END, own[:-1]
+    return mix(before * _CONTEXT + own)
 
 
 def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -168,6 +175,20 @@ def _region(keys: np.ndarray, levels: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _read(keys: np.ndarray, words: np.ndarray, base: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """The level of each key in the region of ``size`` words from ``base`` on, at most ``most``; 0: not there."""
+    found = np.zeros(len(keys), dtype=np.int64)
+    alive = np.flatnonzero(size > 0)
+    step = 0
+    while len(alive) and step < most:
+        step += 1
+        word, bits = _places(keys[alive], step, size[alive])
+        there = words[base[alive] + word.astype(np.int64)]
+        alive = alive[(there & bits) == bits]
+        found[alive] = step
+    return found
+
+
 class Filter(NamedTuple):
     """Levels of n-grams, read by repeated membership probes."""
 
@@ -177,18 +198,8 @@ class Filter(NamedTuple):
     def counts(self, kind: int, keys: np.ndarray) -> np.ndarray:
         """A typical count of the level of each key."""
         shape = self.shape
-        found = np.zeros(len(keys), dtype=np.int64)
-        alive = np.arange(len(keys))
         region = kind * (1 << shape.shard_bits) + (keys >> _U(64 - shape.shard_bits)).astype(np.int64)
-        base, size = shape.base[region], shape.size[region]
-        alive = alive[size > 0]
-        step = 0
-        while len(alive) and step + shape.lowest < len(_TYPICAL):
-            step += 1
-            word, bits = _places(keys[alive], step, size[alive])
-            there = self.words[base[alive] + word.astype(np.int64)]
-            alive = alive[(there & bits) == bits]
-            found[alive] = step
+        found = _read(keys, self.words, shape.base[region], shape.size[region], len(_TYPICAL) - shape.lowest)
         return _TYPICAL[np.where(found > 0, found + shape.lowest - 1, 0)]
 
 
@@ -207,9 +218,10 @@ def _head_level(levels: np.ndarray, head_rows: int) -> int:
     return int(np.flatnonzero(np.append(above, 0) <= head_rows)[0]) or 1
 
 
-class Model(NamedTuple):
+class Counted(NamedTuple):
     counts: DataFrame  # merged runs
-    filter: Filter
+    shard_bits: int
+    lowest: int  # the lowest level with which a filter fits the bound
     n: int  # training tokens
     v: int  # distinct words
     head_from: float  # words of at least this count are in the head
@@ -217,6 +229,11 @@ class Model(NamedTuple):
     head_counts: np.ndarray
 
 
+class Model(NamedTuple):
+    counted: Counted
+    filter: Filter
+
+
 def _word_rows(counts: DataFrame, low: float, high: float) -> DataFrame:
     """``(h, c)`` of the words whose count is in [low, high)."""
 
@@ -257,8 +274,8 @@ def _filter(counts: DataFrame, shard_bits: int, lowest: int) -> Filter:
     return Filter(Shape(shard_bits, lowest, base, size.astype(_U)), words)
 
 
-def learn(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows: int = HEAD_ROWS) -> Model:
-    """Count all words and pairs of ``text`` and build the filter."""
+def count(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows: int = HEAD_ROWS) -> Counted:
+    """Count all words and pairs of ``text``."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shard_bits = max(4, (4 * parts - 1).bit_length())
@@ -274,13 +291,105 @@ def learn(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows:
         levels[r[0], r[1]] = r[2]
 
     lowest = _lowest(levels.sum(axis=0), filter_bytes)
-    bloom = _filter(counts, shard_bits, lowest)
     head_level = _head_level(levels[WORD], head_rows)
     head_from = float(_LOWEST[head_level - 1]) if head_level <= len(_LOWEST) else float("inf")
     head = _word_rows(counts, head_from, float("inf")).toArrow()
     hashes = head.column(0).to_numpy().view(_U)
     order = np.argsort(hashes)
-    return Model(counts, bloom, n, v, head_from, hashes[order], head.column(1).to_numpy()[order])
+    return Counted(counts, shard_bits, lowest, n, v, head_from, hashes[order], head.column(1).to_numpy()[order])
+
+
+def learn(df: DataFrame, text: str, filter_bytes: int = FILTER_BYTES, head_rows: int = HEAD_ROWS) -> Model:
+    """Counts of ``text`` and a filter within ``filter_bytes``: of a larger one, the part of the higher levels.
+
+    ``score`` takes such a part for no table; it reads the whole filter by shard.
+    """
+    counted = count(df, text, filter_bytes, head_rows)
+    return Model(counted, _filter(counted.counts, counted.shard_bits, counted.lowest))
+
+
+def _log_chances(seen: np.ndarray, pair: np.ndarray, begin: np.ndarray, ends: float, total: float) -> np.ndarray:
+    """The log10 probability of each text, from the counts of its tokens, of its pairs and of the end."""
+    before = np.empty_like(seen)
+    before[1:] = seen[:-1]
+    before[begin] = ends
+    chance = (np.minimum(pair, before) + PRIOR * (seen + 1) / total) / (before + PRIOR)
+    return np.add.reduceat(np.log10(np.minimum(chance, 1.0)), begin)
+
+
+# What a block of texts asks of the shards (by kind), and where its texts use the answers.
+USES = 2
+_ASKED = "block long, kind int, shard int, n int, payload binary"
+_ASKED_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+_ASKED_NAMES = ["block", "kind", "shard", "n", "payload"]
+
+
+def _asked(block: int, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], shard_bits: int) -> list[tuple]:
+    """Distinct n-grams of a block by kind and shard; its distinct words and of each token the place among them."""
+    rows = []
+    for kind in (WORD, PAIR):
+        keys, back = np.unique(np.concatenate([part[kind] for part in held]), return_inverse=True)
+        if kind == WORD:
+            words, places = keys, back
+        shards = (keys >> _U(64 - shard_bits)).astype(np.int64)
+        edges = np.flatnonzero(np.diff(shards, prepend=-1))
+        for a, b in zip(edges, np.append(edges[1:], len(keys)), strict=True):
+            rows.append((block, kind, int(shards[a]), int(b - a), _pack(keys[a:b], np.zeros(b - a, dtype=np.int64))))
+    begins = np.zeros(len(places), dtype="<u4")
+    at = np.cumsum([0, *(len(part[0]) for part in held)])
+    begins[np.concatenate([part[2] + a for part, a in zip(held, at, strict=False)])] = 1
+    planes = np.stack([places.astype("<u4"), begins]).view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1)
+    payload = zstandard.ZstdCompressor(level=1).compress(words.astype("<u8").tobytes() + planes.tobytes())
+    return [*rows, (block, USES, 0, len(places), payload)]
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """The levels that one shard's region gives for what blocks ask of it; the shard's counts have no block."""
+    kind, shard = table.column(1)[0].as_py(), table.column(2)[0].as_py()
+    words, asked = np.zeros(0, dtype=_U), []
+    for block, n, payload in zip(table.column(0), table.column(3), table.column(4), strict=True):
+        keys, counts = _unpack(payload.as_py(), n.as_py())
+        if block.as_py() is None:
+            own = level(counts)
+            words = _region(keys, own, int(-(-int(own.sum()) * BITS_PER_ENTRY // 64)))
+        else:
+            asked.append((block.as_py(), keys))
+    rows = []
+    for block, keys in asked:
+        base, size = np.zeros(len(keys), dtype=np.int64), np.full(len(keys), len(words), dtype=_U)
+        found = _read(keys, words, base, size, len(_TYPICAL) - 1).astype(np.uint8)
+        rows.append((block, kind, shard, len(keys), zstandard.ZstdCompressor(level=1).compress(found.tobytes())))
+    return pa.Table.from_batches([_batch(rows, _ASKED_NAMES, _ASKED_KINDS)])
+
+
+def _scores_by_shard(asked: DataFrame, counts: DataFrame, total: float) -> DataFrame:
+    """``(uid, score)`` of the texts of all blocks; a block's name is the uid of its first text."""
+    runs = counts.select(F.lit(None).cast("long").alias("block"), "kind", "shard", "n", "payload")
+    answers = asked.where(F.col("kind") != USES).unionByName(runs).groupBy("kind", "shard").applyInArrow(_answered, _ASKED)
+
+    def scored(table: pa.Table) -> pa.Table:
+        levels = {}, {}
+        for kind, shard, n, payload in zip(*table.columns[1:], strict=True):
+            raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload.as_py()), np.uint8)
+            if kind.as_py() == USES:
+                cut = len(raw) - 8 * n.as_py()
+                words = raw[:cut].view("<u8")
+                planes = raw[cut:].reshape(2, 4, n.as_py()).transpose(0, 2, 1)
+                places, begins = np.ascontiguousarray(planes).view("<u4")[:, :, 0]
+            else:
+                levels[kind.as_py()][shard.as_py()] = raw
+        # Pairs are made again from the words: the sorted distinct ones are those that were asked for.
+        own = words[places]
+        back = np.unique(_pairs(own), return_inverse=True)[1]
+        by_kind = (_TYPICAL[np.concatenate([found[s] for s in sorted(found)])] for found in levels)
+        seen, pair = (count[use] for count, use in zip(by_kind, (places, back), strict=True))
+        begin = np.flatnonzero(begins)
+        # The last token of a block ends its last text.
+        scores = _log_chances(seen, pair, begin, seen[-1], total)
+        uids = table.column(0)[0].as_py() + np.arange(len(begin))
+        return pa.table({"uid": pa.array(uids), "score": pa.array(scores)})
+
+    return asked.where(F.col("kind") == USES).unionByName(answers).groupBy("block").applyInArrow(scored, "uid long, score double")
 
 
 def score(df: DataFrame, key: str, text: str, learns: Column, **bounds: int) -> DataFrame:
@@ -296,25 +405,28 @@ def score(df: DataFrame, key: str, text: str, learns: Column, **bounds: int) ->
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(learns, F.lit(False)).alias("learned"))
-    model = learn(rows.where("learned"), "text", **bounds)
+    model = count(rows.where("learned"), "text", **bounds)
     total = float(model.n + model.v + 1)
-    sent = spark.sparkContext.broadcast((model.filter, model.head, model.head_counts))
+    by_shard, shard_bits = model.lowest > 1, model.shard_bits
+    bloom = None if by_shard else _filter(model.counts, shard_bits, 1)
+    sent = spark.sparkContext.broadcast((bloom, model.head, model.head_counts))
+    kind = rows.schema["key"].dataType.simpleString()
+    schema = f"uid long, key {kind}, learned boolean, n_tokens long, known long, base double, score double, rare array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom, head, head_counts = sent.value
         uid = TaskContext.get().partitionId() << 33
+        held, n_held, block = [], 0, uid
+
+        def asked(like: pa.RecordBatch) -> pa.RecordBatch:
+            own = _batch(_asked(block, held, shard_bits), _ASKED_NAMES, _ASKED_KINDS)
+            empty = [pa.nulls(own.num_rows, c.type) for c in like.columns[: -len(_ASKED_NAMES)]]
+            return pa.RecordBatch.from_arrays([*empty, *own.columns], names=like.schema.names)
+
         for batch in batches:
             for part in slices(batch.column(1)):
                 own, pairs, begin = tokens(part)
                 kinds, back = np.unique(own, return_inverse=True)
-                seen = bloom.counts(WORD, kinds)[back]
-                before = np.empty_like(seen)
-                before[1:] = seen[:-1]
-                before[begin] = bloom.counts(WORD, np.array([_END]))[0]
-                pair = np.minimum(bloom.counts(PAIR, pairs), before)
-                chance = (pair + PRIOR * (seen + 1) / total) / (before + PRIOR)
-                scores = np.add.reduceat(np.log10(np.minimum(chance, 1.0)), begin)
-
                 place = np.minimum(np.searchsorted(head, kinds), max(len(head) - 1, 0))
                 known = head[place] == kinds if len(head) else np.zeros(len(kinds), dtype=bool)
                 exact = np.where(known, head_counts[place], 0) if len(head) else np.zeros(len(kinds))
@@ -324,27 +436,45 @@ def score(df: DataFrame, key: str, text: str, learns: Column, **bounds: int) ->
                 n_rare = np.add.reduceat(rare, begin, dtype=np.int64)
                 offsets = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
                 n = len(begin)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uid + np.arange(n)),
-                        batch.column(0).slice(part.row, n),
-                        batch.column(2).slice(part.row, n),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array(sizes - n_rare),
-                        pa.array(np.add.reduceat(base, begin)),
-                        pa.array(scores),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(own[rare].view(np.int64))),
-                    ],
-                    names=["uid", "key", "learned", "n_tokens", "known", "base", "score", "rare"],
-                )
+                if by_shard:
+                    scores = pa.nulls(n, pa.float64())
+                else:
+                    ends = bloom.counts(WORD, np.array([_END]))[0]
+                    scores = _log_chances(bloom.counts(WORD, kinds)[back], bloom.counts(PAIR, pairs), begin, ends, total)
+                columns = {
+                    "uid": pa.array(uid + np.arange(n)),
+                    "key": batch.column(0).slice(part.row, n),
+                    "learned": batch.column(2).slice(part.row, n),
+                    "n_tokens": pa.array(sizes.astype(np.int64)),
+                    "known": pa.array(sizes - n_rare),
+                    "base": pa.array(np.add.reduceat(base, begin)),
+                    "score": pa.array(scores),
+                    "rare": pa.ListArray.from_arrays(pa.array(offsets), pa.array(own[rare].view(np.int64))),
+                }
+                if by_shard:
+                    columns |= {c: pa.nulls(n, t) for c, t in zip(_ASKED_NAMES, _ASKED_KINDS, strict=True)}
+                out = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                yield out
                 uid += n
+                if by_shard:
+                    held.append((own, pairs, begin))
+                    n_held += len(own)
+                    if n_held >= FLUSH_TOKENS:
+                        yield asked(out)
+                        held, n_held, block = [], 0, uid
+        if held:
+            yield asked(out)
 
     ship_package(spark)
-    kind = rows.schema["key"].dataType.simpleString()
-    schema = f"uid long, key {kind}, learned boolean, n_tokens long, known long, base double, score double, rare array<long>"
     with small_batches(spark):
-        scored = stage_table(rows.mapInArrow(run, schema), "scored")
+        scored = stage_table(rows.mapInArrow(run, f"{schema}, {_ASKED}" if by_shard else schema), "scored")
     sent.destroy()  # no later step asks for it
+    if by_shard:
+        asked_of = scored.where(F.col("kind").isNotNull()).select(*_ASKED_NAMES)
+        scored = scored.where(F.col("kind").isNull()).select("uid", "key", "learned", "n_tokens", "known", "base", "rare")
+        with small_batches(spark):
+            by_block = stage_table(_scores_by_shard(asked_of, model.counts, total), "block-scores")
+        scored = scored.join(by_block, "uid")
     rare = scored.select("uid", F.explode("rare").alias("h"))
     found = rare.join(_word_rows(model.counts, 0, model.head_from), "h", "left").groupBy("uid")
     more = found.agg(

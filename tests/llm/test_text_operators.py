@@ -197,6 +197,23 @@ def test_filter_keeps_its_bound(spark):
     assert model.filter.shape.lowest > 1 and model.filter.words.nbytes <= 400 + 8 * len(model.filter.shape.size)
 
 
+def test_scores_do_not_depend_on_the_bound(spark, odd, monkeypatch):
+    """A filter too large to be broadcast is read whole: rare words and pairs count as they do in a small one."""
+    texts = [(i, prose(i % 9, 200 + i)) for i in range(40)] + [(r["doc_id"], r["text"]) for r in odd.collect()]
+    df = spark.createDataFrame(texts, "k long, t string").repartition(3).persist()
+    learns = F.col("k") % 7 != 2
+    fields = ("learned", "n_tokens", "n_known", "train_tokens")
+
+    def scored(**bounds):
+        got = bloom_lm.score(df, "k", "t", learns, **bounds).collect()
+        return sorted((str(r["key"]), *(r[f] for f in fields), round(r["base_score"], 6), round(r["score"], 6)) for r in got)
+
+    want = scored()
+    assert scored(filter_bytes=400) == want
+    monkeypatch.setattr(bloom_lm, "FLUSH_TOKENS", 500)
+    assert scored(filter_bytes=400, head_rows=3) == want
+
+
 def test_probabilities_sum_to_one_at_most(spark):
     """Over all words after one context, with exact counts, the model's probabilities sum to 1."""
     pairs, seen = np.array([3.0, 2.0, 0.0, 0.0]), np.array([9.0, 5.0, 2.0, 1.0])
