@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import bloom_lm, chat, decontaminate, langid, mixing, oracles, quality, simhash, spans, token_files, url_filter
+from precis.llm import (
+    bloom_lm,
+    chat,
+    decontaminate,
+    langid,
+    mixing,
+    oracles,
+    pieces,
+    quality,
+    simhash,
+    spans,
+    token_files,
+    url_filter,
+)
 from precis.llm.words import counted
 from precis.session import scratch_path, stage_table
 from precis.sources.pairs import read_table
@@ -126,3 +139,21 @@ def op10_quotation_linking(spark, d):
 
 
 ORACLES["op10_quotation_linking"] = oracles.QUOTATION_LINKING
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query
+def op13_piece_encoding(spark, d):
+    import public_tokenizers
+
+    docs = read_table(spark, d, "documents")
+    found = pieces.encoded(docs, "doc_id", "text", public_tokenizers.path(PIECES), decode=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
