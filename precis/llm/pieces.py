@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from precis.llm.words import mapped
 
 SPACE = "▁"
-# Words of at most so many characters are remembered, so many of them at a time, and so many pairs of pieces.
+# Words of at most so many characters are remembered, up to twice so many of them, and so many pairs of pieces.
 WORD_LENGTH = 40
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 CACHE_PAIRS = 1_000_000
 # A part of a batch ends when it has this many ids.
 PART_IDS = 1 << 20
@@ -53,16 +53,19 @@ class PieceModel:
         self.end = sp.eos_id()
         self._fit: dict[tuple[str, str], bool] = {}
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self._automaton = ahocorasick.Automaton()
         made = {piece for piece in self._ids if self.merged(piece) == [piece]}  # the merges never end at another
         for piece in made:
-            self._automaton.add_word(piece, piece)
+            if len(piece) > 1:  # a single character is tried anyway
+                self._automaton.add_word(piece, piece)
         self._automaton.make_automaton()
         self._shorter: dict[str, str] = {}
         for piece in made:
             endings = (piece[i:] for i in range(1, len(piece)))
             if len(piece) > 1:
                 self._shorter[piece] = next(x for x in endings if x in made or len(x) == 1)
+        self._joined = {a + b for piece in self._ids for a, b in zip(piece, piece[1:], strict=False)}
         self._words = self._cutter()
 
     def _cutter(self) -> re.Pattern:
@@ -103,14 +106,14 @@ class PieceModel:
         # Matches with one end come longest first, and the last entry of a key stays.
         longest = dict(list(self._automaton.iter(word))[::-1])
         fit, shorter = self._fit.get, self._shorter.get
-        failed = bytearray(len(word) // 8 + 1)
+        failed, marked = bytearray(len(word) // 8 + 1), False
         out: list[str] = []
         end, after = len(word), None
         piece = longest.get(end - 1) or word[end - 1]
         while True:
             while piece is not None:
                 start = end - len(piece)
-                if not failed[start >> 3] >> (start & 7) & 1:
+                if not (marked and failed[start >> 3] >> (start & 7) & 1):
                     if after is None:
                         break
                     fits = fit((piece, after))
@@ -119,6 +122,7 @@ class PieceModel:
                 piece = shorter(piece)
             if piece is None:
                 failed[end >> 3] |= 1 << (end & 7)
+                marked = True
                 end += len(after)
                 piece = shorter(out.pop())
                 after = out[-1] if out else None
@@ -130,15 +134,25 @@ class PieceModel:
             piece = longest.get(end - 1) or word[end - 1]
 
     def _word_ids(self, word: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for piece in self.split(word):
-            number = self._ids.get(piece)
-            ids += [self._bytes[b] for b in piece.encode()] if number is None else [number]
+        ids = self._older.get(word)
+        if ids is None:
+            if 1 < len(word) <= WORD_LENGTH and word[-2:] not in self._joined:  # no piece reaches across
+                ids = self._ids_of(word[:-1]) + self._ids_of(word[-1])
+            else:
+                ids = tuple(chain.from_iterable(map(self._piece_ids, self.split(word))))
         if len(word) <= WORD_LENGTH:
             if len(self._known) >= CACHE_WORDS:
-                self._known.clear()
-            self._known[word] = tuple(ids)
-        return tuple(ids)
+                self._older, self._known = self._known, {}
+            self._known[word] = ids
+        return ids
+
+    def _ids_of(self, word: str) -> tuple[int, ...]:
+        ids = self._known.get(word)
+        return self._word_ids(word) if ids is None else ids
+
+    def _piece_ids(self, piece: str) -> tuple[int, ...]:
+        number = self._ids.get(piece)
+        return tuple(self._bytes[b] for b in piece.encode()) if number is None else (number,)
 
     def encode(self, text: str) -> list[int]:
         words = self._words.findall(self.processor.normalize(text))
