@@ -180,3 +180,108 @@ LEFT JOIN placed b ON b.conv_id = a.conv_id AND b.pos = a.parent
 JOIN bodies t ON t.conv_id = m.conv_id AND t.pos = m.pos
 LEFT JOIN counts c ON c.conv_id = m.conv_id AND c.pos = m.pos
 """
+
+
+# crc32's table by its polynomial (a fixed value), as a list.
+_CRC_TABLE = """crc AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(
+            list_prepend(i, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+        ) AS v FROM range(256) r(i)
+    )
+)"""
+
+
+def _crc32(x: str) -> str:
+    """Unsigned crc32 of a text's bytes; ``t`` is the list above."""
+    code = f"('0x' || substr(hex(encode({x})), 2 * i + 1, 2))::BIGINT"
+    steps = f"list_prepend(4294967295, list_transform(range(octet_length(encode({x}))), lambda i: {code}))"
+    return f"xor(4294967295, list_reduce({steps}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"
+
+
+def _folded(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+# Words of one edit share what is left of them without one place, or one of them is that.
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, w, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all({_folded("text")}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents
+    ) GROUP BY ALL
+),
+hashed AS (SELECT w, n, {_crc32("doc_id::VARCHAR || ':' || w")} AS h FROM runs, crc),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 199 = 0
+            THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word
+        FROM hashed
+    ) GROUP BY word HAVING length(word) >= 6 AND sum(n) >= 5
+),
+less AS (
+    SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)
+),
+pairs AS (
+    SELECT x.word, y.word AS other FROM less x JOIN less y USING (rest, p) WHERE x.word <> y.word
+    UNION SELECT x.word, y.word FROM less x JOIN words y ON x.rest = y.word
+    UNION SELECT y.word, x.word FROM less x JOIN words y ON x.rest = y.word
+),
+best AS (
+    SELECT p.word, count(*) AS n_near, first(p.other ORDER BY o.n DESC, p.other) AS other, max(o.n) AS other_n
+    FROM pairs p JOIN words o ON p.other = o.word GROUP BY p.word
+),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+walk AS (
+    SELECT word, word AS root FROM forms
+    UNION SELECT k.word, f.form FROM walk k JOIN forms f ON k.root = f.word WHERE f.form IS NOT NULL
+),
+ends AS (SELECT k.word, k.root FROM walk k JOIN forms f ON k.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+IMPORTANCE_RESAMPLING = f"""
+WITH {_CRC_TABLE},
+found AS (
+    SELECT 0 AS kind, doc_id AS key, {_folded("text")} AS low FROM documents
+    UNION ALL SELECT 1, item_id, {_folded("text")} FROM benchmark
+),
+words AS (
+    SELECT kind, key, w, count(*) AS n FROM (
+        SELECT kind, key, unnest(regexp_extract_all(low, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM found
+    ) GROUP BY ALL
+),
+buckets AS (SELECT w, {_crc32("w")} % 10000 AS bucket FROM (SELECT DISTINCT w FROM words), crc),
+placed AS (SELECT kind, key, bucket, n FROM words JOIN buckets USING (w)),
+totals AS (
+    SELECT bucket, coalesce(sum(n) FILTER (kind = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 1), 0)::DOUBLE AS t
+    FROM placed GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM totals) + 10000)
+        / ((s + 1) * ((SELECT sum(t) FROM totals) + 10000)))) AS gain FROM totals
+),
+weighed AS (
+    SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight
+    FROM documents LEFT JOIN (
+        SELECT key AS doc_id, sum(n) AS n_features, floor(sum(n * gain) / sum(n)) AS weight
+        FROM placed JOIN gains USING (bucket) WHERE kind = 0 GROUP BY key
+    ) USING (doc_id)
+),
+scored AS (
+    SELECT *, weight + floor(-1000 * ln(-ln((
+        ('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM weighed
+),
+able AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN able USING (doc_id)
+"""

@@ -16,10 +16,12 @@ from precis.llm import (
     oracles,
     pieces,
     quality,
+    resample,
     simhash,
     spans,
     token_files,
     url_filter,
+    variants,
 )
 from precis.llm.words import counted
 from precis.session import scratch_path, stage_table
@@ -141,6 +143,23 @@ def op10_quotation_linking(spark, d):
 ORACLES["op10_quotation_linking"] = oracles.QUOTATION_LINKING
 
 
+@query
+def op11_spelling_variants(spark, d):
+    return variants.variants(read_table(spark, d, "documents"), "doc_id", "text", drop_every=199)
+
+
+ORACLES["op11_spelling_variants"] = oracles.SPELLING_VARIANTS
+
+
+@query
+def op12_importance_resampling(spark, d):
+    docs, target = read_table(spark, d, "documents"), read_table(spark, d, "benchmark")
+    return resample.resample(docs, "doc_id", "text", target, "text").withColumnRenamed("key", "doc_id")
+
+
+ORACLES["op12_importance_resampling"] = oracles.IMPORTANCE_RESAMPLING
+
+
 PIECES = "piece_bpe_32k.model"
 
 

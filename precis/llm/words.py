@@ -92,9 +92,9 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", np.uint8), bounds
 
 
-def spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and end byte of every word; no word crosses a bound."""
-    inside = _IN_WORD[data]
+def spans(data: np.ndarray, bounds: np.ndarray, word_bytes: np.ndarray = _IN_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """First and end byte of every word, a run of ``word_bytes``; no word crosses a bound."""
+    inside = word_bytes[data]
     inner = bounds[(bounds > 0) & (bounds < len(data))]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
