@@ -44,21 +44,21 @@ def encode(
     """``<column>_ids`` and ``<column>_mask`` for every column, at most its length long.
 
     ``[start] + ids + [end]``, truncated to the length and, with ``pad``, filled
-    up to it. Truncation comes first, so no row is regrouped beyond its length.
+    up to it. Every row gives one, whether its key repeats or is null.
     """
     if min(columns.values(), default=2) < 2:
         raise ValueError("a length must leave room for the start and end ids")
     arrays = {c: F.slice(tokens(F.coalesce(c, F.lit(""))), 1, n - 2) for c, n in columns.items()}
-    out = lookup_arrays(df, key, arrays, vocab, "token", "token_id", weight="n")
+    arrays = {f"{c}_ids": a for c, a in arrays.items()}
+    out = lookup_arrays(df, df.columns if keep_source else [key], arrays, vocab, "token", "token_id", weight="n")
     for c, n in columns.items():
-        ids = F.transform(c, lambda x: F.coalesce(x.cast("int"), F.lit(UNKNOWN)))
-        framed = F.concat(F.array(F.lit(START)), ids, F.array(F.lit(END)))
-        out = out.withColumn(f"{c}_ids", framed).drop(c)
+        ids = F.transform(f"{c}_ids", lambda x: F.coalesce(x.cast("int"), F.lit(UNKNOWN)))
+        out = out.withColumn(f"{c}_ids", F.concat(F.array(F.lit(START)), ids, F.array(F.lit(END))))
         real = F.array_repeat(F.lit(1), F.size(f"{c}_ids"))
         out = out.withColumn(f"{c}_mask", padded(real, n, 0) if pad else real)
         if pad:
             out = out.withColumn(f"{c}_ids", padded(F.col(f"{c}_ids"), n, PAD))
-    return df.join(out, key) if keep_source else out
+    return out
 
 
 def padded(array: Column, n: Column | int, fill: int) -> Column:
@@ -89,10 +89,10 @@ def decode(
 ) -> DataFrame:
     """Text of id columns, special ids skipped, as ``(key, keep, <column>_text)``."""
     arrays = {c: F.filter(c, lambda x: x >= FIRST_WORD_ID) for c in columns}
-    out = lookup_arrays(df, key, arrays, vocab, "token_id", "token", weight="n")
-    texts = [F.array_join(F.filter(c, lambda x: x.isNotNull()), " ").alias(f"{c}_text") for c in columns]
-    out = out.select(key, *texts)
-    return df.select(key, *keep).join(out, key) if keep else out
+    arrays = {f"{c}_text": a for c, a in arrays.items()}
+    out = lookup_arrays(df, [key, *keep], arrays, vocab, "token_id", "token", weight="n")
+    texts = [F.array_join(F.filter(f"{c}_text", lambda x: x.isNotNull()), " ").alias(f"{c}_text") for c in columns]
+    return out.select(key, *keep, *texts)
 
 
 def compute_metrics(
@@ -101,7 +101,5 @@ def compute_metrics(
     """ROUGE of predicted against label ids: unmask, decode, score, mean to four digits."""
     ids = df.select(key, predictions, unmask_labels(F.col(labels)).alias(labels))
     texts = decode(ids, key, [predictions, labels], vocab)
-    scores = rouge_scores(
-        texts, [key], f"{predictions}_text", f"{labels}_text", stemmed=stemmed, colocate=False
-    )
+    scores = rouge_scores(texts, [key], f"{predictions}_text", f"{labels}_text", stemmed=stemmed)
     return corpus_scores(scores, ["metric"], digits=4)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,16 +55,19 @@ def array_batch_status(texts: Column) -> Column:
 
 
 def validate_batches(df: DataFrame, batch: str, text: str = "text", max_length: str | None = None) -> DataFrame:
-    """Status per text: that of its batch, then its own.
+    """Status per text: that of its batch, then its own. A text without a batch is ``missing`` one.
 
     Sizes come from a counting aggregation; a batch of any size is never gathered.
+    Every text gets one row back, repeated batches and positions included.
     """
+    apart = df.where(F.col(batch).isNull()).withColumn("status", F.lit("missing"))
     sizes = stage_table(batch_sizes(df, batch).withColumnRenamed("status", "_batch"), "batches")
-    sized = lookup_join(df, sizes, batch, weight="n")
+    # Sizes under names of their own, beside whatever columns the requests have.
+    sizes = sizes.withColumnRenamed("n", "_texts")
+    sized = lookup_join(df.where(F.col(batch).isNotNull()), sizes, batch, weight="_texts")
     own = request_status(F.col(text), max_length=None if max_length is None else F.col(max_length))
-    return sized.withColumn(
-        "status", F.when(F.col("_batch") == "ok", own).otherwise(F.col("_batch"))
-    ).drop("_batch", "n")
+    checked = sized.withColumn("status", F.when(F.col("_batch") == "ok", own).otherwise(F.col("_batch")))
+    return checked.drop("_batch", "_texts").unionByName(apart)
 
 
 def predict(
@@ -75,24 +79,32 @@ def predict(
     max_words: int = MAX_WORDS,
     max_length: str | None = None,
     model: Model | None = None,
+    fitted: PipelineModel | None = None,
 ) -> DataFrame:
     """One response per text: input, summary, both lengths in characters, the time, and any error.
 
     A summary holds at most ``max_words`` words, or as many as the request's own
     ``max_length`` says where it is not null. A plug-in ``model`` (see
     ``summarize_with``) takes the place of the method; if it fails on a text,
-    that response has its message as ``error`` and no summary. A blank text gets an
-    empty summary.
+    that response has its message as ``error`` and no summary. A ``fitted`` model of
+    ``pyspark.ml`` that was saved once (see ``precis.operators.fitted``) takes raw texts
+    from the column ``text`` names and adds ``prediction``; its own budget holds, and the
+    request's, and what it learned stays the same whatever batch it is asked about. A
+    blank text gets an empty summary.
     """
     budget = max_words if max_length is None else F.coalesce(F.col(max_length), F.lit(max_words))
     kept = [text, *[c for c in keep if c != text]]
-    if model is None:
+    if fitted is not None:
+        out = fitted.transform(df.select(key, *kept, F.lit(budget).alias("_request_words")))
+        out = out.withColumn("prediction", cut_words(F.col("prediction"), F.col("_request_words")))
+        out = out.withColumn("error", F.lit(None).cast("string"))
+    elif model is None:
         out = summarize(df, key, text, method, keep=kept, max_words=budget)
         out = out.withColumn("error", F.lit(None).cast("string"))
     else:
-        limited = df.select(key, *kept, F.lit(budget).alias("_budget"))
+        limited = df.select(key, *kept, F.lit(budget).alias("_request_words"))
         out = summarize_with(limited, text, model)
-        out = out.withColumn("prediction", cut_words(F.col("prediction"), F.col("_budget")))
+        out = out.withColumn("prediction", cut_words(F.col("prediction"), F.col("_request_words")))
     return out.select(
         key,
         *[c for c in keep if c != text],
@@ -114,14 +126,16 @@ def predict_batches(
     max_words: int = MAX_WORDS,
     max_length: str | None = None,
     model: Model | None = None,
+    fitted: PipelineModel | None = None,
 ) -> DataFrame:
     """``(batch, results, count)`` of the valid texts of every valid batch, in order.
 
-    Only batches of at most ten texts reach the gathering step.
+    Only batches of at most ten texts reach the gathering step. Texts of one batch
+    and position are answered each, in the order of their text.
     """
     rows = validate_batches(df, batch, text, max_length).where(F.col("status") == "ok")
-    keyed = rows.withColumn("_key", F.concat_ws("/", batch, position))
-    responses = predict(keyed, "_key", text, [batch, position], method, max_words, max_length, model)
+    keyed = rows.withColumn("_key", F.struct(F.col(batch).alias("batch"), F.col(position).alias("position")))
+    responses = predict(keyed, "_key", text, [batch, position], method, max_words, max_length, model, fitted)
     fields = ["input_text", "summary", "input_length", "summary_length", "timestamp", "error"]
     gathered = F.array_sort(F.collect_list(F.struct(position, *fields)))
     return responses.groupBy(batch).agg(gathered.alias("results")).withColumn(

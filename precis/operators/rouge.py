@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from math import exp, factorial
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,14 +88,13 @@ def rouge_scores(
     metrics: Sequence[str] = METRICS,
     keep: Sequence[str] = (),
     stemmed: bool = False,
-    colocate: bool = True,
 ) -> DataFrame:
     """Overlap of ``pred`` and ``ref`` per row, in long form.
 
-    Returns ``key, keep, metric, hits, n_pred, n_ref, precision, recall, f1``.
+    Returns ``key, keep, metric, hits, n_pred, n_ref, precision, recall, f1``, for
+    every row on its own: rows of equal or null key stay apart.
     What needs Python comes first, row by row. Then the rows move once, by
-    ``key`` (not at all with ``colocate=False``, for input already grouped by
-    ``key``, when nothing needs Python). N-gram counting stays inside the tasks,
+    ``key`` and text, so a key that many rows share is spread out. They are numbered where they arrive, and n-gram counting stays inside the tasks,
     with the other columns riding on one marker row per pair.
     """
     ship_package(df.sparkSession)
@@ -108,34 +112,34 @@ def rouge_scores(
         lcs.alias("lcs"),
         lsum.alias("lsum"),
     )
-    needs_python = stemmed or "rougeL" in metrics or "rougeLsum" in metrics
-    if colocate or needs_python:
-        base = base.repartition(*key)
+    own = [*key, "_text", "_row"]
+    base = base.withColumn("_text", F.xxhash64("_p", "_r")).repartition(*key, "_text")
+    base = base.withColumn("_row", F.monotonically_increasing_id())
     if not stemmed:
         base = base.withColumns({"_p": tokens(F.col("_p")), "_r": tokens(F.col("_r"))})
     doc = F.struct("kept", F.size("_p").alias("np"), F.size("_r").alias("nr"), "lcs", "lsum")
-    facts_row = base.select(*key, "_p", "_r", doc.alias("_doc"))
+    facts_row = base.select(*own, "_p", "_r", doc.alias("_doc"))
 
     sizes = [n for n in (1, 2) if f"rouge{n}" in metrics]
     marks = [F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("side")))]
     for n in sizes:
         marks += [_marked(ngrams(F.col("_p"), n), n, 1), _marked(ngrams(F.col("_r"), n), n, 2)]
-    grams = facts_row.select(*key, "_doc", F.inline(F.concat(*marks))).select(
-        *key,
+    grams = facts_row.select(*own, "_doc", F.inline(F.concat(*marks))).select(
+        *own,
         "n",
         "gram",
         (F.col("side") == 1).cast("int").alias("in_pred"),
         (F.col("side") == 2).cast("int").alias("in_ref"),
         F.when(F.col("n") == 0, F.col("_doc")).alias("_doc"),
     )
-    counted = grams.groupBy(*key, "n", "gram").agg(
+    counted = grams.groupBy(*own, "n", "gram").agg(
         F.sum("in_pred").alias("in_pred"),
         F.sum("in_ref").alias("in_ref"),
         F.first("_doc", ignorenulls=True).alias("_doc"),
     )
     shared = F.least("in_pred", "in_ref")
     hits = [F.sum(F.when(F.col("n") == n, shared).otherwise(0)).alias(f"hits{n}") for n in (1, 2)]
-    scored = counted.groupBy(*key).agg(*hits, F.first("_doc", ignorenulls=True).alias("d"))
+    scored = counted.groupBy(*own).agg(*hits, F.first("_doc", ignorenulls=True).alias("d"))
 
     def less(c: str, n: int) -> Column:
         return F.greatest(F.col(c) - (n - 1), F.lit(0)).cast("long")
@@ -166,14 +170,53 @@ def micro(c: str) -> Column:
     return F.round(F.col(c) * MICRO).cast("long")
 
 
+SUMS = ("precision", "recall", "f1")
+
+
+def metric_states(scores: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Partial sums of scores: ``by, n_pairs`` and ``sum_<score>`` in whole millionths.
+
+    States of parts of the data add up exactly to those of the whole, in any order.
+    """
+    sums = [F.sum(micro(c)).alias(f"sum_{c}") for c in SUMS]
+    return scores.groupBy(*by).agg(F.count(F.lit(1)).alias("n_pairs"), *sums)
+
+
+def merge_states(states: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The states of several batches as one for each group."""
+    return states.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("n_pairs", *(f"sum_{c}" for c in SUMS))])
+
+
+def state_means(states: DataFrame, by: Sequence[str], digits: int = 6) -> DataFrame:
+    """Mean precision, recall and F1 of each state; a state without pairs has none."""
+    n = F.col("n_pairs") * F.lit(float(MICRO))
+    means = [F.round(F.try_divide(F.col(f"sum_{c}").cast("double"), n), digits).alias(c) for c in SUMS]
+    return states.select(*by, "n_pairs", *means)
+
+
 def corpus_scores(scores: DataFrame, by: Sequence[str], digits: int = 6) -> DataFrame:
     """Mean precision, recall and F1 per group; partial sums are exact integers."""
-    n = F.count(F.lit(1))
-    means = [
-        F.round(F.sum(micro(c)) / (n * F.lit(float(MICRO))), digits).alias(c)
-        for c in ("precision", "recall", "f1")
-    ]
-    return scores.groupBy(*by).agg(n.alias("n_pairs"), *means)
+    return state_means(metric_states(scores, by), by, digits)
+
+
+class MetricTable:
+    """States of scores by batch below one folder: add batches as they come, compute the means of all so far.
+
+    A batch has a name and one folder; adding it again replaces it, so a repeated
+    batch counts once. Batches may be added by different applications.
+    """
+
+    def __init__(self, path: str, by: Sequence[str]):
+        self.path, self.by = path.rstrip("/"), tuple(by)
+
+    def add_batch(self, scores: DataFrame, batch: str) -> None:
+        metric_states(scores, self.by).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def states(self, spark: SparkSession) -> DataFrame:
+        return spark.read.option("basePath", self.path).parquet(f"{self.path}/batch=*")
+
+    def compute(self, spark: SparkSession, digits: int = 6) -> DataFrame:
+        return state_means(merge_states(self.states(spark), self.by), self.by, digits)
 
 
 # P(X <= k) of the Poisson distribution with mean 1, as thresholds for 32-bit draws in hex.
@@ -182,12 +225,32 @@ POISSON_EDGES = tuple(
 )
 
 
-def poisson_weight(draw: Column) -> Column:
-    """Poisson(1) weight of eight hex digits; they compare as text in number order."""
-    weight = F.when(draw < POISSON_EDGES[0], 0)
-    for k, edge in enumerate(POISSON_EDGES[1:], 1):
-        weight = weight.when(draw < edge, k)
-    return weight.otherwise(len(POISSON_EDGES))
+# Tasks' sums meet in so many lanes first, so that no task merges those of all others.
+_LANES = 64
+
+
+def poisson_weights(keys: Sequence[str | None], replicates: int) -> np.ndarray:
+    """A row's Poisson(1) weight in each replicate: four replicates to the MD5 of key and number."""
+    edges = np.array([int(e, 16) for e in POISSON_EDGES], dtype=np.uint64)
+    fours = [str(i).encode() for i in range((replicates + 3) // 4)]
+    digests = bytearray()
+    for key in keys:
+        start = b"" if key is None else f"{key}:".encode()
+        for four in fours:
+            digests += hashlib.md5(start + four).digest()
+    draws = np.frombuffer(digests, dtype=">u4").reshape(len(keys), -1)[:, :replicates]
+    return np.searchsorted(edges, draws.astype(np.uint64), side="right").astype(np.int64)
+
+
+def _interval(means: np.ndarray) -> list[float]:
+    """The 2.5, 50 and 97.5 % quantiles, by linear interpolation."""
+    means = np.sort(means)
+    out = []
+    for q in (0.025, 0.5, 0.975):
+        at = q * (len(means) - 1)
+        low, high = int(np.floor(at)), int(np.ceil(at))
+        out.append(float(means[low]) if low == high else float((high - at) * means[low] + (at - low) * means[high]))
+    return out
 
 
 def bootstrap_interval(
@@ -201,40 +264,57 @@ def bootstrap_interval(
 
     Poisson resampling needs no draw across rows: a row's weight in a replicate
     comes from the MD5 of its key and the replicate number, four replicates per
-    digest, and is the same on every run. Each task adds its rows into
-    ``replicates`` running sums per group; only these sums are shuffled.
+    digest, and is the same on every run; rows of one key share it, a null key is an
+    empty one. Each task folds its rows into one vector of ``replicates`` sums per
+    group and metric, and only these vectors are shuffled and added up.
     """
-    wide = scores.groupBy(key, *by).agg(
-        *[F.max(F.when(F.col("metric") == m, micro("f1"))).alias(m) for m in metrics]
-    )
-    fours = F.sequence(F.lit(0), F.lit((replicates - 1) // 4))
-    digests = wide.withColumn("four", F.explode(fours)).withColumn(
-        "digest", F.md5(F.concat_ws(":", key, "four"))
-    )
-    draws = digests.select(
-        *by,
-        *metrics,
-        "four",
-        F.posexplode(F.array(*[F.substring("digest", 8 * i + 1, 8) for i in range(4)])).alias(
-            "place", "draw"
-        ),
-    ).withColumn("w", poisson_weight(F.col("draw")))
-    sums = [F.sum(F.col("w") * F.col(m)).alias(m) for m in metrics]
-    resampled = (
-        draws.withColumn("replicate", F.col("four") * 4 + F.col("place"))
-        .where((F.col("replicate") < replicates) & (F.col("w") > 0))
-        .groupBy(*by, "replicate")
-        .agg(F.sum("w").alias("n"), *sums)
-    )
-    by_metric = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("total")) for m in metrics]))
-    means = resampled.select(*by, "n", by_metric).withColumn(
-        "mean", F.col("total") / (F.col("n") * F.lit(float(MICRO)))
-    )
-    q = F.percentile("mean", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975)))
-    return means.groupBy(*by, "metric").agg(q.alias("q")).select(
-        *by,
-        "metric",
-        F.round(F.col("q")[0], 6).alias("low"),
-        F.round(F.col("q")[1], 6).alias("mid"),
-        F.round(F.col("q")[2], 6).alias("high"),
-    )
+    ship_package(scores.sparkSession)
+    groups = [*by, "metric"]
+    fields = {c: scores.schema[c].dataType.simpleString() for c in groups}
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in fields.items()) + ", lane int, n array<long>, total array<long>"
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+        kinds: list[pa.Field] = []
+        for batch in batches:
+            kinds = [batch.schema.field(i) for i in range(len(groups))]
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                named = part.column(len(groups)).dictionary_encode()
+                row_key = pc.fill_null(named.indices, len(named.dictionary)).to_numpy(zero_copy_only=False)
+                weights = poisson_weights([*named.dictionary.to_pylist(), None], replicates)
+                value = part.column(len(groups) + 1).to_numpy(zero_copy_only=False)
+                rows: dict[tuple, list[int]] = {}
+                for i, group in enumerate(zip(*(part.column(j).to_pylist() for j in range(len(groups))), strict=True)):
+                    rows.setdefault(group, []).append(i)
+                for group, own in rows.items():
+                    w = weights[row_key[own]]
+                    n, total = sums.setdefault(group, (np.zeros(replicates, np.int64), np.zeros(replicates, np.int64)))
+                    n += w.sum(axis=0)
+                    total += value[own] @ w
+        lane = TaskContext.get().partitionId() % _LANES
+        longs = pa.list_(pa.int64())
+        out = pa.schema([*kinds, ("lane", pa.int32()), ("n", longs), ("total", longs)])
+        for group, (n, total) in sums.items():
+            row = dict(zip(groups, group, strict=True)) | {"lane": lane, "n": n, "total": total}
+            yield pa.RecordBatch.from_pylist([row], schema=out)
+
+    def merged(parts: pd.DataFrame) -> pd.DataFrame:
+        row = parts.iloc[[0]].copy()
+        for c in ("n", "total"):
+            row[c] = [np.sum(np.stack(parts[c].to_list()), axis=0)]
+        return row
+
+    def quantiles(parts: pd.DataFrame) -> pd.DataFrame:
+        row = merged(parts)
+        n, total = row["n"].iloc[0], row["total"].iloc[0]
+        low, mid, high = _interval(total[n > 0] / (n[n > 0] * float(MICRO))) if (n > 0).any() else [None] * 3
+        return row[groups].assign(low=low, mid=mid, high=high)
+
+    chosen = scores.where(F.col("metric").isin(list(metrics)))
+    chosen = chosen.select(*groups, F.col(key).cast("string").alias("_key"), micro("f1").alias("_f1")).where("_f1 is not null")
+    states = chosen.mapInArrow(fold, schema)
+    lanes = states.groupBy(*groups, "lane").applyInPandas(merged, schema)
+    ends = ", ".join(f"`{c}` {kind}" for c, kind in fields.items()) + ", low double, mid double, high double"
+    found = lanes.groupBy(*groups).applyInPandas(quantiles, ends)
+    return found.select(*groups, *[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])

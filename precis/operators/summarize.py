@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from precis.functions.text import cut_words, let, ngrams, sentences, tokens, words
-from precis.operators.skew import lookup_join
+from precis.operators.skew import lookup_arrays
 from precis.session import ship_package, stage_table
 
 MAX_WORDS = 128
@@ -89,25 +89,6 @@ def summarize_lead(
     return df.select(key, *keep, lead(F.col(text), k, max_words).alias("prediction"))
 
 
-def _assemble(scored: DataFrame, key: str, keep: Sequence[str], max_words: int) -> DataFrame:
-    """From ``(key, sent, score, sentence, doc)`` to one summary per text."""
-    ranked = F.collect_list(
-        F.when(
-            F.col("sentence").isNotNull(),
-            F.struct((-F.col("score")).alias("order"), "sent", "sentence"),
-        )
-    )
-    return (
-        scored.groupBy(key)
-        .agg(F.array_sort(ranked).alias("ranked"), F.first("doc", ignorenulls=True).alias("doc"))
-        .select(
-            key,
-            *[F.col(f"doc.{c}").alias(c) for c in keep],
-            choose_sentences(F.col("ranked"), max_words).alias("prediction"),
-        )
-    )
-
-
 def frequency_scores(texts: pa.Array) -> pa.Array:
     """Scores of the sentences of each text by the text's own frequent words (Luhn 1958).
 
@@ -180,6 +161,32 @@ def fit_idf(df: DataFrame, text: str) -> DataFrame:
     )
 
 
+def weight_sums(texts: pa.Array, weights: pa.Array) -> pa.Array:
+    """For each sentence the sum, over its distinct words, of count in the text times weight.
+
+    ``texts`` holds, per text, the words of every sentence, ``weights`` the weights of
+    all these words one after another (null: 0). A whole Arrow batch is summed at once.
+    """
+    sents = texts.flatten()
+    n_sents = pc.list_value_length(texts).to_numpy(zero_copy_only=False)
+    sent_of = np.repeat(np.arange(len(sents)), pc.list_value_length(sents).to_numpy(zero_copy_only=False))
+    text_of = np.repeat(np.arange(len(texts)), n_sents)[sent_of]
+    words = sents.flatten().dictionary_encode()
+    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    weight = pc.fill_null(weights.flatten(), 0).to_numpy(zero_copy_only=False)
+    _, word_of, counts = np.unique(
+        text_of * (len(words.dictionary) + 1) + codes, return_inverse=True, return_counts=True
+    )
+    _, first = np.unique(sent_of * (len(counts) + 1) + word_of, return_index=True)
+    sums = np.zeros(len(sents), dtype=np.int64)
+    np.add.at(sums, sent_of[first], counts[word_of[first]] * weight[first])
+    ends = np.concatenate([[0], np.cumsum(n_sents)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(sums, pa.int64()))
+
+
+_weight_sums = F.arrow_udf(weight_sums, T.ArrayType(T.LongType()))
+
+
 def summarize_tfidf(
     df: DataFrame,
     idf: DataFrame,
@@ -192,44 +199,28 @@ def summarize_tfidf(
 
     A sentence scores the sum of count-in-text times ``idf`` over its distinct
     words, per word of the sentence. Words unseen when ``idf`` was fitted count 0.
+    Every row has its summary, whether its key repeats or is null.
     """
-    pairs = (
-        df.repartition(key)
-        .select(key, F.posexplode(sentences(F.col(text))).alias("sent", "sentence"))
-        .select(key, "sent", F.explode(tokens(F.col("sentence"))).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count(F.lit(1)).alias("n"), F.collect_set("sent").alias("sents"))
-    )
-    weighted = lookup_join(stage_table(pairs, "words"), idf, "word", weight="df").select(
-        key, F.explode("sents").alias("sent"), (F.col("n") * F.col("idf")).alias("score")
-    )
-    # Every sentence once with nothing, so that the sums line up with the sentences.
-    sents = df.select(key, sentences(F.col(text)).alias("_sents"))
-    nothing = sents.select(key, F.posexplode("_sents").alias("sent", "_sentence")).select(
-        key, "sent", F.lit(0).cast("long").alias("score")
-    )
-    scores = (
-        weighted.unionByName(nothing)
-        .groupBy(key, "sent")
-        .agg(F.sum("score").alias("score"))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("sent", "score"))).alias("_scores"))
+    kept = [key, *keep]
+    split = df.select(*kept, F.lit(max_words).alias("_budget"), sentences(F.col(text)).alias("_sents"))
+
+    def terms() -> Column:
+        return F.transform("_sents", tokens)
+
+    weighted = lookup_arrays(
+        split, [*kept, "_budget", "_sents"], {"_idf": F.flatten(terms())}, idf, "word", "idf", weight="df"
     )
     ranked = F.zip_with(
-        "_scores",
-        "_sents",
-        lambda x, s: F.struct(
-            (-F.floor(x.score / F.size(words(s)))).alias("order"),
-            x.sent.alias("sent"),
-            s.alias("sentence"),
+        F.transform("_sents", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence"))),
+        "_sums",
+        lambda s, total: F.struct(
+            (-F.floor(total / F.size(words(s.sentence)))).alias("order"),
+            s.sent.alias("sent"),
+            s.sentence.alias("sentence"),
         ),
     )
-    none = F.array().cast("array<struct<sent:int,score:bigint>>")
-    return (
-        df.select(key, *keep, F.lit(max_words).alias("_budget"), sentences(F.col(text)).alias("_sents"))
-        .join(scores, key, "left")
-        .withColumn("_scores", F.coalesce("_scores", none))
-        .select(key, *keep, choose_sentences(F.array_sort(ranked), F.col("_budget")).alias("prediction"))
+    return weighted.withColumn("_sums", _weight_sums(terms(), F.col("_idf"))).select(
+        *kept, choose_sentences(F.array_sort(ranked), F.col("_budget")).alias("prediction")
     )
 
 

@@ -59,7 +59,6 @@ class EncodeConfig:
 class TrainConfig:
     dataset: str
     model: str
-    vocab: str
     grid: tuple[float, ...] = GRID
     text_column: str = "dialogue"
     summary_column: str = "summary"
@@ -126,7 +125,7 @@ class JobConfig:
             section("ingest", IngestConfig, source=source, dataset=data),
             section("validate", ValidateConfig, dataset=data, report=f"{root}/report"),
             section("encode", EncodeConfig, dataset=data, encoded=encoded),
-            section("train", TrainConfig, dataset=data, model=model, vocab=f"{encoded}/vocab"),
+            section("train", TrainConfig, dataset=data, model=model),
             section("evaluate", EvaluateConfig, dataset=data, metrics=f"{root}/metrics", models=(model,)),
             f"{root}/history",
         )

@@ -381,7 +381,7 @@ all_rows AS (
 ),
 split_sizes AS (SELECT g.split, count(r.split) AS n_rows FROM registry g LEFT JOIN all_rows r ON r.split = g.split GROUP BY g.split),
 exists_checks AS (
-  SELECT 'split_' || split || '_exists' AS check_key, split IN (SELECT split FROM registry) AS passed, NULL::VARCHAR AS detail FROM required
+  SELECT 'split_' || split || '_exists' AS check_key, split IN (SELECT split FROM pairs UNION ALL SELECT unnest(['empty', 'numbers'])) AS passed, NULL::VARCHAR AS detail FROM required
 ),
 column_checks AS (
   SELECT 'split_' || g.split || '_col_' || w.col AS check_key, c.col IS NOT NULL AS passed, NULL::VARCHAR AS detail
@@ -425,18 +425,25 @@ plain_checks AS (
 
 BATCHES = """
 texts AS (
-  SELECT conv_id // 2 AS batch, (conv_id % 2) * 1000000000000 + turn AS position, text,
-         count(*) OVER (PARTITION BY conv_id // 2) AS n
-  FROM conversations
+  SELECT batch, turn AS position, text, count(*) OVER (PARTITION BY batch) AS n
+  FROM (SELECT CASE WHEN conv_id % 11 <> 0 THEN conv_id // 2 END AS batch, turn, text FROM conversations)
 ),
 checked AS (
   SELECT batch, position, text,
-         CASE WHEN n NOT BETWEEN 1 AND 10 THEN 'batch_size' WHEN text IS NULL THEN 'missing'
+         CASE WHEN batch IS NULL THEN 'missing' WHEN n NOT BETWEEN 1 AND 10 THEN 'batch_size' WHEN text IS NULL THEN 'missing'
               WHEN length(text) < 10 THEN 'too_short' ELSE 'ok' END AS status
   FROM texts
 )"""
 
 
+PLACES = """(
+  SELECT id, split, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS pos
+  FROM (SELECT id, CASE WHEN split <> 'test' THEN split END AS split FROM pairs)
+)"""
+# Very many rows under each of two ids, and those of the test split without one.
+SHARED_ID = "CASE WHEN split <> 'test' THEN split_part(id, '-', 1) END AS id"
+
+
 def lead_text(x: str, n: int | str = MAX_WORDS) -> str:
     return cut(f"array_to_string(list_slice({sents(x)}, 1, 3), ' ')", n)
 
@@ -521,9 +528,58 @@ texts AS MATERIALIZED (SELECT p.id, 'all' AS split, p.text AS prediction, r.text
     )
 
 
+# The greedy choice of sentences: words and pairs of the reference are numbered, every
+# sentence has their counts in a row of that order, and each step takes the best one more.
+GREEDY = f"""
+ref_t AS MATERIALIZED (SELECT id, {toks('summary')} AS t FROM pairs),
+sent_t AS MATERIALIZED (SELECT id, sent, {toks('sentence')} AS t FROM sents),
+ref_g AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY n, g) AS k FROM (
+    SELECT id, n, g, count(*) AS c FROM (
+      SELECT id, 1 AS n, unnest(t) AS g FROM ref_t UNION ALL SELECT id, 2, unnest({grams('t', 2)}) FROM ref_t
+    ) GROUP BY ALL
+  )
+),
+wanted AS MATERIALIZED (
+  SELECT id, list(c ORDER BY k) AS want, count(*) FILTER (n = 1) AS m, sum(c) FILTER (n = 1) AS r1, coalesce(sum(c) FILTER (n = 2), 0) AS r2
+  FROM ref_g GROUP BY id
+),
+sent_g AS MATERIALIZED (
+  SELECT id, sent, k, count(*) AS c FROM (
+    SELECT id, sent, 1 AS n, unnest(t) AS g FROM sent_t UNION ALL SELECT id, sent, 2, unnest({grams('t', 2)}) FROM sent_t
+  ) JOIN ref_g r USING (id, n, g) GROUP BY ALL
+),
+rows_g AS MATERIALIZED (
+  SELECT x.id, x.sent, len(x.t) AS n1, greatest(len(x.t) - 1, 0) AS n2, list(coalesce(c.c, 0) ORDER BY r.k) AS have
+  FROM sent_t x JOIN ref_g r ON r.id = x.id LEFT JOIN sent_g c ON c.id = x.id AND c.sent = x.sent AND c.k = r.k
+  GROUP BY x.id, x.sent, x.t
+),
+greedy_walk AS (
+  SELECT id, 0 AS pick, -1::BIGINT AS sent, 0::HUGEINT AS score, []::BIGINT[] AS chosen, want AS rest, 0::HUGEINT AS h1, 0::HUGEINT AS h2, 0::HUGEINT AS p1, 0::HUGEINT AS p2
+  FROM wanted
+  UNION ALL
+  SELECT id, pick + 1, sent, total, list_append(chosen, sent), list_transform(range(1, len(rest) + 1), lambda i: rest[i] - more[i]), h1, h2, p1, p2
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY total DESC, sent) AS place
+    FROM (
+      SELECT *, (2000000 * h1) // greatest(p1 + r1, 1) + (2000000 * h2) // greatest(p2 + r2, 1) AS total
+      FROM (
+        SELECT w.id, w.pick, w.score, w.chosen, w.rest, x.sent, x.more, g.r1, g.r2, w.p1 + x.n1 AS p1, w.p2 + x.n2 AS p2,
+               w.h1 + list_sum(list_slice(x.more, 1, g.m)) AS h1, w.h2 + coalesce(list_sum(list_slice(x.more, g.m + 1, len(x.more))), 0) AS h2
+        FROM greedy_walk w JOIN wanted g ON g.id = w.id JOIN LATERAL (
+          SELECT y.id, y.sent, y.n1, y.n2, list_transform(range(1, len(y.have) + 1), lambda i: least(y.have[i], w.rest[i])) AS more
+          FROM rows_g y WHERE y.id = w.id AND NOT list_contains(w.chosen, y.sent)
+        ) x ON true
+      )
+    )
+  ) WHERE place = 1 AND total > score
+),
+greedy AS MATERIALIZED (SELECT id, pick, sent, score::BIGINT AS score FROM greedy_walk WHERE pick > 0)"""
+
+
 def features() -> str:
     return (
-        with_(PAIRS, SENTENCES)
+        with_(PAIRS, SENTENCES, GREEDY, recursive=True)
         + f""",
 ref AS MATERIALIZED (SELECT DISTINCT id, word FROM (SELECT id, unnest({toks('summary')}) AS word FROM pairs)),
 ref_n AS (SELECT id, count(*) AS n_ref FROM ref GROUP BY id),
@@ -539,19 +595,24 @@ sized AS (
               THEN round(2.0::DOUBLE * shared / (n_distinct + coalesce(n_ref, 0)), 6) ELSE 0 END AS overlap
   FROM per_sent p JOIN sents s USING (id, sent) LEFT JOIN ref_n USING (id)
 )
-SELECT id, split, sent::INT AS sent, n_words, frequency, overlap,
-       CASE WHEN row_number() OVER (PARTITION BY id ORDER BY overlap DESC, sent) <= 3 AND overlap > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS label
-FROM sized JOIN pairs USING (id)"""
+SELECT id, split, sent::INT AS sent, n_words, frequency, overlap, CASE WHEN g.pick IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS label
+FROM sized JOIN pairs USING (id) LEFT JOIN greedy g USING (id, sent)"""
     )
 
 
+# Every tenth run has no name.
+LOSSES = """
+losses AS (
+  SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS run, event_id AS step, value AS loss FROM events WHERE value IS NOT NULL
+)"""
+
+
 def early_stop() -> str:
-    return """
-WITH numbered AS (
-  SELECT user_id AS run, event_id AS step, value AS loss,
-         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos,
-         min(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lowest
-  FROM events WHERE value IS NOT NULL
+    return f"""WITH {LOSSES},
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY step) AS pos,
+         min(loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lowest
+  FROM losses
 ),
 marked AS (
   SELECT *, max(CASE WHEN lowest IS NULL OR loss < lowest THEN pos END) OVER (PARTITION BY run ORDER BY pos) AS best_pos FROM numbered
@@ -560,8 +621,8 @@ stops AS (
   SELECT run, min(pos) FILTER (WHERE pos - best_pos >= 3) AS stop_pos, max(best_pos) AS final_pos FROM marked GROUP BY run
 )
 SELECT s.run, e.step AS stop_step, b.step AS best_step, b.loss AS best_loss
-FROM stops s LEFT JOIN marked e ON e.run = s.run AND e.pos = s.stop_pos
-JOIN marked b ON b.run = s.run AND b.pos = coalesce(s.stop_pos - 3, s.final_pos)"""
+FROM stops s LEFT JOIN marked e ON e.run IS NOT DISTINCT FROM s.run AND e.pos = s.stop_pos
+JOIN marked b ON b.run IS NOT DISTINCT FROM s.run AND b.pos = coalesce(s.stop_pos - 3, s.final_pos)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -581,7 +642,8 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT split, count(*) AS n_rows, sum(length(dialogue) + length(summary))::BIGINT AS n_chars FROM pairs GROUP BY split"
         " UNION ALL SELECT 'holdout', 0, 0",
         "ingest_idempotent": pairs
-        + "SELECT split, count(*) AS n_rows, true AS written_first, false AS written_again FROM pairs GROUP BY split",
+        + "SELECT split, count(*) FILTER (NOT ends_with(id, '7')) AS n_rows, count(*) AS n_before,"
+        " 'written' AS first, 'kept' AS again, 'refused' AS changed, 'replaced' AS by_choice FROM pairs GROUP BY split",
         "json_roundtrip": "SELECT doc_id, lang, source, n_chars, text FROM documents",
         "size_units": f"SELECT doc_id, strlen(text)::INT AS length, {_size('strlen(text)')} AS size FROM documents",
         "latest_artifact": f"""
@@ -603,7 +665,7 @@ WHERE d.doc_id IS NULL OR l.doc_id IS NULL""",
         "row_at": pairs
         + "SELECT split, id, dialogue FROM pairs QUALIFY row_number() OVER (PARTITION BY split ORDER BY id) = 2",
         "batch_chunks": pairs
-        + "SELECT id, split, pos, pos // 8 AS chunk FROM (SELECT id, split, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS pos FROM pairs)",
+        + f"SELECT id, split, pos, pos // 8 AS chunk FROM {PLACES}",
         "split_exists_check": with_(PAIRS, CHECKED) + "SELECT check_key, passed FROM exists_checks",
         "column_check": with_(PAIRS, CHECKED) + "SELECT check_key, passed FROM column_checks",
         "type_check": with_(PAIRS, CHECKED) + "SELECT * FROM type_checks",
@@ -644,25 +706,34 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         "summarize_frequency": with_(PAIRS, SENTENCES, FREQUENCY, chosen("frequency"), recursive=True)
         + "SELECT id, split, prediction FROM frequency",
         "summarize_tfidf": with_(PAIRS, SENTENCES, TFIDF, chosen("tfidf"), recursive=True)
-        + "SELECT id, split, prediction FROM tfidf",
+        + f"SELECT {SHARED_ID}, split, prediction FROM tfidf",
         "summarize_textrank": with_(PAIRS, SENTENCES, textrank(), chosen("textrank", str(RANK_BASE)), recursive=True)
         + "SELECT id, split, prediction FROM textrank",
+        "oracle_labels": with_(PAIRS, SENTENCES, GREEDY, recursive=True)
+        + "SELECT id, split, pick::INT AS pick, sent::INT AS sent, score FROM greedy JOIN pairs USING (id)",
+        "saved_tfidf_model": with_(PAIRS, SENTENCES, TFIDF, chosen("tfidf"), recursive=True)
+        + "SELECT id, split, prediction AS summary, length(prediction)::INT AS summary_length, NULL::VARCHAR AS error FROM tfidf",
         "sentence_features": features(),
         "training_sizes": f"SELECT split, count(*) AS n_sentences, sum(label)::BIGINT AS n_chosen FROM ({features()}) GROUP BY split",
         "pair_predictions": lead + "SELECT id, split, prediction, summary FROM lead",
-        "rouge1": with_(PAIRS, LEAD, ngram_scores("lead", 1, "s")) + "SELECT * FROM s",
-        "rouge2": with_(PAIRS, LEAD, ngram_scores("lead", 2, "s")) + "SELECT * FROM s",
-        "rougeL": with_(PAIRS, LEAD, lcs_scores("lead", "s"), recursive=True) + "SELECT * FROM s",
-        "rougeLsum": with_(PAIRS, LEAD, union_lcs_scores("lead", "s"), recursive=True) + "SELECT * FROM s",
+        "rouge1": with_(PAIRS, LEAD, ngram_scores("lead", 1, "s")) + f"SELECT * REPLACE ({SHARED_ID}) FROM s",
+        "rouge2": with_(PAIRS, LEAD, ngram_scores("lead", 2, "s")) + f"SELECT * REPLACE ({SHARED_ID}) FROM s",
+        "rougeL": with_(PAIRS, LEAD, lcs_scores("lead", "s"), recursive=True) + f"SELECT * REPLACE ({SHARED_ID}) FROM s",
+        "rougeLsum": with_(PAIRS, LEAD, union_lcs_scores("lead", "s"), recursive=True) + f"SELECT * REPLACE ({SHARED_ID}) FROM s",
         "rouge_corpus": compared() + "SELECT * FROM scores",
         "rouge_bootstrap": bootstrap(),
+        "metric_batches": with_(
+            PAIRS, LEAD, ngram_scores("lead", 1, "s1"), ngram_scores("lead", 2, "s2"), lcs_scores("lead", "sl"),
+            union_lcs_scores("lead", "su"), recursive=True,
+        )
+        + corpus("(SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM sl UNION ALL SELECT * FROM su)", "split, metric"),
         "metrics_rounded": compared() + "SELECT model, split, metric, round(f1, 4) AS f1 FROM scores",
         "metrics_wide": compared()
         + f"SELECT * FROM ({wide()}) CROSS JOIN (SELECT unnest(['csv', 'json']) AS file)",
         "evaluate_models": compared() + wide(),
         "batch_progress": pairs
         + "SELECT split, group_no, count(*) AS n_rows, max(pos) + 1 AS done FROM (SELECT split, pos, pos // 8 // 50 AS group_no"
-        " FROM (SELECT split, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS pos FROM pairs)) GROUP BY ALL",
+        f" FROM {PLACES}) GROUP BY ALL",
         "request_validation": f"SELECT doc_id, length(text)::INT AS n_chars, {STATUS.format(n='length(text)')} AS status FROM documents",
         "request_validation_trimmed": f"SELECT doc_id, length({strip('text')})::INT AS n_chars,"
         f" {STATUS.format(n='length(' + strip('text') + ')')} AS status FROM documents",
@@ -686,11 +757,18 @@ FROM (
   SELECT doc_id, CASE WHEN own = 'ok' AND n NOT BETWEEN 1 AND 512 THEN 'max_length' ELSE own END AS status, {lead_text('text', 'n')} AS s
   FROM (SELECT *, {STATUS.format(n='length(text)')} AS own, coalesce({budget('doc_id')}, {MAX_WORDS}) AS n FROM documents)
 )""",
+        "stream_predict_once": f"""
+SELECT doc_id, status, CASE WHEN status = 'ok' THEN s END AS summary, CASE WHEN status = 'ok' THEN length(s)::INT END AS summary_length,
+       NULL::VARCHAR AS error
+FROM (SELECT doc_id, {STATUS.format(n='length(text)')} AS status, {lead_text('text')} AS s FROM documents)""",
+        "stream_window_totals": """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n_rows,
+       sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS cents, max(value) AS highest FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
         "stream_blank_check": f"""
 SELECT role, 'text' AS column, count(*) AS n_rows, count(*) FILTER (WHERE text IS NULL OR regexp_full_match(text, '{SPACE}*')) AS n_blank,
        count(text) AS n_values, sum(length(text))::BIGINT AS n_chars FROM conversations GROUP BY role""",
-        "best_step": "SELECT user_id AS run, count(*) AS n_steps, arg_min(event_id, (value, event_id)) AS best_step, min(value) AS best_loss"
-        " FROM events WHERE value IS NOT NULL GROUP BY user_id",
+        "best_step": with_(LOSSES)
+        + "SELECT run, count(*) AS n_steps, arg_min(step, (loss, step)) AS best_step, min(loss) AS best_loss FROM losses GROUP BY run",
         "early_stop": early_stop(),
     }
     return out

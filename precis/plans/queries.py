@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precis.functions import text as T
 from precis.operators import encode as E
 from precis.operators import evaluate as EV
+from precis.operators import fitted as FT
 from precis.operators import history as H
 from precis.operators import requests as R
 from precis.operators import rouge as G
@@ -66,12 +68,19 @@ def _document_requests(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _turn_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Two consecutive conversations make one batch of texts."""
-    return read_table(spark, d, "conversations").select(
-        F.floor(F.col("conv_id") / 2).alias("batch"),
-        (F.col("conv_id") % 2 * 10**12 + F.col("turn")).alias("position"),
-        "text",
-    )
+    """Two consecutive conversations make one batch, with each position twice; some texts have no batch."""
+    batch = F.when(F.col("conv_id") % 11 != 0, F.floor(F.col("conv_id") / 2))
+    return read_table(spark, d, "conversations").select(batch.alias("batch"), F.col("turn").alias("position"), "text")
+
+
+def _shared_ids(rows: DataFrame) -> DataFrame:
+    """Very many rows under each of two ids, and those of the test split without one."""
+    return rows.withColumn("id", F.when(F.col("split") != "test", F.substring_index("id", "-", 1)))
+
+
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs' ids by split, those of the test split without a split."""
+    return load_pairs(spark, d).select("id", F.nullif(F.col("split"), F.lit("test")).alias("split"))
 
 
 def _saved(spark: SparkSession, d: str, names: tuple[str, ...] = SPLITS) -> dict[str, DataFrame]:
@@ -132,14 +141,20 @@ def save_splits(spark, d):
 
 @query
 def ingest_idempotent(spark, d):
+    """The same rows in another order are kept, other rows are refused or put in their place."""
     root = scratch_path(spark, "ingest")
     pairs = load_pairs(spark, d)
-    first = SP.ingest(pairs, root, SPLITS)
-    second = SP.ingest(pairs.limit(0), root, SPLITS)
-    kept = SP.union_splits(SP.load_splits(spark, root, SPLITS))
-    return kept.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")).withColumns(
-        {"written_first": F.lit(first), "written_again": F.lit(second)}
-    )
+    changed = pairs.where(~F.col("id").endswith("7"))
+    told = {"first": SP.ingest(pairs, root, SPLITS), "again": SP.ingest(pairs.repartition(3, "id"), root, SPLITS)}
+    try:
+        told["changed"] = SP.ingest(changed, root, SPLITS)
+    except ValueError:
+        told["changed"] = "refused"
+    sizes = {"kept": SP.union_splits(SP.load_splits(spark, root, SPLITS)).groupBy("split").count().collect()}
+    told["by_choice"] = SP.ingest(changed, root, SPLITS, on_change="replace")
+    now = SP.union_splits(SP.load_splits(spark, root, SPLITS)).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    before = spark.createDataFrame([(r["split"], r["count"]) for r in sizes["kept"]], "split string, n_before long")
+    return now.join(before, "split").withColumns({k: F.lit(v) for k, v in told.items()})
 
 
 @query
@@ -197,12 +212,12 @@ def row_at(spark, d):
 
 @query
 def batch_chunks(spark, d):
-    return SP.batch_chunks(load_pairs(spark, d).select("id", "split"), BATCH)
+    return SP.batch_chunks(_places(spark, d), BATCH)
 
 
 @query
 def batch_progress(spark, d):
-    return SP.batch_progress(SP.batch_chunks(load_pairs(spark, d).select("id", "split"), BATCH))
+    return SP.batch_progress(SP.batch_chunks(_places(spark, d), BATCH))
 
 
 # Validation
@@ -210,8 +225,10 @@ def batch_progress(spark, d):
 
 @query
 def split_exists_check(spark, d):
-    present = spark.createDataFrame([(s,) for s in _checked(spark, d)], "split string")
-    return V.split_exists(present, STRICT).select("check_key", "passed")
+    """Which splits the data itself has, beside the two that were put there on purpose."""
+    own = load_pairs(spark, d).select("split").distinct()
+    made = spark.createDataFrame([("empty",), ("numbers",)], "split string")
+    return V.split_exists(own.unionByName(made), STRICT).select("check_key", "passed")
 
 
 @query
@@ -383,7 +400,7 @@ def summarize_frequency(spark, d):
 @query
 def summarize_tfidf(spark, d):
     pairs = load_pairs(spark, d)
-    return S.summarize(pairs, "id", "dialogue", "tfidf", ["split"], fit_on=_train(pairs))
+    return S.summarize(_shared_ids(pairs), "id", "dialogue", "tfidf", ["split"], fit_on=_train(pairs))
 
 
 @query
@@ -397,6 +414,23 @@ def train_sentence_model(spark, d):
     return M.train_sentence_model(features)[1]
 
 
+@query
+def oracle_labels(spark, d):
+    return M.oracle_labels(load_pairs(spark, d), "id", "dialogue", "summary", ["split"])
+
+
+@query
+def saved_tfidf_model(spark, d):
+    """Word weights learned from the train split, saved, loaded, and asked in two batches of requests."""
+    pairs = load_pairs(spark, d)
+    path = scratch_path(spark, "tfidf-model")
+    PipelineModel([FT.TfidfSummariser(textCol="dialogue").fit(_train(pairs))]).save(path)
+    fitted = PipelineModel.load(path)
+    odd = F.crc32(F.col("id").cast("binary")) % 2 == 1
+    parts = [R.predict(pairs.where(odd == F.lit(x)), "id", "dialogue", ["split"], fitted=fitted) for x in (True, False)]
+    return parts[0].unionByName(parts[1]).select("id", "split", "summary", "summary_length", "error")
+
+
 @query
 def sentence_features(spark, d):
     features = M.sentence_features(load_pairs(spark, d), "id", "dialogue", "summary", ["split"])
@@ -417,7 +451,7 @@ def training_sizes(spark, d):
 
 def _rouge(spark: SparkSession, d: str, metric: str, stemmed: bool = False) -> DataFrame:
     return G.rouge_scores(
-        _lead(spark, d), ["id"], "prediction", "summary", [metric], ["split"], stemmed
+        _shared_ids(_lead(spark, d)), ["id"], "prediction", "summary", [metric], ["split"], stemmed
     )
 
 
@@ -464,6 +498,16 @@ def rouge_corpus(spark, d):
     return _compared(spark, d)
 
 
+@query
+def metric_batches(spark, d):
+    """Scores that come in three batches, one of them twice, as one table of states."""
+    lead = _lead(spark, d).withColumn("day", F.crc32(F.col("id").cast("binary")) % 3)
+    table = G.MetricTable(scratch_path(spark, "metric-states"), ["split", "metric"])
+    for day in (0, 1, 2, 1):
+        table.add_batch(G.rouge_scores(lead.where(F.col("day") == day), ["id"], "prediction", "summary", keep=["split"]), f"day{day}")
+    return table.compute(spark)
+
+
 @query
 def rouge_bootstrap(spark, d):
     scores = G.rouge_scores(
@@ -563,6 +607,40 @@ def stream_predict(spark, d):
     return spark.read.parquet(out).select("doc_id", "status", "summary", "summary_length", "error")
 
 
+@query
+def stream_predict_once(spark, d):
+    """Requests in four deliveries, each also with a third of the one before: every one is answered once."""
+    docs = read_documents(spark, d).select(
+        "doc_id", "text", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id") % 600).alias("sent")
+    )
+    folder = scratch_path(spark, "deliveries")
+    part = F.col("doc_id") % 4
+    for n in range(4):
+        again = (part == (n - 1) % 4) & (F.col("doc_id") % 3 == 0)
+        docs.where((part == n) | again).write.parquet(f"{folder}/delivery={n}")
+    out, checkpoint = scratch_path(spark, "responses"), scratch_path(spark, "checkpoint")
+    for _ in range(2):  # the second run goes on from the checkpoint and finds nothing new
+        arrivals = scoring.stream_table(spark, folder, "doc_id long, text string, sent timestamp", "*.parquet", 1)
+        query = scoring.score_stream(arrivals, out, checkpoint, "doc_id", sent="sent", within="1 hour")
+        query.awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "status", "summary", "summary_length", "error")
+
+
+@query
+def stream_window_totals(spark, d):
+    """Events per day and kind, kept up to date by a stateful aggregation as they come in pieces."""
+    folder = scratch_path(spark, "event-pieces")
+    read_table(spark, d, "events").select("ts", "event_type", "value").repartition(4, "ts").write.parquet(folder)
+    arrivals = scoring.stream_table(spark, folder, "ts timestamp, event_type string, value double", "*.parquet", 1)
+    cents = {"cents": F.sum(F.round(F.col("value") * 100).cast("long")), "highest": F.max("value")}
+    # The pieces hold events of all days, so the delay covers them all and none is late.
+    totals = scoring.window_totals(arrivals, "ts", "1 day", "3650 days", ["event_type"], cents)
+    out, checkpoint = scratch_path(spark, "totals"), scratch_path(spark, "checkpoint")
+    scoring.totals_stream(totals, out, checkpoint).awaitTermination()
+    shown = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")
+    return scoring.latest_totals(spark.read.parquet(out), ["event_type"]).select(shown, "event_type", "n_rows", "cents", "highest")
+
+
 @query
 def stream_blank_check(spark, d):
     out, checkpoint = scratch_path(spark, "checks"), scratch_path(spark, "checkpoint")
@@ -575,9 +653,9 @@ def stream_blank_check(spark, d):
 
 
 def _losses(spark: SparkSession, d: str) -> DataFrame:
-    """Events as evaluations: a user is a run, an event a step, its value the loss."""
+    """Events as evaluations: a user is a run, an event a step, its value the loss; every tenth run has no name."""
     return read_table(spark, d, "events").select(
-        F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss")
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss")
     )
 
 

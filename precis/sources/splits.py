@@ -6,6 +6,8 @@ split keeps its directory, so that "empty" and "missing" stay different.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -25,6 +27,7 @@ def pair_schema(text: str = "dialogue", summary: str = "summary") -> T.StructTyp
 
 PAIR_SCHEMA = pair_schema()
 DONE = "_DATASET_COMPLETE"
+CONTENT = "_CONTENT-"
 
 
 def load_splits(
@@ -49,8 +52,8 @@ def union_splits(splits: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def save_splits(df: DataFrame, root: str, names: Sequence[str]) -> None:
-    """Write a table with a ``split`` column in one pass, then the empty splits of ``names``."""
+def save_splits(df: DataFrame, root: str, names: Sequence[str], marks: Sequence[str] = ()) -> None:
+    """Write a table with a ``split`` column in one pass, then the empty splits of ``names``, then marker files."""
     spark = df.sparkSession
     df.write.mode("overwrite").partitionBy("split").parquet(root)
     empty = spark.createDataFrame([], df.drop("split").schema)
@@ -58,7 +61,8 @@ def save_splits(df: DataFrame, root: str, names: Sequence[str]) -> None:
         path = f"{root}/split={name}"
         if not path_exists(spark, path):
             empty.write.parquet(path)
-    write_file(spark, f"{root}/{DONE}")
+    for mark in (*marks, DONE):
+        write_file(spark, f"{root}/{mark}")
 
 
 def save_split_tables(splits: Mapping[str, DataFrame], root: str) -> None:
@@ -69,12 +73,39 @@ def save_split_tables(splits: Mapping[str, DataFrame], root: str) -> None:
     write_file(spark, f"{root}/{DONE}")
 
 
-def ingest(df: DataFrame, root: str, names: Sequence[str]) -> bool:
-    """Save unless a complete dataset is there. An empty or half-written one is replaced."""
-    if path_exists(df.sparkSession, f"{root}/{DONE}"):
-        return False
-    save_splits(df, root, names)
-    return True
+def content_mark(df: DataFrame) -> str:
+    """A name for what a table with a ``split`` column holds, whatever the order of its rows and files.
+
+    Per split the rows are counted and two hashes of each are added up, so that a
+    changed, missing, added or repeated row gives another name. One pass, sums only.
+    """
+    cols = sorted(df.columns)
+    marks = df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("a"),
+        F.sum(F.xxhash64(F.lit("mark"), *cols).cast("decimal(38,0)")).alias("b"),
+    )
+    rows = sorted(([str(v) for v in r] for r in marks.collect()), key=str)
+    return hashlib.sha256(json.dumps([cols, rows]).encode()).hexdigest()[:32]
+
+
+def ingest(df: DataFrame, root: str, names: Sequence[str], on_change: str = "refuse") -> str:
+    """Save a dataset once: ``written``, ``kept`` if it is there already, or ``replaced``.
+
+    An empty or half-written dataset is written over. A complete one is kept if its
+    content mark is that of ``df``; with other content it is an error, or with
+    ``on_change="replace"`` a replacement.
+    """
+    if on_change not in ("refuse", "replace"):
+        raise ValueError(f"unknown choice {on_change!r}")
+    spark, mark = df.sparkSession, content_mark(df)
+    complete = path_exists(spark, f"{root}/{DONE}")
+    if complete and path_exists(spark, f"{root}/{CONTENT}{mark}"):
+        return "kept"
+    if complete and on_change == "refuse":
+        raise ValueError(f"{root} holds other data")
+    save_splits(df, root, names, [f"{CONTENT}{mark}"])
+    return "replaced" if complete else "written"
 
 
 def preview(df: DataFrame, key: str = "id", text: str = "dialogue", chars: int = 200) -> DataFrame:
@@ -100,7 +131,7 @@ def head_rows(df: DataFrame, k: int, key: str = "id") -> DataFrame:
 def row_at(df: DataFrame, position: int, key: str = "id") -> DataFrame:
     """The row at ``position`` (from 0) of every split, in key order."""
     numbered = with_positions(df.select("split", key), [key], ["split"])
-    return df.join(F.broadcast(numbered.where(F.col("pos") == position)), ["split", key]).drop("pos")
+    return df.join(numbered.where(F.col("pos") == position), ["split", key]).drop("pos")
 
 
 def batch_chunks(df: DataFrame, size: int, key: str = "id") -> DataFrame:

@@ -46,6 +46,18 @@ def test_batch_status_per_text(batches):
     assert sum(s == "batch_size" for s in got.values()) == 400 and len(got) == 404
 
 
+def test_texts_without_a_batch_or_with_the_same_place(spark):
+    rows = [(None, 1, "a text that is long enough"), (None, None, "short"), ("a/1", 1, "the first of two texts"), ("a/1", 1, "another of two texts"), ("a", None, "a text without a place")]
+    df = spark.createDataFrame(rows, "batch string, position int, text string")
+    got = [(r.batch, r.text, r.status) for r in R.validate_batches(df, "batch").collect()]
+    assert sorted(got, key=str) == sorted([(b, t, "missing" if b is None else "ok") for b, _, t in rows], key=str)
+    for method in ("lead", "tfidf"):
+        answered = {r.batch: [x.input_text for x in r.results] for r in R.predict_batches(df, "batch", "position", method=method).collect()}
+        assert answered == {"a/1": ["another of two texts", "the first of two texts"], "a": ["a text without a place"]}
+    named = df.withColumns({"n": F.lit(1), "status": F.lit("x")})
+    assert R.validate_batches(named, "batch").where("n = 1").count() == 5
+
+
 def test_batch_responses_are_ordered(batches):
     got = {r.batch: r for r in R.predict_batches(batches, "batch", "position").collect()}
     assert set(got) == {"a", "b"}

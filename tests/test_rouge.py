@@ -1,3 +1,5 @@
+import numpy as np
+import hashlib
 import random
 from collections import Counter
 
@@ -141,3 +143,57 @@ def test_interval_with_few_replicates(spark):
     df = spark.createDataFrame([("a", "rouge1", 0.25)], "id string, metric string, f1 double")
     row = R.bootstrap_interval(df, "id", [], ["rouge1"], replicates=10).first()
     assert row.low == row.mid == row.high == 0.25
+
+
+def test_rows_of_equal_and_null_keys_stay_apart(spark):
+    rows = [("a", "the cat", "the cat sat"), ("a", "dogs", "the cat"), ("a", "dogs", "the cat"), (None, "x y z", "x y z"), (None, "q", "r")]
+    df = spark.createDataFrame(rows, "id string, p string, r string").repartition(3)
+    got = [(r.id, r.metric, r.hits, r.n_pred, r.n_ref) for r in R.rouge_scores(df, ["id"], "p", "r").collect()]
+    want = []
+    for key, p, r in rows:
+        p, r = p.split(), r.split()
+        for m in R.METRICS:
+            n = 2 if m == "rouge2" else 1
+            grams = [Counter(tuple(t[i : i + n]) for i in range(len(t) - n + 1)) for t in (p, r)]
+            want.append((key, m, sum((grams[0] & grams[1]).values()), *(sum(g.values()) for g in grams)))
+    assert Counter(got) == Counter(want)
+
+
+def test_states_of_batches_add_up(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(i, rng.choice(["x", None]), rng.random(), rng.random(), rng.random()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, split string, precision double, recall double, f1 double")
+    whole = sorted(R.corpus_scores(df, ["split"]).collect(), key=str)
+    for cuts in ([0, 300], [0, 1, 150, 300], [0, 100, 100, 300]):
+        table = R.MetricTable(str(tmp_path / f"t{len(cuts)}{cuts[1]}"), ["split"])
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            table.add_batch(df.where(f"id >= {a} and id < {b}"), f"b{k}")
+        table.add_batch(df.where(f"id >= {cuts[-2]}"), f"b{len(cuts) - 2}")  # again: counts once
+        assert sorted(table.compute(spark).collect(), key=str) == whole
+    merged = R.merge_states(R.metric_states(df.limit(0), ["split"]), ["split"])
+    assert merged.count() == 0 and R.state_means(merged, ["split"]).count() == 0
+
+
+def test_interval_of_repeated_and_null_keys(spark):
+    """Rows of one key share its weights and count each; the plan explodes nothing."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice(["s", None]), m, rng.random()) for _ in range(120) for m in ("rouge1", "rougeL")]
+    df = spark.createDataFrame(rows, "id string, split string, metric string, f1 double")
+    got = R.bootstrap_interval(df.repartition(5), "id", ["split"], ["rouge1", "rougeL"], replicates=30)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    for r in got.collect():
+        means = []
+        for i in range(30):
+            n = total = 0
+            for key, split, m, f1 in rows:
+                if (split, m) == (r.split, r.metric):
+                    text = (key + ":" if key is not None else "") + str(i // 4)
+                    draw = hashlib.md5(text.encode()).hexdigest()[8 * (i % 4) : 8 * (i % 4) + 8]
+                    w = sum(draw >= e for e in R.POISSON_EDGES)
+                    n, total = n + w, total + w * round(f1 * 1_000_000)
+            if n:
+                means.append(total / (n * 1e6))
+        want = np.quantile(means, [0.025, 0.5, 0.975])
+        assert [r.low, r.mid, r.high] == pytest.approx(want, abs=1e-6)
+    assert got.count() == 4

@@ -1,3 +1,4 @@
+from collections import Counter
 import random
 
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ def test_lookup_arrays_keeps_order_and_gaps(spark):
     dim = spark.createDataFrame([("x", 5, 1), ("y", 4, 2), ("q", 1, 3)], "w string, n int, v int")
     for head in (1, 2, 100):
         got = skew.lookup_arrays(
-            df, "id", {"one": F.col("one"), "two": F.col("two")}, dim, "w", "v", "n", head_rows=head
+            df, ["id"], {"one": F.col("one"), "two": F.col("two")}, dim, "w", "v", "n", head_rows=head
         )
         assert {r.id: (r.one, r.two) for r in got.collect()} == {
             "a": ([1, 2, 1, None], [3]),
@@ -42,6 +43,35 @@ def test_lookup_arrays_keeps_order_and_gaps(spark):
         }
 
 
+def test_lookup_arrays_of_repeated_and_null_keys(spark):
+    rng = random.Random(9)
+    dim = [(f"w{i}", 100 - i, i) for i in range(60)] + [("long" * 100, 1, 77), (None, 5, 78)]
+    rows = [(rng.choice(["a", "b", None]), [rng.choice(["zz", None, *(w for w, *_ in dim)]) for _ in range(rng.randrange(9))]) for _ in range(80)]
+    rows += [(None, None), ("a", [])]
+    value = {w: v for w, _, v in dim if w is not None}
+    want = Counter((k, tuple(value.get(x) for x in a or [])) for k, a in rows)
+    df = spark.createDataFrame(rows, "k string, a array<string>").repartition(3)
+    words = spark.createDataFrame(dim, "w string, n int, v int")
+    for head in (1, 20, 1000):
+        got = skew.lookup_arrays(df, ["k"], {"out": F.col("a")}, words, "w", "v", "n", head_rows=head)
+        assert Counter((r.k, tuple(r.out)) for r in got.collect()) == want
+    back = spark.createDataFrame([(v, n, w) for w, n, v in dim if w], "v int, n int, w string")
+    ids = df.select("k", F.transform("a", lambda x: F.when(x.startswith("w"), F.substring(x, 2, 3).cast("int"))).alias("a"))
+    got = skew.lookup_arrays(ids, ["k"], {"out": F.col("a")}, back, "v", "w", "n", head_rows=7)
+    assert Counter((r.k, tuple(r.out)) for r in got.collect()) == Counter(
+        (k, tuple(x if x and x.startswith("w") else None for x in a or [])) for k, a in rows
+    )
+
+
+def test_null_groups_are_groups(spark):
+    data = [(None, i, 9 - i) for i in range(6)] + [("a", i, i) for i in range(4)]
+    df = spark.createDataFrame(data, "g string, o int, v int")
+    placed = skew.with_positions(df, ["o"], ["g"])
+    assert sorted(((r.g or "", r.o, r.pos) for r in placed.collect())) == sorted((g or "", o, o) for g, o, _ in data)
+    got = {(r.g, r.o): r.before for r in skew.running_before(placed, ["g"], "v", "min", "before").collect()}
+    assert got == {(g, o): (None if o == 0 else (9 - o + 1 if g is None else 0)) for g, o, _ in data}
+
+
 def test_positions_with_one_hot_group(spark):
     rng = random.Random(2)
     data = [("hot", i) for i in range(500)] + [(f"g{rng.randrange(9)}", 1000 + i) for i in range(100)]

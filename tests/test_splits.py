@@ -30,15 +30,36 @@ def test_empty_split_is_not_missing(spark, pairs):
 
 def test_ingest_once(spark, pairs):
     root = scratch_path(spark, "data")
-    assert S.ingest(pairs, root, ["train"])
-    assert not S.ingest(pairs.limit(1), root, ["train"])
+    assert S.ingest(pairs, root, ["train"]) == "written"
+    assert S.ingest(pairs.repartition(5), root, ["train"]) == "kept"
     assert S.load_splits(spark, root, ["train"])["train"].count() == 20
 
 
+def test_changed_input_is_refused_or_replaces(spark, pairs):
+    root = scratch_path(spark, "data")
+    S.ingest(pairs, root, ["train"])
+    doubled = pairs.unionByName(pairs.where("id = 'train-001'"))
+    edited = pairs.withColumn("summary", F.when(F.col("id") == "test-001", "other").otherwise(F.col("summary")))
+    nulled = pairs.withColumn("summary", F.when(F.col("id") != "test-001", F.col("summary")))
+    marks = {S.content_mark(x) for x in (pairs, doubled, edited, nulled, pairs.limit(0), pairs.withColumnRenamed("summary", "s"))}
+    assert len(marks) == 6
+    for other in (doubled, edited, nulled):
+        with pytest.raises(ValueError, match="other data"):
+            S.ingest(other, root, ["train"])
+    assert S.load_splits(spark, root, ["train"])["train"].count() == 20
+    assert S.ingest(doubled, root, ["train"], on_change="replace") == "replaced"
+    assert S.load_splits(spark, root, ["train"])["train"].count() == 21
+    assert S.ingest(doubled, root, ["train"]) == "kept"
+    with pytest.raises(ValueError, match="other data"):
+        S.ingest(pairs, root, ["train"])
+    with pytest.raises(ValueError, match="choice"):
+        S.ingest(pairs, root, ["train"], on_change="merge")
+
+
 def test_half_written_dataset_is_replaced(spark, pairs):
     root = scratch_path(spark, "data")
     pairs.limit(2).write.partitionBy("split").parquet(root)
-    assert S.ingest(pairs, root, ["train"])
+    assert S.ingest(pairs, root, ["train"]) == "written"
     assert S.load_splits(spark, root, ["train"])["train"].count() == 20
 
 

@@ -1,10 +1,14 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from precis.operators import fitted as FT
+from precis.operators import requests as R
 from precis.operators import summarize as S
 from precis.operators import train as M
 
@@ -165,7 +169,7 @@ def labelled(spark):
 
 def test_features_and_labels(labelled):
     rows = M.sentence_features(labelled, "id", "t", "ref", ["split"]).where("id = '0'").orderBy("sent").collect()
-    assert [r.label for r in rows][:2] == [1.0, 1.0]
+    assert [r.label for r in rows] == [1.0] + [0.0] * 5 and [r.pick for r in rows][:2] == [1, 0]
     assert [r.overlap > 0.5 for r in rows] == [True, True, False, False, False, False]
     assert [r.place_share for r in rows] == [k / 5 for k in range(6)]
     assert [r.n_words for r in rows][0] == 5.0
@@ -179,12 +183,77 @@ def test_train_choose_save_load_and_summarise(spark, labelled, tmp_path):
     losses = {(r.reg_param, r.split): r.log_loss for r in rows}
     chosen = {r.reg_param for r in rows if r.chosen}
     assert chosen == {min((0.0, 5.0), key=lambda g: losses[g, "validation"])}
-    vocab = spark.createDataFrame([("a", 1, 4)], "token string, n int, token_id int")
     path = str(tmp_path / "model")
     assert M.load_model(spark, [path]) is None
-    M.save_model(model, vocab, path)
-    loaded, words = M.load_model(spark, [str(tmp_path / "absent"), path])
-    assert words.first().token == "a"
-    extra = labelled.unionByName(spark.createDataFrame([("blank", "", "", "test")], labelled.schema))
-    got = {r.id: r.prediction for r in M.summarize_trained(extra, loaded, "id", "t", ["split"], 10).collect()}
-    assert got["0"].count("grows") == 2 and got["blank"] == "" and len(got) == 61
+    M.save_model(FT.trained_summariser(model, "t", 10), path)
+    loaded = M.load_model(spark, [str(tmp_path / "absent"), path])
+    extra = labelled.unionByName(spark.createDataFrame([("blank", "", "", "test"), ("0", "Only one.", "", "test"), (None, None, None, None)], labelled.schema))
+    got = loaded.transform(extra)
+    assert got.columns == [*extra.columns, "prediction"] and got.count() == 63
+    by_text = {(r.id, r.t): r.prediction for r in got.collect()}
+    assert by_text["0", labelled.where("id = '0'").first().t].count("grows") == 2
+    assert by_text["blank", ""] == "" and by_text["0", "Only one."] == "Only one." and by_text[None, None] == ""
+    # The stages in the model choose as the scores of the features say.
+    p = M.probability(model, features).where("id = '1'").orderBy(F.desc("p"), "sent").collect()
+    best = [r.sentence for r in p][:2]
+    assert all(x in by_text["1", labelled.where("id = '1'").first().t] for x in best)
+
+
+def plain_greedy(sents, ref):
+    """The greedy choice by trying every sentence anew."""
+
+    def score(chosen):
+        total = 0
+        for n in (1, 2):
+            want = Counter(tuple(ref[i : i + n]) for i in range(len(ref) - n + 1))
+            have = Counter(tuple(s[i : i + n]) for s in chosen for i in range(len(s) - n + 1))
+            total += 2_000_000 * sum((want & have).values()) // max(sum(want.values()) + sum(have.values()), 1)
+        return total
+
+    chosen, best = [], 0
+    while True:
+        tried = [(score([sents[j] for j in [*(c for c, _ in chosen), i]]), -i) for i in range(len(sents)) if i not in {c for c, _ in chosen}]
+        if not tried or max(tried)[0] <= best:
+            return chosen
+        best, at = max(tried)
+        chosen.append((-at, best))
+
+
+def test_greedy_labels_by_brute_force():
+    rng = random.Random(6)
+    for _ in range(300):
+        sents = [[rng.choice("abcdefgh") for _ in range(rng.randrange(0, 7))] for _ in range(rng.randrange(0, 8))]
+        ref = [rng.choice("abcdefgh") for _ in range(rng.randrange(0, 12))]
+        assert M.greedy_choice(sents, ref) == plain_greedy(sents, ref)
+
+
+def test_labels_of_odd_rows(spark):
+    rows = [("a", "One two. Three four.", "three four"), ("a", "One two. Three four.", "one"), (None, "x. y.", None), (None, None, "x"), ("b", "", "x")]
+    df = spark.createDataFrame(rows, "id string, t string, ref string")
+    got = [(r.id, r.pick, r.sent, r.score) for r in M.oracle_labels(df, "id", "t", "ref").collect()]
+    assert sorted(got) == [("a", 1, 0, 666_666), ("a", 1, 1, 2_000_000)]
+    assert M.sentence_features(df, "id", "t", "ref").count() == 6
+    assert M.oracle_labels(df.limit(0), "id", "t", "ref").count() == 0
+
+
+def test_tfidf_model_in_a_fresh_reader(spark, labelled, tmp_path):
+    fitted = FT.TfidfSummariser(textCol="t", outputCol="short", maxWords=6).fit(labelled.where("split = 'train'"))
+    PipelineModel([fitted]).save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    stage = loaded.stages[0]
+    assert (stage.getOrDefault("textCol"), stage.getOrDefault("outputCol"), stage.getOrDefault("maxWords")) == ("t", "short", 6)
+    want = S.summarize(labelled, "id", "t", "tfidf", max_words=6, fit_on=labelled.where("split = 'train'"))
+    want = {r.id: r.prediction for r in want.collect()}
+    for part in ("split = 'test'", "id < '3'", "true"):
+        asked = labelled.where(part)
+        assert all(r.short == want[r.id] for r in loaded.transform(asked).collect())
+        own = PipelineModel([stage.copy({stage.outputCol: "prediction"})])
+        answers = R.predict(asked, "id", "t", fitted=own)
+        assert all(r.summary == want[r.id] and r.error is None for r in answers.collect())
+
+
+def test_tfidf_of_repeated_and_null_keys(spark):
+    rows = [("a", "Cats purr. Dogs bark loudly."), ("a", "Rain falls. Snow melts."), (None, "One. Two."), (None, None)]
+    df = spark.createDataFrame(rows, "id string, t string")
+    got = Counter((r.id, r.prediction) for r in S.summarize(df, "id", "t", "tfidf").collect())
+    assert got == Counter([("a", "Cats purr. Dogs bark loudly."), ("a", "Rain falls. Snow melts."), (None, "One. Two."), (None, "")])
