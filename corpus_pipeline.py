@@ -27,15 +27,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest doc_id.
+    """Of each group of near-duplicates the document of the smallest doc_id, null last.
 
-    Rows that repeat a doc_id are copies too, of which one stays. Rows without a
-    doc_id cannot be told apart by it and all stay.
+    Rows are told apart by a hash of all their columns: different rows under one
+    doc_id, or without one, are documents of their own, and of rows that are equal
+    in every column one stays.
     """
-    found = simhash.near_duplicates(docs, "doc_id", "text")
-    stay = found.where("key = component").select(F.col("key").alias("doc_id"))
-    kept = docs.join(stay.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
+    rows = docs.select(F.struct(*docs.columns).alias("all"), "text", name.alias("name"))
+    found = simhash.near_duplicates(rows, "name", "text")
+    stay = found.where("key = component").select(F.col("key").alias("name")).distinct()
+    return rows.join(stay, "name", "left_semi").dropDuplicates(["name"]).select("all.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
