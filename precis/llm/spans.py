@@ -64,10 +64,10 @@ def runs(
 
 
 def _hashed(rows: DataFrame, min_sentences: int, min_words: int, long_sentence: int) -> DataFrame:
-    """``(h, key, first, last)`` of every run."""
+    """``(h, key, doc, first, last)`` of every run of ``(key, doc, text)``."""
 
     def hashed(batch):
-        for part in slices(batch.column(1)):
+        for part in slices(batch.column(2)):
             begin, stop, row = sentences(part)
             a, b = runs(begin, stop, row, min_sentences, min_words, long_sentence)
             hashes = Range(part.hashes).hash(begin[a], stop[b])
@@ -76,13 +76,15 @@ def _hashed(rows: DataFrame, min_sentences: int, min_words: int, long_sentence:
                 [
                     pa.array(hashes.view(np.int64)),
                     batch.column(0).take(pa.array(part.row + row[a])),
+                    batch.column(1).take(pa.array(part.row + row[a])),
                     pa.array((a - opening).astype(np.int32)),
                     pa.array((b - opening).astype(np.int32)),
                 ],
-                names=["h", "key", "first", "last"],
+                names=["h", "key", "doc", "first", "last"],
             )
 
-    return mapped(rows, hashed, f"h long, key {rows.schema['key'].dataType.simpleString()}, first int, last int")
+    kind = rows.schema["key"].dataType.simpleString()
+    return mapped(rows, hashed, f"h long, key {kind}, doc long, first int, last int")
 
 
 def _cut(part: Slice, rows: pa.RecordBatch) -> Iterator[tuple[str, int, int]]:
@@ -113,24 +115,25 @@ def without_repeats(
 ) -> DataFrame:
     """``(key, text, n_sentences, n_removed)``: texts without the sentences of any repeated run but the first.
 
-    The first is the one of the smallest (key, place). A sentence goes with the
-    white space behind it; what stands before the first sentence stays. Runs are
-    written once and joined on their hash, the owner of a hash being found by a
+    The first is the one of the smallest (key, hash of the text, place). A sentence goes
+    with the white space behind it; what stands before the first sentence stays. Runs
+    are written once and joined on their hash, the owner of a hash being found by a
     minimum, so a passage that many documents share is never gathered. Null texts
-    stay null with no sentences; rows with a null key stay as they are and
-    own nothing; rows that repeat key and text are one document. Whole texts are
-    read; an empty table gives no rows.
+    stay null with no sentences; rows with a null key stay as they are and own nothing.
+    Rows are told apart by key and text: different texts under one key are documents of
+    their own, each cut by its own repeats, and rows that repeat key and text are one
+    document and stay alike. Whole texts are read; an empty table gives no rows.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("doc"), F.col(text).alias("text"))
     own = rows.where(F.col("key").isNotNull())
     found = stage_table(_hashed(own, min_sentences, min_words, long_sentence), "runs")
-    owner = found.groupBy("h").agg(F.min(F.struct("key", "first")).alias("owner"), F.count(F.lit(1)).alias("n"))
-    owner = owner.where("n > 1").select("h", F.col("owner.key").alias("_key"), F.col("owner.first").alias("_first"))
+    owner = found.groupBy("h").agg(F.min(F.struct("key", "doc", "first")).alias("owner"), F.count(F.lit(1)).alias("n"))
+    owner = owner.where("n > 1").select("h", "owner")
     # A table of its own, so that the join can split a hash that very many runs have.
     owner = stage_table(owner, "owners")
-    repeats = found.join(owner, "h").where("key != _key or first != _first")
-    gone = repeats.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("gone"))
-    marked = rows.join(gone, "key", "left").select(
+    repeats = found.join(owner, "h").where("key != owner.key or doc != owner.doc or first != owner.first")
+    gone = repeats.groupBy("key", "doc").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("gone"))
+    marked = rows.join(gone, ["key", "doc"], "left").select(
         "key", "text", F.col("gone.first").alias("firsts"), F.col("gone.last").alias("lasts")
     )
 

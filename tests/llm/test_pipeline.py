@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as C
 from precis.llm import quality
 from precis.llm.words import counted
+from tests.llm.conftest import prose
 from tests.llm.test_outputs import want_rows, want_targets
 from tests.llm.test_simhash import brute_components, brute_print, close
 from tests.llm.test_text_operators import plain_contamination
@@ -71,12 +72,21 @@ def test_stages_on_odd_rows(spark, odd, tables):
         assert after.columns == docs.columns
         assert {tuple(r) for r in after.collect()} <= {tuple(r) for r in docs.collect()}
     assert C.near_dedup(spark, docs, tables).where("doc_id = 7").count() == 1
-    assert C.near_dedup(spark, docs, tables).where("doc_id is null").count() == 2
+    assert C.near_dedup(spark, docs, tables).where("doc_id is null").count() == 1
     assert C.quality_rules(spark, docs, tables).where("text is null").count() == 0
     assert C.decontamination(spark, docs, tables).count() == docs.count()
     assert C.token_output(spark, docs, tables).count() == docs.count()
 
 
+def test_near_dedup_keeps_unlike_texts_of_one_name(spark, odd, tables):
+    """Repeated and missing names: a text that is a copy of nothing stays, of equal rows one."""
+    rows = [(1, prose(1, 60)), (1, prose(2, 60)), (1, prose(2, 60)), (2, prose(1, 60)), (None, prose(3, 60)), (None, prose(4, 60))]
+    rows += [(None, prose(1, 60)), (None, prose(4, 60))]
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in rows], odd.schema)
+    got = [(r["doc_id"], r["text"]) for r in C.near_dedup(spark, docs, tables).collect()]
+    assert Counter(got) == Counter([(1, prose(1, 60)), (1, prose(2, 60)), (None, prose(3, 60)), (None, prose(4, 60))])
+
+
 def test_stages_on_nothing(spark, no_docs, tables):
     for _, stage in C.STAGES:
         assert stage(spark, no_docs, tables).count() == 0

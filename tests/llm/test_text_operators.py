@@ -275,6 +275,28 @@ def test_spans_against_brute_force(spark):
     assert sum(n for *_, n in want.values()) > 50
 
 
+def test_spans_of_repeated_keys(spark):
+    """Texts of one key are documents of their own; equal rows are one; null keys stay as they are."""
+    shared, other = prose(60, 60), prose(61, 60)
+    texts = {
+        (2, "first"): f"{prose(70, 12)}. {shared} {prose(71, 12)}.",
+        (2, "second"): f"{prose(72, 12)}. {other} {prose(73, 12)}.",
+        (2, "third"): f"{prose(74, 12)}. {shared}",
+        (1, "same"): f"{shared} {prose(75, 12)}.",
+        (3, "alone"): f"{other} {prose(76, 25)}. {prose(77, 25)}.",
+    }
+    hashes = {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts.values()], "t string").selectExpr("t", "xxhash64(t) h").collect()}
+    want = plain_spans([((k, hashes[t]), t) for (k, _), t in texts.items()])
+    rows = [(k, t) for (k, _), t in texts.items()] + [(1, texts[1, "same"]), (None, shared), (None, shared)]
+    got = spans.without_repeats(spark.createDataFrame(rows, "k long, t string").repartition(3), "k", "t").collect()
+    expected = Counter((k, *want[k, hashes[t]]) for (k, _), t in texts.items())
+    expected[1, *want[1, hashes[texts[1, "same"]]]] += 1
+    n = plain_spans([(0, shared)])[0][1]
+    expected[None, shared, n, 0] += 2
+    assert Counter(tuple(r) for r in got) == expected
+    assert sum(n for *_, n in want.values()) > 5 and want[2, hashes[texts[2, "second"]]][2] == 0
+
+
 def test_spans_of_odd_rows(spark, odd, no_docs):
     got = spans.without_repeats(odd, "doc_id", "text").collect()
     assert len(got) == odd.count()
