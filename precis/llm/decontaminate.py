@@ -9,8 +9,9 @@ held against the window by the exact similarity of their weighted shingles
 about 10 of 64 bits with a deviation of 3, so the radius of 20 leaves out none but
 a pair in some thousands just above the threshold.
 
-A window that shares no shingle with any item has similarity 0; such windows are
-passed over before they are fingerprinted.
+A window that shares no shingle with an item has similarity 0 to it. So windows that
+share none with any item are passed over before they are fingerprinted, and the
+multi-index of a text holds the items only that have a shingle in it.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from precis.llm.words import Range, Slice, mapped, slices
+from precis.session import stage_table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -67,7 +68,7 @@ class Index:
         self.similarity, self.radius, self.shingle = similarity, radius, shingle
         cuts = np.linspace(0, 64, radius + 2).astype(int)
         self.blocks = [(int(a), (1 << int(b - a)) - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        sizes, known = defaultdict(list), defaultdict(set)
+        sizes, known = defaultdict(list), defaultdict(list)
         self.weights = {}
         at = 0
         for part in slices(pa.array(texts, pa.string())):
@@ -81,11 +82,18 @@ class Index:
                 hashes = ranges.hash(begin, begin + n)
                 fp = _prints(_running(hashes), np.array([0]), np.array([len(hashes)]))[0]
                 sizes[b - a].append((at + i, fp))
-                known[n].update(hashes.tolist())
+                own = np.unique(hashes)
+                known[n].append((own, np.full(len(own), at + i)))
                 words = [w.lower() for w in part.data[part.bounds[i] : part.bounds[i + 1]].tobytes().split()]
                 self.weights[at + i] = _weights(words, n)
             at += len(part.bounds) - 1
-        self.known = {n: np.array(sorted(x), dtype=np.uint64) for n, x in known.items()}
+        # Of each shingle size the distinct hashes, and where the items of each begin in a list.
+        self.known, self.holders = {}, {}
+        for n, parts in known.items():
+            hashes, items = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(hashes, kind="stable")
+            self.known[n], first = np.unique(hashes[order], return_index=True)
+            self.holders[n] = np.append(first, len(hashes)), items[order]
         self.by_size = {}
         for size, items in sizes.items():
             prints = np.array([fp for _, fp in items], dtype=np.uint64)
@@ -95,9 +103,11 @@ class Index:
                 meets.append(np.arange(mask + 1, dtype=np.uint64)[:, None] == values[None, :])
             self.by_size[size] = (np.array([i for i, _ in items]), prints, meets)
 
-    def near(self, size: int, prints: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(window, item, distance) of all items of a size within the radius."""
+    def near(self, size: int, prints: np.ndarray, held: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(window, item, distance) of the items ``held`` of a size within the radius."""
         items, own, meets = self.by_size[size]
+        some = np.flatnonzero(np.isin(items, held))
+        items, own, meets = items[some], own[some], [table[:, some] for table in meets]
         for at in range(0, len(prints), 1024):
             some = prints[at : at + 1024]
             share = np.zeros((len(some), len(items)), dtype=bool)
@@ -120,16 +130,23 @@ class Index:
             hashes = ranges.hash(begin, begin + n)
             place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
             hit = known[place] == hashes
-            for r in np.unique(row[hit]):
-                yield from self._row(part, ranges, int(r), n, begin[hit & (row == r)])
-
-    def _row(self, part: Slice, ranges: Range, row: int, n: int, hits: np.ndarray) -> Iterator[Found]:
+            if not hit.any():
+                continue
+            begin, row, place = begin[hit], row[hit], place[hit]
+            bounds, holders = self.holders[n]
+            edges = np.flatnonzero(np.diff(row, prepend=-1))
+            for a, b in zip(edges, np.append(edges[1:], len(row)), strict=True):
+                hashes = np.unique(place[a:b])
+                held = np.unique(np.concatenate([holders[bounds[h] : bounds[h + 1]] for h in hashes]))
+                yield from self._row(part, ranges, int(row[a]), n, begin[a:b], held)
+
+    def _row(self, part: Slice, ranges: Range, row: int, n: int, hits: np.ndarray, held: np.ndarray) -> Iterator[Found]:
         a, b = int(part.first[row]), int(part.first[row + 1])
         begin = np.arange(a, b - n + 1)
         running = _running(ranges.hash(begin, begin + n))
         words, best = None, {}
-        for size in self.by_size:
-            if min(self.shingle, size) != n:
+        for size, (items, *_) in self.by_size.items():
+            if min(self.shingle, size) != n or not np.isin(items, held).any():
                 continue
             size_here = min(size, b - a)
             # Windows with a hit: from the last start before it to the hit itself.
@@ -142,7 +159,7 @@ class Index:
             if not len(starts):
                 continue
             prints = _prints(running, starts, starts + size_here - n + 1)
-            for w, item, distance in self.near(size, prints):
+            for w, item, distance in self.near(size, prints, held):
                 if words is None:
                     text = part.data[part.bounds[row] : part.bounds[row + 1]].tobytes()
                     words = text.lower().split()
@@ -173,19 +190,27 @@ def _blocks(benchmark: DataFrame, key: str, text: str, block_bytes: int) -> Iter
         yield block
 
 
-def _sent(df: DataFrame, benchmark: DataFrame, key: str, text: str, shingle, similarity, radius, block_bytes):
-    """For each block of items a function that gives a worker's index of it, and the items' keys."""
-    context = df.sparkSession.sparkContext
+def _searched(rows: DataFrame, schema: str, benchmark: DataFrame, key: str, text: str, options: tuple, block_bytes: int, found):
+    """The rows of ``schema`` that ``found(batch, index, item keys)`` gives for each block of the benchmark.
+
+    One block is on the workers at a time: its rows are written before the next one is sent.
+    """
+    context = rows.sparkSession.sparkContext
+    item_type = benchmark.select(key).limit(0).toArrow().schema.field(0).type
+    out = None
     for block in _blocks(benchmark, key, text, block_bytes):
         sent, name = context.broadcast(block), uuid.uuid4().hex
 
-        def index(sent=sent, name=name) -> tuple[Index, list]:
+        def search(batch, sent=sent, name=name):
             if name not in _indexes:
                 _indexes.clear()
-                _indexes[name] = Index([t for _, t in sent.value], shingle, similarity, radius)
-            return _indexes[name], [k for k, _ in sent.value]
+                _indexes[name] = Index([t for _, t in sent.value], *options)
+            yield from found(batch, _indexes[name], pa.array([k for k, _ in sent.value], item_type))
 
-        yield index
+        some = stage_table(mapped(rows, search, schema), "contamination")
+        sent.destroy()
+        out = some if out is None else out.unionByName(some)
+    return rows.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def contamination(
@@ -207,34 +232,30 @@ def contamination(
     fewer than ``shingle`` words is one shingle. Of equal similarities the first
     window counts. Null or wordless texts and items hold nothing; null keys are
     returned as they are, repeated rows and items each for themselves, and empty
-    tables give no rows. Nothing is shuffled; the benchmark is broadcast in blocks
-    of ``block_bytes``, and the documents are read once for each block.
+    tables give no rows. Keys of both tables may be of any type. Nothing is shuffled; the
+    benchmark is broadcast in blocks of ``block_bytes``, one at a time, and the documents
+    are read once for each block, whose rows are written.
     """
     kinds = df.schema[key].dataType.simpleString(), benchmark.schema[item_key].dataType.simpleString()
     schema = f"key {kinds[0]}, item {kinds[1]}, start long, distance int, similarity double"
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    out = df.sparkSession.createDataFrame([], schema)
-    for index in _sent(df, benchmark, item_key, item_text, shingle, similarity, radius, block_bytes):
-
-        def search(batch, index=index):
-            items, names = index()
-            found = [f for part in slices(batch.column(1)) for f in items.search(part)]
-            columns = list(zip(*found, strict=True)) or [[]] * 5
-            keys = batch.column(0).take(pa.array(columns[0], pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    keys,
-                    pa.array([names[i] for i in columns[1]]).cast(item_kind),
-                    pa.array(columns[2], pa.int64()),
-                    pa.array(columns[3], pa.int32()),
-                    pa.array(columns[4], pa.float64()),
-                ],
-                names=["key", "item", "start", "distance", "similarity"],
-            )
-
-        item_kind = pa.string() if isinstance(benchmark.schema[item_key].dataType, T.StringType) else pa.int64()
-        out = out.unionByName(mapped(rows, search, schema))
-    return out
+
+    def found(batch, index, items):
+        hits = [f for part in slices(batch.column(1)) for f in index.search(part)]
+        columns = list(zip(*hits, strict=True)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(pa.array(columns[0], pa.int64())),
+                items.take(pa.array(columns[1], pa.int64())),
+                pa.array(columns[2], pa.int64()),
+                pa.array(columns[3], pa.int32()),
+                pa.array(columns[4], pa.float64()),
+            ],
+            names=["key", "item", "start", "distance", "similarity"],
+        )
+
+    options = (shingle, similarity, radius)
+    return _searched(rows, schema, benchmark, item_key, item_text, options, block_bytes, found)
 
 
 def decontaminated(
@@ -247,17 +268,18 @@ def decontaminated(
     radius: int = RADIUS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of ``df``, all columns, whose text holds no item of the benchmark (see ``contamination``)."""
-    place = df.columns.index(text)
-    for index in _sent(df, benchmark, item_text, item_text, shingle, similarity, radius, block_bytes):
-
-        def clean(batch, index=index):
-            items, _ = index()
-            keep = np.ones(batch.num_rows, dtype=bool)
-            for part in slices(batch.column(place)):
-                for row, *_ in items.search(part):
-                    keep[row] = False
-            yield batch.filter(pa.array(keep))
-
-        df = mapped(df, clean, df.schema)
-    return df
+    """The rows of ``df``, all columns, whose text holds no item of the benchmark (see ``contamination``).
+
+    What is written for a block are the hashes of the texts that hold an item of it, so
+    repeated keys and rows don't matter and texts are not copied; equal texts go together.
+    """
+    rows = df.select(F.xxhash64(text, F.octet_length(text)).alias("key"), F.col(text).alias("text"))
+
+    def found(batch, index, items):
+        hits = {row for part in slices(batch.column(1)) for row, *_ in index.search(part)}
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(sorted(hits), pa.int64()))], names=["key"])
+
+    options = (shingle, similarity, radius)
+    dirty = _searched(rows, "key long", benchmark, item_text, item_text, options, block_bytes, found)
+    dirty = dirty.distinct().withColumnRenamed("key", "_dirty")
+    return df.join(dirty, F.xxhash64(text, F.octet_length(text)) == F.col("_dirty"), "left_anti")

@@ -140,9 +140,43 @@ def test_multi_index_finds_all_within_radius():
     for fp in prints.tolist():
         for k in (0, 5, decontaminate.RADIUS, decontaminate.RADIUS + 1):
             near.append(fp ^ sum(1 << b for b in rng.sample(range(64), k)))
-    got = {(w, i) for w, i, _ in index.near(30, np.array(near, dtype=np.uint64))}
+    got = {(w, i) for w, i, _ in index.near(30, np.array(near, dtype=np.uint64), np.arange(20))}
     want = {(w, i) for w, a in enumerate(near) for i, b in enumerate(prints.tolist()) if (a ^ b).bit_count() <= decontaminate.RADIUS}
     assert got == want
+    some = {(w, i) for w, i, _ in index.near(30, np.array(near, dtype=np.uint64), np.array([3, 7]))}
+    assert some == {(w, i) for w, i in want if i in (3, 7)}
+
+
+@pytest.mark.parametrize("kind", ["int", "date", "string", "decimal(10,2)"])
+def test_item_keys_of_any_type(spark, kind):
+    items = [(i, prose(100 + i, 30)) for i in range(4)]
+    days = F.date_add(F.lit("2024-01-01"), F.col("i")).cast(kind) if kind == "date" else F.col("i").cast(kind)
+    bench = spark.createDataFrame([*items, (None, prose(150, 30))], "i int, p string").withColumn("i", days)
+    docs = spark.createDataFrame([(i, f"before {t} behind") for i, t in items] + [(9, prose(150, 30))], "k int, t string")
+    got = decontaminate.contamination(docs.withColumn("k", F.col("k").cast("date" if kind == "date" else kind) if kind != "date" else F.date_add(F.lit("2024-01-01"), F.col("k"))), "k", "t", bench, "i", "p")
+    assert got.schema["item"].dataType == bench.schema["i"].dataType
+    pairs = {(str(r["key"]), str(r["item"])) for r in got.collect()}
+    assert len(pairs) == 5 and sum(a == b for a, b in pairs) == 4 and sum(b == "None" for _, b in pairs) == 1
+
+
+def test_many_blocks_leave_one_worker_step(spark):
+    """Each block's rows are written before the next is sent, so no plan chains the searches of two."""
+    items = [(i, prose(100 + i, 25)) for i in range(14)]
+    bench = spark.createDataFrame(items, "i int, p string")
+    rows = [(1, prose(900, 40)), (2, f"x {items[13][1]} y"), (2, prose(901, 40)), (None, items[0][1]), (None, None), (3, items[5][1]), (3, items[5][1])]
+    docs = spark.createDataFrame(rows, "key int, text string")
+    plans = []
+    real = decontaminate.stage_table
+    decontaminate.stage_table = lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name)
+    try:
+        got = decontaminate.contamination(docs, "key", "text", bench, "i", "p", block_bytes=1)
+        clean = decontaminate.decontaminated(docs, "text", bench, "p", block_bytes=1)
+    finally:
+        decontaminate.stage_table = real
+    assert len(plans) == 28 and all(p.count("MapInArrow") == 1 for p in plans)
+    assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()
+    assert Counter((r["key"], r["item"]) for r in got.collect()) == Counter([(2, 13), (None, 0), (3, 5), (3, 5)])
+    assert Counter(tuple(r) for r in clean.collect()) == Counter([rows[0], rows[2], rows[4]])
 
 
 def test_contamination_of_nothing(spark, odd, no_docs):
