@@ -104,7 +104,8 @@ def _found_in(head: Broadcast, on_type: DataType, value_type: DataType) -> Calla
             names=["values", "late"],
         )
 
-    return F.arrow_udf(look, out)
+    # Marked so that Spark runs it in a step of its own, once a row.
+    return F.arrow_udf(look, out).asNondeterministic()
 
 
 def _patched(value_type: DataType) -> Callable[[Column, Column], Column]:
@@ -121,7 +122,7 @@ def _patched(value_type: DataType) -> Callable[[Column, Column], Column]:
         both = pa.concat_arrays([flat, more.field("value").cast(flat.type)])
         return pa.ListArray.from_arrays(_ends(sizes), both.take(pa.array(take)))
 
-    return F.arrow_udf(patch, ArrayType(value_type))
+    return F.arrow_udf(patch, ArrayType(value_type)).asNondeterministic()
 
 
 def _tagged(late: str, of: int) -> Column:

@@ -9,6 +9,7 @@ one marker row per text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,8 @@ MIN_CHARS, MIN_COUNT = 4, 2
 # Graph rank: rounds, damping in percent, and the scales of ranks and weights.
 ROUNDS, DAMPING = 5, 85
 RANK_ONE, WEIGHT_ONE, FLOW_ONE = 1_000_000, 1_000, 1_000
+# Choices that a beam search holds, and its length penalty.
+BEAMS, PENALTY = 8, 0.8
 RANK_BASE = (100 - DAMPING) * RANK_ONE // 100
 
 # Words of a summary: one number, or a column with one for each text.
@@ -76,6 +79,75 @@ def choose_sentences(ranked: Column, max_words: Budget, no_repeat: int = NO_REPE
     )
 
 
+class _Beam(NamedTuple):
+    """A choice among the sentences seen so far; ``path`` has a 1 for each taken, a 0 for each left out."""
+
+    total: int
+    path: str
+    words: int
+    grams: frozenset[str]
+    greedy: bool
+
+
+def beam_search(
+    sizes: Sequence[int], scores: Sequence[int], grams: Sequence[Sequence[str]], max_words: int, width: int, penalty: float
+) -> list[int]:
+    """Places of the sentences of the best choice that a search of bounded width finds, in ascending order.
+
+    Sentences come by rank, and every choice held goes on both with the next one, if it
+    fits the words and repeats no gram, and without it. The ``width`` choices of the
+    highest total score stay (of equals the one that took earlier), and always the greedy
+    one, which takes whatever fits. In the end the total per ``words ** penalty`` decides,
+    to six digits, so no result is worse than the greedy choice.
+    """
+    beams = [_Beam(0, "", 0, frozenset(), True)]
+    for size, score, own in zip(sizes, scores, grams, strict=True):
+        onward = []
+        for b in beams:
+            able = b.words + size <= max_words and b.grams.isdisjoint(own)
+            if able:
+                onward.append(_Beam(b.total + score, b.path + "1", b.words + size, b.grams.union(own), b.greedy))
+            onward.append(b._replace(path=b.path + "0", greedy=b.greedy and not able))
+        onward.sort(key=lambda b: (b.total, b.path), reverse=True)
+        beams = onward[:width] + [b for b in onward[width:] if b.greedy]
+    best = max(beams, key=lambda b: (round(b.total / max(b.words, 1) ** penalty, 6), b.path))
+    return [i for i, taken in enumerate(best.path) if taken == "1"]
+
+
+def _chosen(ranked: DataFrame, keep: Sequence[str], beams: int) -> DataFrame:
+    """``keep`` and ``prediction`` from ``_ranked`` sentences and the ``_budget`` of each text."""
+    if beams == 1:
+        return ranked.select(*keep, choose_sentences(F.col("_ranked"), F.col("_budget")).alias("prediction"))
+    budget = F.col("_budget")
+    items = F.transform(
+        "_ranked",
+        lambda x: F.struct(
+            x.sent.alias("sent"),
+            cut_words(x.sentence, budget).alias("text"),
+            F.least(F.size(words(x.sentence)), budget).alias("n"),
+            (-x.order).alias("score"),
+        ),
+    )
+    listed = ranked.select(*keep, "_budget", items.alias("_items")).select(
+        "*",
+        F.transform("_items", lambda x: x.n).alias("_sizes"),
+        F.transform("_items", lambda x: x.score).alias("_scores"),
+        F.transform("_items", lambda x: ngrams(tokens(x.text), NO_REPEAT)).alias("_grams"),
+    )
+    asked = [listed.columns.index(c) for c in ("_sizes", "_scores", "_grams", "_budget")]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in asked), strict=True)
+            places = pa.array([beam_search(*row, beams, PENALTY) for row in rows], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, places], names=[*batch.schema.names, "_places"])
+
+    schema = T.StructType([*listed.schema.fields, T.StructField("_places", T.ArrayType(T.IntegerType()))])
+    kept = F.transform("_places", lambda i: F.get("_items", i))
+    text = F.array_join(F.transform(F.array_sort(kept), lambda x: x.text), " ")
+    return listed.mapInArrow(search, schema).select(*keep, text.alias("prediction"))
+
+
 def lead(c: Column, k: int, max_words: Budget) -> Column:
     """The first ``k`` sentences, cut after ``max_words`` words."""
     first = F.array_join(F.slice(sentences(c), 1, k), " ")
@@ -112,11 +184,19 @@ def frequency_scores(texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(scores, pa.int64()))
 
 
-_frequency_scores = F.arrow_udf(frequency_scores, T.ArrayType(T.LongType()))
+# Scorers are marked so that Spark runs each in a step of its own, before what takes its scores.
+_frequency_scores = F.arrow_udf(frequency_scores, T.ArrayType(T.LongType())).asNondeterministic()
 
 
 def _scored_in_place(
-    df: DataFrame, key: str, text: str, keep: Sequence[str], max_words: Budget, scorer: Callable, terms: Callable
+    df: DataFrame,
+    key: str,
+    text: str,
+    keep: Sequence[str],
+    max_words: Budget,
+    scorer: Callable,
+    terms: Callable,
+    beams: int = 1,
 ) -> DataFrame:
     """Summaries by a scorer that needs nothing but the text: a projection, without any shuffle."""
     ship_package(df.sparkSession)
@@ -126,20 +206,19 @@ def _scored_in_place(
         "_scores",
         lambda s, score: F.struct((-score).alias("order"), s.sent.alias("sent"), s.sentence.alias("sentence")),
     )
-    return split.withColumn("_scores", scorer(F.transform("_sents", terms))).select(
-        key, *keep, choose_sentences(F.array_sort(ranked), F.col("_budget")).alias("prediction")
-    )
+    scored = split.withColumn("_scores", scorer(F.transform("_sents", terms)))
+    return _chosen(scored.select(key, *keep, "_budget", F.array_sort(ranked).alias("_ranked")), [key, *keep], beams)
 
 
 def summarize_frequency(
-    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: Budget = MAX_WORDS
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: Budget = MAX_WORDS, beams: int = 1
 ) -> DataFrame:
     """Sentences rich in the text's own frequent words (see ``frequency_scores``)."""
 
     def terms(sentence: Column) -> Column:
         return F.filter(tokens(sentence), lambda w: F.length(w) >= MIN_CHARS)
 
-    return _scored_in_place(df, key, text, keep, max_words, _frequency_scores, terms)
+    return _scored_in_place(df, key, text, keep, max_words, _frequency_scores, terms, beams)
 
 
 def fit_idf(df: DataFrame, text: str) -> DataFrame:
@@ -184,7 +263,7 @@ def weight_sums(texts: pa.Array, weights: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(sums, pa.int64()))
 
 
-_weight_sums = F.arrow_udf(weight_sums, T.ArrayType(T.LongType()))
+_weight_sums = F.arrow_udf(weight_sums, T.ArrayType(T.LongType())).asNondeterministic()
 
 
 def summarize_tfidf(
@@ -194,6 +273,7 @@ def summarize_tfidf(
     text: str,
     keep: Sequence[str] = (),
     max_words: Budget = MAX_WORDS,
+    beams: int = 1,
 ) -> DataFrame:
     """Sentences closest to the TF-IDF weight of the whole text.
 
@@ -219,9 +299,8 @@ def summarize_tfidf(
             s.sentence.alias("sentence"),
         ),
     )
-    return weighted.withColumn("_sums", _weight_sums(terms(), F.col("_idf"))).select(
-        *kept, choose_sentences(F.array_sort(ranked), F.col("_budget")).alias("prediction")
-    )
+    summed = weighted.withColumn("_sums", _weight_sums(terms(), F.col("_idf")))
+    return _chosen(summed.select(*kept, "_budget", F.array_sort(ranked).alias("_ranked")), kept, beams)
 
 
 def graph_ranks(texts: pa.Array) -> pa.Array:
@@ -264,15 +343,15 @@ def graph_ranks(texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(score, pa.int64()))
 
 
-_graph_ranks = F.arrow_udf(graph_ranks, T.ArrayType(T.LongType()))
+_graph_ranks = F.arrow_udf(graph_ranks, T.ArrayType(T.LongType())).asNondeterministic()
 
 
 def summarize_textrank(
-    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: Budget = MAX_WORDS
+    df: DataFrame, key: str, text: str, keep: Sequence[str] = (), max_words: Budget = MAX_WORDS, beams: int = 1
 ) -> DataFrame:
     """Sentences ranked by graph rank (see ``graph_ranks``)."""
     return _scored_in_place(
-        df, key, text, keep, max_words, _graph_ranks, lambda s: F.array_distinct(tokens(s))
+        df, key, text, keep, max_words, _graph_ranks, lambda s: F.array_distinct(tokens(s)), beams
     )
 
 
@@ -329,22 +408,25 @@ def summarize(
     keep: Sequence[str] = (),
     max_words: Budget = MAX_WORDS,
     fit_on: DataFrame | None = None,
+    beams: int = 1,
 ) -> DataFrame:
     """Summaries ``(key, keep, prediction)`` by one of the built-in methods.
 
-    ``max_words`` is a number, or a column of ``df`` with one of each text's own.
+    ``max_words`` is a number, or a column of ``df`` with one of each text's own. With
+    more than one of ``beams`` the sentences are chosen by a search of that width (see
+    ``beam_search``) in place of the greedy walk; ``lead`` has nothing to choose.
     """
     if isinstance(max_words, int) and not 1 <= max_words <= 512:
         raise ValueError("max_words must be between 1 and 512")
     if method == "lead":
         return summarize_lead(df, key, text, keep, max_words=max_words)
     if method == "frequency":
-        return summarize_frequency(df, key, text, keep, max_words)
+        return summarize_frequency(df, key, text, keep, max_words, beams)
     if method == "tfidf":
         idf = stage_table(fit_idf(df if fit_on is None else fit_on, text), "idf")
-        return summarize_tfidf(df, idf, key, text, keep, max_words)
+        return summarize_tfidf(df, idf, key, text, keep, max_words, beams)
     if method == "textrank":
-        return summarize_textrank(df, key, text, keep, max_words)
+        return summarize_textrank(df, key, text, keep, max_words, beams)
     raise ValueError(f"unknown method {method!r}")
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from precis.functions.text import SENTENCE_END, TOKEN, WORD_GAP
 from precis.operators.rouge import POISSON_EDGES
 from precis.operators.summarize import (
+    BEAMS,
     DAMPING,
     FLOW_ONE,
     MAX_WORDS,
     MIN_CHARS,
     MIN_COUNT,
     NO_REPEAT,
+    PENALTY,
     RANK_BASE,
     RANK_ONE,
     ROUNDS,
@@ -163,7 +165,7 @@ def chosen(name: str, default: str = "0") -> str:
     """Greedy choice by ``<name>_scores``, as table ``<name>``."""
     return f"""
 {name}_ranked AS MATERIALIZED (
-  SELECT id, sent, text, n, {grams('t', NO_REPEAT)} AS grams,
+  SELECT id, sent, text, n, score, {grams('t', NO_REPEAT)} AS grams,
          row_number() OVER (PARTITION BY id ORDER BY score DESC, sent) AS rk
   FROM (
     SELECT s.id, s.sent, {cut('s.sentence')} AS text, least(len({words('s.sentence')}), {MAX_WORDS}) AS n,
@@ -191,6 +193,39 @@ def chosen(name: str, default: str = "0") -> str:
 )"""
 
 
+def beam(name: str, width: int = BEAMS, penalty: float = PENALTY) -> str:
+    """The choice of a beam search among ``<name>_ranked``, as table ``beam``; choices held are rows."""
+    return f"""
+beam_walk AS (
+  SELECT id, 0::BIGINT AS rk, 0::BIGINT AS n, 0::HUGEINT AS total, []::STRUCT(sent BIGINT, text VARCHAR)[] AS kept,
+         []::VARCHAR[] AS grams, '' AS path, true AS greedy
+  FROM pairs
+  UNION ALL
+  SELECT id, rk, n, total, kept, grams, path, greedy
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY total DESC, path DESC) AS place
+    FROM (
+      SELECT id, rk, CASE WHEN take THEN n + dn ELSE n END AS n, CASE WHEN take THEN total + score ELSE total END AS total,
+             CASE WHEN take THEN list_append(kept, {{'sent': sent, 'text': text}}) ELSE kept END AS kept,
+             CASE WHEN take THEN list_concat(grams, dgrams) ELSE grams END AS grams,
+             path || CASE WHEN take THEN '1' ELSE '0' END AS path, greedy AND take = ok AS greedy
+      FROM (
+        SELECT w.id, r.rk, w.n, w.total, w.kept, w.grams, w.path, w.greedy, r.n AS dn, r.score, r.sent, r.text, r.grams AS dgrams,
+               w.n + r.n <= {MAX_WORDS} AND NOT list_has_any(w.grams, r.grams) AS ok
+        FROM beam_walk w JOIN {name}_ranked r ON r.id = w.id AND r.rk = w.rk + 1
+      ), (SELECT unnest([true, false]) AS take) WHERE ok OR NOT take
+    )
+  ) WHERE place <= {width} OR greedy
+),
+beam AS MATERIALIZED (
+  SELECT p.id, p.split, array_to_string(list_transform(list_sort(k.kept), lambda x: x.text), ' ') AS prediction
+  FROM pairs p JOIN (
+    SELECT id, kept FROM (SELECT *, max(rk) OVER (PARTITION BY id) AS last FROM beam_walk) WHERE rk = last
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(total::DOUBLE / pow(greatest(n, 1), {penalty}), 6) DESC, path DESC) = 1
+  ) k USING (id)
+)"""
+
+
 def ngram_scores(source: str, n: int, name: str, key: str = "id") -> str:
     """ROUGE-n rows of ``source(key, split, prediction, summary)``, as table ``name``."""
     return f"""
@@ -705,6 +740,8 @@ SELECT id, split, chunk, n::INT AS n_ids, {text}({fill('ids', 'n')}, ' ') AS dia
         "summarize_lead": lead + "SELECT id, split, prediction FROM lead",
         "summarize_frequency": with_(PAIRS, SENTENCES, FREQUENCY, chosen("frequency"), recursive=True)
         + "SELECT id, split, prediction FROM frequency",
+        "summarize_beam": with_(PAIRS, SENTENCES, FREQUENCY, chosen("frequency"), beam("frequency"), recursive=True)
+        + "SELECT id, split, prediction FROM beam",
         "summarize_tfidf": with_(PAIRS, SENTENCES, TFIDF, chosen("tfidf"), recursive=True)
         + f"SELECT {SHARED_ID}, split, prediction FROM tfidf",
         "summarize_textrank": with_(PAIRS, SENTENCES, textrank(), chosen("textrank", str(RANK_BASE)), recursive=True)

@@ -397,6 +397,11 @@ def summarize_frequency(spark, d):
     return S.summarize(load_pairs(spark, d), "id", "dialogue", "frequency", ["split"])
 
 
+@query
+def summarize_beam(spark, d):
+    return S.summarize(load_pairs(spark, d), "id", "dialogue", "frequency", ["split"], beams=S.BEAMS)
+
+
 @query
 def summarize_tfidf(spark, d):
     pairs = load_pairs(spark, d)

@@ -257,3 +257,53 @@ def test_tfidf_of_repeated_and_null_keys(spark):
     df = spark.createDataFrame(rows, "id string, t string")
     got = Counter((r.id, r.prediction) for r in S.summarize(df, "id", "t", "tfidf").collect())
     assert got == Counter([("a", "Cats purr. Dogs bark loudly."), ("a", "Rain falls. Snow melts."), (None, "One. Two."), (None, "")])
+
+
+def plain_beam(sizes, scores, grams, max_words, penalty):
+    """The best of all allowed choices."""
+    best = None
+    for mask in range(1 << len(sizes)):
+        own = [i for i in range(len(sizes)) if mask >> i & 1]
+        seen, fits = set(), sum(sizes[i] for i in own) <= max_words
+        for i in own:
+            fits = fits and seen.isdisjoint(grams[i])
+            seen |= set(grams[i])
+        if fits:
+            worth = round(sum(scores[i] for i in own) / max(sum(sizes[i] for i in own), 1) ** penalty, 6)
+            best = max(best or (worth, ""), (worth, "".join("01"[i in own] for i in range(len(sizes)))))
+    return best
+
+
+def test_beam_search():
+    """Width 1 is the greedy walk, no width is worse than it, and a wide search finds the best of all choices."""
+    rng = random.Random(11)
+    better = 0
+    for _ in range(200):
+        n = rng.randrange(0, 9)
+        sizes = [rng.randrange(1, 9) for _ in range(n)]
+        scores = sorted((rng.randrange(0, 30) for _ in range(n)), reverse=True)
+        grams = [[rng.choice("abcdefghijkl") for _ in range(rng.randrange(3))] for _ in range(n)]
+        limit = rng.randrange(1, 25)
+        taken, words, seen = [], 0, set()
+        for i in range(n):
+            if words + sizes[i] <= limit and seen.isdisjoint(grams[i]):
+                taken.append(i)
+                words += sizes[i]
+                seen |= set(grams[i])
+
+        def worth(own):
+            return round(sum(scores[i] for i in own) / max(sum(sizes[i] for i in own), 1) ** 0.8, 6)
+
+        assert S.beam_search(sizes, scores, grams, limit, 1, 0.0) == taken
+        eight = S.beam_search(sizes, scores, grams, limit, 8, 0.8)
+        assert worth(eight) >= worth(taken) and sum(sizes[i] for i in eight) <= limit
+        better += worth(eight) > worth(taken)
+        all_ = S.beam_search(sizes, scores, grams, limit, 1 << n, 0.8)
+        assert (worth(all_), "".join("01"[i in all_] for i in range(n))) == plain_beam(sizes, scores, grams, limit, 0.8)
+    assert better > 20
+
+
+@pytest.mark.parametrize("method", ["frequency", "textrank", "tfidf"])
+def test_beams_of_odd_texts(spark, method):
+    got = run(spark, method, ["", None, " \n ", TEXT, "One. One. One."], beams=4, max_words=12)
+    assert got["0"] == got["1"] == got["2"] == "" and got["3"] and len(got["3"].split()) <= 12
