@@ -130,32 +130,30 @@ def _free_parts(mask: int) -> list[int]:
     return [sum(1 << b for b in part) for part in parts if part]
 
 
-def _chains_hold(diff: np.ndarray) -> np.ndarray:
+def chains_hold(diff: np.ndarray, radius: int = RADIUS, segments: int = SEGMENTS) -> np.ndarray:
     """Does a chain from some segment keep its budget at each length?"""
-    own = np.stack([np.bitwise_count((diff >> np.uint64(16 * s)) & np.uint64(0xFFFF)) for s in range(SEGMENTS)])
+    width = 64 // segments
+    mask = np.uint64((1 << width) - 1)
+    own = [np.bitwise_count((diff >> np.uint64(width * s)) & mask).astype(np.int64) for s in range(segments)]
     good = np.zeros(diff.shape, dtype=bool)
-    for s in range(SEGMENTS):
+    for s in range(segments):
         total, holds = np.zeros(diff.shape, dtype=np.int64), np.ones(diff.shape, dtype=bool)
-        for k in range(SEGMENTS):
-            total = total + own[(s + k) % SEGMENTS]
-            holds &= total <= RADIUS * (k + 1) // SEGMENTS
+        for k in range(segments):
+            total = total + own[(s + k) % segments]
+            holds &= total <= radius * (k + 1) // segments
         good |= holds
     return good
 
 
 def _forest(fps: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect what linked pairs connect, at most one less than there are fingerprints."""
-    n = len(fps)
-    if n == 2:
-        diff = fps[:1] ^ fps[1:]
-        return [(0, 1)] if _chains_hold(diff)[0] and np.bitwise_count(diff)[0] <= RADIUS else []
-    links, todo = [], np.arange(n)
+    links, todo = [], np.arange(len(fps))
     while len(todo):
         reached, todo = todo[:1], todo[1:]
         while len(reached) and len(todo):
             at, reached = reached[0], reached[1:]
             diff = fps[todo] ^ fps[at]
-            near = np.bitwise_count(diff) <= RADIUS if len(todo) < 64 else _near(diff)
+            near = _near(diff)
             new = todo[near]
             links += [(at, j) for j in new]
             reached, todo = np.concatenate([reached, new]), todo[~near]
@@ -164,7 +162,7 @@ def _forest(fps: np.ndarray) -> list[tuple[int, int]]:
 
 def _near(diff: np.ndarray) -> np.ndarray:
     """Pairs within the radius: the chains first, the full distance of those that remain."""
-    near = _chains_hold(diff)
+    near = chains_hold(diff)
     near[near] = np.bitwise_count(diff[near]) <= RADIUS
     return near
 

@@ -10,7 +10,7 @@ from precis.llm import quality
 from precis.llm.words import counted
 from tests.llm.conftest import prose
 from tests.llm.test_outputs import want_rows, want_targets
-from tests.llm.test_simhash import brute_components, brute_print, close
+from tests.llm.test_near_copies import brute_copies
 from tests.llm.test_text_operators import plain_contamination
 
 pytest.importorskip("public_tokenizers")
@@ -27,13 +27,9 @@ def test_stages_against_plain_versions(spark, tables):
     assert {r["doc_id"] for r in kept.collect()} == {k for k, r in judged.items() if r["kept"]}
     assert kept.columns == docs.columns and 0.5 * docs.count() < kept.count() < docs.count()
 
-    prints = {r["doc_id"]: brute_print(r["text"]) for r in kept.collect()}
-    name = brute_components(set(prints.values()), close(set(prints.values())))
-    least = {}
-    for key, fp in sorted(prints.items()):
-        least.setdefault(name[fp], key)
+    name = brute_copies({r["doc_id"]: r["text"] for r in kept.collect()})
     single = C.near_dedup(spark, kept, tables).persist()
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted(least.values())
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(set(name.values()))
     assert single.columns == docs.columns and single.count() < kept.count()
 
     bench = spark.read.parquet(f"{tables}/benchmark.parquet").collect()

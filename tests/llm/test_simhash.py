@@ -75,9 +75,9 @@ def test_links_of_crowded_keys(spark, bucket):
 def test_chains_hold_for_every_linked_pair():
     rng = random.Random(3)
     diffs = [sum(1 << b for b in rng.sample(range(64), k)) for k in range(4) for _ in range(500)]
-    assert S._chains_hold(np.array(diffs, dtype=np.uint64)).all()
+    assert S.chains_hold(np.array(diffs, dtype=np.uint64)).all()
     far = [sum(1 << b for b in rng.sample(range(64), k)) for k in range(4, 9) for _ in range(300)]
-    assert not S._chains_hold(np.array(far, dtype=np.uint64)).any()
+    assert not S.chains_hold(np.array(far, dtype=np.uint64)).any()
 
 
 def test_majority_of_many_hashes():
