@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precis.llm import decontaminate, mixing, quality, simhash, token_files
+from precis.llm import decontaminate, mixing, near_copies, quality, token_files
 from precis.llm.words import counted
 from precis.session import scratch_path, stage_table
 from precis.sources.pairs import read_table
@@ -29,13 +29,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the smallest doc_id, null last.
 
+    Near-duplicates share at least 0.8 of their five-word shingles, or lead to each
+    other through documents that do.
     Rows are told apart by a hash of all their columns: different rows under one
     doc_id, or without one, are documents of their own, and of rows that are equal
     in every column one stays.
     """
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
     rows = docs.select(F.struct(*docs.columns).alias("all"), "text", name.alias("name"))
-    found = simhash.near_duplicates(rows, "name", "text")
+    found = near_copies.near_copies(rows, "name", "text")
     stay = found.where("key = component").select(F.col("key").alias("name")).distinct()
     return rows.join(stay, "name", "left_semi").dropDuplicates(["name"]).select("all.*")
 
