@@ -106,9 +106,15 @@ def _partners(batch):
     yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(ids, pa.int64())], names=["grp", "id"])
 
 
-def _alike(a: np.ndarray, b: np.ndarray) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= SIMILARITY * (len(a) + len(b) - both)
+def _alike(codes: list[np.ndarray], sizes: np.ndarray, marks: np.ndarray, at: int, others: np.ndarray) -> np.ndarray:
+    """Which of ``others`` have a similarity of 0.8 or more to ``at``; ``marks`` is all false before and after."""
+    if not len(others):
+        return others
+    marks[codes[at]] = True
+    first = np.concatenate([[0], np.cumsum(sizes[others])[:-1]])
+    both = np.add.reduceat(marks[np.concatenate([codes[j] for j in others])], first, dtype=np.int64)
+    marks[codes[at]] = False
+    return others[both >= SIMILARITY * (sizes[at] + sizes[others] - both)]
 
 
 def _forest(batch):
@@ -119,15 +125,17 @@ def _forest(batch):
         own, fps = np.asarray(m.field(0), np.int64), np.asarray(m.field(1), np.int64).view(np.uint64)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in m.field(2)]
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        known, places = np.unique(np.concatenate(sets), return_inverse=True)
+        codes, marks = np.split(places, np.cumsum(sizes)[:-1]), np.zeros(len(known), dtype=bool)
         todo = np.arange(len(own))
         while len(todo) > 1:
-            reached, todo = [todo[0]], todo[1:]
+            reached, todo = [int(todo[0])], todo[1:]
             while reached and len(todo):
                 at = reached.pop()
-                near = [j for j in _may_link(fps, sizes, at, todo) if _alike(sets[at], sets[j])]
+                near = _alike(codes, sizes, marks, at, _may_link(fps, sizes, at, todo))
                 out[0].extend([own[at]] * len(near))
                 out[1].extend(own[near])
-                reached += near
+                reached += near.tolist()
                 todo = np.setdiff1d(todo, near, assume_unique=True)
     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
 
@@ -190,9 +198,12 @@ def near_copies(
     texts = stage_table(texts, "copies-distinct")
     groups = stage_table(_groups(texts.drop("name"), group_rows, group_shingles), "copies-groups")
 
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def gathered(rows: DataFrame, *columns: str) -> DataFrame:
+        # As many tasks as the session names: small rows that mean much work must not be merged into one.
         members = F.collect_list(F.struct(*columns)).alias("members")
-        return rows.groupBy("grp").agg(members).where(F.size("members") > 1)
+        return rows.repartition(tasks, "grp").groupBy("grp").agg(members).where(F.size("members") > 1)
 
     with small_batches(spark, 256):
         some = mapped(gathered(groups, "id", "fp", "n"), _partners, "grp long, id long")
