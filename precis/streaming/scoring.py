@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from precis.operators.requests import Model, predict, validate_requests
 from precis.operators.summarize import MAX_WORDS
 from precis.operators.validate import per_column, profile
+from precis.session import is_folder
 
 
 def stream_table(spark: SparkSession, folder: str, schema: str, pattern: str, files_per_trigger: int = 100) -> DataFrame:
@@ -24,6 +25,13 @@ def stream_table(spark: SparkSession, folder: str, schema: str, pattern: str, fi
     )
 
 
+def stream_named(spark: SparkSession, root: str, name: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
+    """The table ``name`` below ``root`` as a stream, whether it is one Parquet file or a folder of them."""
+    path = f"{root}/{name}.parquet"
+    folder, pattern = (path, "*") if is_folder(spark, path) else (root, f"{name}.parquet")
+    return stream_table(spark, folder, schema, pattern, files_per_trigger)
+
+
 def once_within(requests: DataFrame, key: str, sent: str, within: str) -> DataFrame:
     """A request sent again within the delay passes once, also across micro-batches and restarts.
 

@@ -1,9 +1,13 @@
 """State across micro-batches and restarts."""
 
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from precis.plans.queries import QUERIES
 from precis.session import scratch_path
 from precis.streaming import scoring
 
@@ -73,3 +77,27 @@ def test_window_totals_of_a_table_are_those_of_the_stream(spark):
     table = spark.read.schema(SCHEMA).parquet(folder)
     got = scoring.window_totals(table, "sent", "1 hour", "1 hour", ["id"], {"chars": F.sum(F.length("text").cast("long"))})
     assert sum(r.n_rows for r in got.collect()) == 43
+
+
+def written(spark, df, name, folder):
+    """A root below which the table is a folder of two files, or one file."""
+    root = scratch_path(spark, "tables")
+    if folder:
+        df.repartition(2).write.parquet(f"{root}/{name}.parquet")
+    else:
+        df.toPandas().to_parquet(make_root(root) / f"{name}.parquet", index=False)
+    return root
+
+
+def make_root(root):
+    path = Path(root)
+    path.mkdir(parents=True)
+    return path
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_blank_check_streams_a_table_of_one_file_or_many(spark, folder):
+    rows = [(1, 0, "user", "hello"), (1, 1, "user", " "), (2, 0, "system", None), (2, 1, None, "abc")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = QUERIES["stream_blank_check"](spark, written(spark, turns, "conversations", folder)).collect()
+    assert {r.role: (r.n_rows, r.n_blank, r.n_values, r.n_chars) for r in got} == {"user": (2, 1, 2, 6), "system": (1, 1, 0, 0), None: (1, 0, 1, 3)}
