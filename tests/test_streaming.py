@@ -101,3 +101,10 @@ def test_blank_check_streams_a_table_of_one_file_or_many(spark, folder):
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = QUERIES["stream_blank_check"](spark, written(spark, turns, "conversations", folder)).collect()
     assert {r.role: (r.n_rows, r.n_blank, r.n_values, r.n_chars) for r in got} == {"user": (2, 1, 2, 6), "system": (1, 1, 0, 0), None: (1, 0, 1, 3)}
+
+
+def test_requests_are_streamed_from_a_table_of_many_files(spark):
+    rows = [(n, f"document {n} is long enough to be answered") for n in range(1, 5)] + [(5, "short"), (None, None)]
+    root = written(spark, spark.createDataFrame(rows, "doc_id long, text string"), "documents", True)
+    got = QUERIES["stream_predict"](spark, root).collect()
+    assert Counter(r.doc_id for r in got) == Counter([1, 2, 3, 4, 5, None])
