@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ _FACTS = T.ArrayType(
     T.StructType(
         [
             T.StructField(c, T.LongType())
-            for c in ("n_words", "n_distinct", "n_ref", "shared", "frequency", "pick", "score")
+            for c in ("n_words", "n_distinct", "n_ref", "shared", "frequency", "top", "last", "pick", "score")
         ]
     )
 )
@@ -89,23 +91,27 @@ def greedy_choice(sents: Sequence[Sequence[str]], ref: Sequence[str]) -> list[tu
 
 def _facts(texts: pa.Array, references: pa.Array) -> pa.Array:
     """What the features and labels of each sentence need, from the words of a text and its reference."""
-    out = []
+    columns: dict[str, list[int]] = {f.name: [] for f in _FACTS.elementType}
+    ends = [0]
     for sents, ref in zip(texts.to_pylist(), references.to_pylist(), strict=True):
-        counts: dict[str, int] = {}
-        for x in sents:
-            for w in x:
-                counts[w] = counts.get(w, 0) + 1
-        wanted = set(ref)
+        n, wanted = len(sents), set(ref)
+        counts = Counter(chain.from_iterable(sents))
+        frequent = {w: c for w, c in counts.items() if c >= MIN_COUNT and len(w) >= MIN_CHARS}
         picks = {s: (i + 1, score) for i, (s, score) in enumerate(greedy_choice(sents, ref))} if ref else {}
-        rows = []
-        for i, x in enumerate(sents):
-            own = set(x)
-            frequency = sum(counts[w] for w in own if len(w) >= MIN_CHARS and counts[w] >= MIN_COUNT)
-            values = (len(x), len(own), len(wanted), len(own & wanted), frequency, *picks.get(i, (0, 0)))
-            rows.append(dict(zip((f.name for f in _FACTS.elementType), values, strict=True)))
-        out.append(rows)
-    kind = pa.list_(pa.struct([pa.field(f.name, pa.int64()) for f in _FACTS.elementType]))
-    return pa.array(out, kind)
+        distinct = [set(x) for x in sents]
+        frequency = [sum([frequent[w] for w in own if w in frequent]) for own in distinct]
+        columns["n_words"] += map(len, sents)
+        columns["n_distinct"] += map(len, distinct)
+        columns["n_ref"] += [len(wanted)] * n
+        columns["shared"] += [len(own & wanted) for own in distinct]
+        columns["frequency"] += frequency
+        columns["top"] += [max([1, *frequency])] * n
+        columns["last"] += [max(n - 1, 1)] * n
+        columns["pick"] += [picks[i][0] if i in picks else 0 for i in range(n)]
+        columns["score"] += [picks[i][1] if i in picks else 0 for i in range(n)]
+        ends.append(ends[-1] + n)
+    rows = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
 # Marked so that Spark neither copies it into filters that it infers nor runs it once for each field.
@@ -124,37 +130,26 @@ def sentence_rows(df: DataFrame, text: str, reference: str | None = None) -> Dat
     ref = F.coalesce(F.col(reference), F.lit("")) if reference else F.lit("")
     split = df.withColumn("_text", F.coalesce(sentences(F.col(text)), F.array().cast("array<string>")))
     facts = _sentence_facts(F.transform("_text", tokens), tokens(ref))
-    zipped = F.zip_with(
-        F.transform("_text", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence"))),
-        "_facts",
-        lambda s, x: F.struct(
-            s["sent"].alias("sent"),
-            s["sentence"].alias("sentence"),
-            *[x[f.name].alias(f.name) for f in _FACTS.elementType],
-        ),
-    )
-    split = split.withColumn("_facts", facts)
-    split = split.withColumn("_facts", zipped)
-    top = F.greatest(F.coalesce(F.array_max(F.transform("_facts", lambda x: x["frequency"])), F.lit(0)), F.lit(1))
-    split = split.withColumns({"_top": top, "_last": F.greatest(F.size("_text") - 1, F.lit(1))})
 
-    def row(x: Column) -> Column:
+    # Whatever a sentence needs of its whole text comes with its facts: in here it would be found anew for each sentence.
+    def row(sentence: Column, x: Column) -> Column:
         overlap = F.try_divide(2.0 * x["shared"], x["n_distinct"] + x["n_ref"])
         return F.struct(
-            x["sent"].alias("sent"),
-            x["sentence"].alias("sentence"),
-            x["sent"].cast("double").alias("place"),
-            (x["sent"] / F.col("_last")).alias("place_share"),
+            sentence["sent"].alias("sent"),
+            sentence["sentence"].alias("sentence"),
+            sentence["sent"].cast("double").alias("place"),
+            (sentence["sent"] / x["last"]).alias("place_share"),
             x["n_words"].cast("double").alias("n_words"),
             x["frequency"].cast("double").alias("frequency"),
-            (x["frequency"] / F.col("_top")).alias("frequency_share"),
+            (x["frequency"] / x["top"]).alias("frequency_share"),
             F.coalesce(F.round(overlap, 6), F.lit(0.0)).alias("overlap"),
             x["pick"].cast("int").alias("pick"),
             x["score"].alias("score"),
             (x["pick"] > 0).cast("double").alias("label"),
         )
 
-    return split.withColumn("_sents", F.transform("_facts", row)).drop("_text", "_facts", "_top", "_last")
+    numbered = F.transform("_text", lambda s, i: F.struct(i.alias("sent"), s.alias("sentence")))
+    return split.withColumn("_facts", facts).withColumn("_sents", F.zip_with(numbered, "_facts", row)).drop("_text", "_facts")
 
 
 def sentence_features(

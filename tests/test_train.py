@@ -48,3 +48,15 @@ def test_an_early_end_is_reported(spark):
     schema = ", ".join(["split string", "label double", *(f"{c} double" for c in M.FEATURES)])
     _, report = M.train_sentence_model(spark.createDataFrame(rows, schema), (0.0,), max_iter=1)
     assert not any(r.converged for r in report.collect())
+
+
+def test_features_of_a_text_of_many_sentences_are_found_once(spark):
+    text = "\n".join(["alpha beta beta"] + [f"word{n} alpha" for n in range(2_999)])
+    df = spark.createDataFrame([(1, text, "alpha beta"), (2, "", "x"), (3, None, None)], "id long, dialogue string, summary string")
+    features = M.sentence_features(df, "id", "dialogue", "summary")
+    # The highest frequency of the text stands beside each sentence and is not searched for in each.
+    assert "array_max" not in features._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r.sent: r for r in features.collect()}
+    assert len(rows) == 3_000 and {r.id for r in rows.values()} == {1}
+    assert (rows[0].frequency, rows[0].frequency_share) == (3_002.0, 1.0)
+    assert (rows[2_999].frequency, rows[2_999].frequency_share, rows[2_999].place_share) == (3_000.0, 3_000 / 3_002, 1.0)
