@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import hashlib
 import random
 from collections import Counter
@@ -197,3 +198,23 @@ def test_interval_of_repeated_and_null_keys(spark):
         want = np.quantile(means, [0.025, 0.5, 0.975])
         assert [r.low, r.mid, r.high] == pytest.approx(want, abs=1e-6)
     assert got.count() == 4
+
+
+def test_gram_hits_match_counters():
+    rng = random.Random(5)
+    rows = [([rng.choice("abc") for _ in range(rng.randrange(9))], [rng.choice("abcd") for _ in range(rng.randrange(9))]) for _ in range(300)]
+    refs, preds = (pa.array(x, pa.list_(pa.string())) for x in zip(*rows))
+    for n in (1, 2, 3):
+        def grams(x):
+            return Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1))
+        want = [sum((grams(r) & grams(p)).values()) for r, p in rows]
+        assert R.gram_hits(refs, preds, n).to_pylist() == want
+        assert R.gram_hits(refs.slice(7, 50), preds.slice(7, 50), n).to_pylist() == want[7:57]
+        assert R.gram_hits(refs[:0], preds[:0], n).to_pylist() == []
+
+
+def test_scoring_moves_no_row(spark):
+    df = spark.createDataFrame([(1, "a b a", "a a b"), (1, "a b a", "a a b"), (None, None, "x")], "k long, p string, r string")
+    scores = R.rouge_scores(df, ["k"], "p", "r")
+    assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
+    assert Counter((x.k, x.metric, x.hits) for x in scores.collect())[1, "rouge2", 1] == 2
