@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from precis.plans import oracle
+from precis.plans.queries import QUERIES
 from precis.session import path_exists, scratch_path
 from precis.sources import artifacts as A
 from precis.sources import pairs as P
@@ -155,3 +156,16 @@ def test_metric_sinks(spark, tmp_path):
     assert csv.asDict() == {"model": "m", "rouge1": 0.5, "rouge2": 0.25, "rougeL": 0.1, "rougeLsum": 0.2}
     assert spark.read.json(f"{path}.json").first().rougeL == 0.1
     assert path_exists(spark, f"{path}.csv")
+
+
+def test_rows_in_another_order_come_in_as_many_tasks_as_they_need(spark, tables, monkeypatch):
+    seen, ingest = [], S.ingest
+    monkeypatch.setattr(S, "ingest", lambda df, *args, **options: seen.append(df) or ingest(df, *args, **options))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        got = QUERIES["ingest_idempotent"](spark, tables).first()
+        again = seen[1].rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert (got["first"], got["again"], got["changed"], got["by_choice"]) == ("written", "kept", "refused", "replaced")
+    assert again > 3
