@@ -108,3 +108,18 @@ def test_requests_are_streamed_from_a_table_of_many_files(spark):
     root = written(spark, spark.createDataFrame(rows, "doc_id long, text string"), "documents", True)
     got = QUERIES["stream_predict"](spark, root).collect()
     assert Counter(r.doc_id for r in got) == Counter([1, 2, 3, 4, 5, None])
+
+
+def test_a_delivery_of_many_files_is_one_micro_batch(spark, monkeypatch):
+    rows = [(n, f"document {n} is long enough to be answered") for n in range(48)]
+    root = scratch_path(spark, "tables")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(6).write.parquet(f"{root}/documents.parquet")
+    started, start = [], scoring.score_stream
+    monkeypatch.setattr(scoring, "score_stream", lambda *args, **options: started.append(start(*args, **options)) or started[-1])
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a partition, and so a file, for each file read
+    try:
+        got = QUERIES["stream_predict_once"](spark, root).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert Counter(r.doc_id for r in got) == Counter(range(48))
+    assert sum(1 for q in started for p in q.recentProgress if p["numInputRows"]) == 4
