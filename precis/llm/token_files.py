@@ -23,9 +23,11 @@ import struct
 import zlib
 from array import array
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 import xxhash
@@ -34,102 +36,141 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precis.llm.words import buffers
 from precis.session import ship_package, write_file
 
 # Fixed values of the file format.
 _KEYS_MAGIC, _TABLE_MAGIC, _END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _CHECKSUMS = 0x80
 
-# Fixed value: the published pattern of byte-level BPE that cuts a text before its merges.
-_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_BEYOND_LATIN = "\u0250"
-# Signs that make one token at the end of a word.
-_ENDS = "!#$%&*+,-./:;?|"
+# The published pattern of byte-level BPE that cuts a text before its merges, spelt out for Latin letters.
+_BEYOND_LATIN = "[\u0250-\U0010ffff]"
+_LATIN = [chr(c) for c in range(0x250)]
+_L, _N, _S = ("".join(re.escape(c) for c in _LATIN if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+_PATTERN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 LEVEL = 1
-# Pieces of text whose ids a worker remembers before it starts anew.
-CACHE_PIECES = 500_000
+# Texts of so many bytes are encoded together, and the model sees so many words in one call.
+_BYTES = 16_000_000
+_WORDS = 50_000
 _ROWS = 2048
 
 # A space before more white space may belong to one token with what stands before it.
 _OPEN_SPACE = re.compile(r" (?:\s|\Z)")
 
 
-def _byte_letters() -> dict[int, int]:
+def _byte_letters() -> np.ndarray:
     """The letter that byte-level BPE uses for each byte: itself if it prints, else one from U+0100 on."""
     prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in prints]
-    return {b: 256 + i for i, b in enumerate(hidden)}
+    letters = np.arange(256, dtype="<u4")
+    letters[hidden] = 256 + np.arange(len(hidden))
+    return letters
 
 
-class Encoder(dict):
+def _spaced(texts: pa.Array, letters: np.ndarray | None = None) -> np.ndarray:
+    """The bytes of all texts, or a letter for each, with a space between texts."""
+    data, bounds = buffers(texts)
+    data = data[bounds[0] : bounds[-1]]
+    return np.insert(data if letters is None else letters[data], bounds[1:-1] - bounds[0], ord(" "))
+
+
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after another."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
+
+
+class Encoder:
     """Ids of texts, as bytes, from a byte-level BPE tokenizer that starts a new token at a single space.
 
     Such a tokenizer never joins what stands on both sides of a space that follows
-    and precedes other characters, so a text is cut before its spaces and each
-    distinct piece is encoded once; the model then sees the piece's words. Texts
-    with runs of white space around a space, and pieces beyond Latin letters or
-    with an added token in them, go through the whole tokenizer.
-
-    The dictionary itself maps pieces to ids. A piece stands after a space, which
-    its name leaves out; names that begin with a space are pieces without one.
-    Pieces unused for a while are forgotten.
+    and precedes other characters, so texts are cut before their spaces. Many texts
+    are cut together, their distinct pieces are cut into words, and the model sees
+    each distinct word once, many in one call. The first piece of a text, which
+    stands after no space, texts with runs of white space around a space, and pieces
+    beyond Latin letters or with an added token in them go through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
-        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._apart = re.compile("|".join([_BEYOND_LATIN, *map(re.escape, added)]))
         self._letters = _byte_letters()
-        self._older: dict[str, bytes] = {}
+        self._model = Tokenizer(self._tokenizer.model)
+        self._model.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self._lengths[list(vocabulary.values())] = [len(t) for t in vocabulary]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _word(self, word: str) -> bytes:
-        letters = word.replace(" ", "\u0120") if word.isascii() and word.strip().isalpha() else (
-            word.encode().decode("latin-1").translate(self._letters)
-        )
-        return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._older.pop(piece, None)
-        if ids is None:
-            ids = self._piece(piece)
-        self[piece] = ids
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        text = piece[1:] if piece[:1] == " " else " " + piece
-        bare = piece.lstrip(" ")
-        if bare.isascii() and bare.isalpha():
-            return self._word(text)
-        core = piece.rstrip(_ENDS)
-        if core != piece and core.lstrip(" ").isalpha():
-            return self[core] + self[" " + piece[len(core) :]]
-        if max(text, default="") >= _BEYOND_LATIN or any(t in text for t in self._added):
-            return self._whole([text])[0]
-        parts = _PATTERN.findall(text)
-        if len(parts) < 2:
-            return self._word(text)
-        return b"".join([self[p[1:] if p[:1] == " " else " " + p] for p in parts])
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The model's ids of words, without another cut, and how many each word has."""
+        ids, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), _WORDS):
+            part = words.slice(at, _WORDS)
+            letters = _spaced(part, self._letters).tobytes().decode("utf-32-le")
+            found = np.array(self._model.encode_batch_fast([letters], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(self._lengths[found])
+            word_ends = np.cumsum(pc.binary_length(part).to_numpy().astype(np.int64))
+            if not len(ends) or ends[-1] != word_ends[-1]:  # the model leaves out a byte
+                each = [x.ids for x in self._model.encode_batch_fast(letters.split(" "), add_special_tokens=False)]
+                found = np.array(list(chain.from_iterable(each)), "<u4")
+                counts.append(np.array([len(x) for x in each], np.int64))
+            else:
+                counts.append(np.diff(np.searchsorted(ends, word_ends) + 1, prepend=0))
+            ids.append(found)
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each piece after a space begin, and how many they are."""
+        counts = np.zeros(len(pieces), np.int64)
+        text, apart, names = " " * bool(len(pieces)) + _spaced(pieces).tobytes().decode(), [], []
+        if self._apart.search(text):
+            names = text[1:].split(" ")
+            apart = [i for i, p in enumerate(names) if self._apart.search(p)]
+            text = "".join([" " + p for p in names if not self._apart.search(p)])
+        plain = np.delete(np.arange(len(pieces)), apart)
+        words = pa.array(_PATTERN.findall(text), pa.string())
+        coded = words.dictionary_encode()
+        ids, sizes = self._words(coded.dictionary)
+        place = coded.indices.to_numpy()
+        of_words = sizes[place]
+        own = [ids[_places((np.cumsum(sizes) - sizes)[place], of_words)]]
+        if len(plain):  # a space begins a piece
+            counts[plain] = np.add.reduceat(of_words, np.flatnonzero(pc.starts_with(words, " ")))
+        for i, content in zip(apart, self._whole([" " + names[i] for i in apart]), strict=True):
+            own.append(np.frombuffer(content, "<u4"))
+            counts[i] = len(own[-1])
+        order = np.concatenate([plain, np.array(apart, np.int64)])
+        starts = np.zeros(len(pieces), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate(own), starts, counts
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        cut = [text.partition(" ") for text in texts]
+        lists = pc.split_pattern(pa.array([rest or None for _, _, rest in cut], pa.string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        ids, starts, counts = self._pieces(coded.dictionary)
+        place = coded.indices.to_numpy()
+        content = ids[_places(starts[place], counts[place])].tobytes()
+        ends = np.concatenate([[0], np.cumsum(counts[place])])
+        last = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+        bounds = [0, *(4 * ends[last]).tolist()]
+        firsts = self._whole([first for first, _, _ in cut])
+        return [x + content[a:b] for x, a, b in zip(firsts, bounds, bounds[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self) > CACHE_PIECES:
-            self._older = dict(self)
-            self.clear()
-        out = []
-        for text in texts:
-            if _OPEN_SPACE.search(text):
-                out += self._whole([text])
-            else:
-                first, *rest = text.split(" ")
-                out.append(b"".join(map(self.__getitem__, [" " + first, *rest])))
-        return out
+        """The ids of texts that are held in memory together."""
+        closed = [not _OPEN_SPACE.search(t) for t in texts]
+        found = iter(self._together([t for x, t in zip(closed, texts, strict=True) if x]))
+        return [next(found) if x else self._whole([t])[0] for x, t in zip(closed, texts, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -224,8 +265,12 @@ def write_token_files(
         trial = f"{folder}/_{name}.{context.taskAttemptId()}"
         sink, docs, ids = None, 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
+            _, bounds = buffers(batch.column(1))
+            at = 0
+            while at < batch.num_rows:
+                size = max(1, int(np.searchsorted(bounds, bounds[at] + _BYTES, "right")) - 1 - at)
+                part = batch.slice(at, size)
+                at += part.num_rows
                 if sink is None:
                     sink = fs.open_output_stream(trial)
                     writer = FrameWriter(sink)

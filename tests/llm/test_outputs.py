@@ -43,6 +43,36 @@ def test_any_text(encoder):
     assert encoder.encode(texts) == encoder._whole(texts)
 
 
+class Counted:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("words", [50_000, 7])
+def test_the_model_sees_each_new_word_once_in_few_calls(monkeypatch, words):
+    monkeypatch.setattr(token_files, "_WORDS", words)
+    encoder, rng = token_files.Encoder(PATH), random.Random(2)
+    known = ["".join(rng.choices("abcdé", k=9)) for _ in range(200)]
+    texts = [" ".join(w + rng.choice(["", ".", "%%%", ".\nOf", "中"]) for w in rng.choices(known, k=50)) for _ in range(100)]
+    encoder._model = model = Counted(encoder._model)
+    assert encoder.encode(texts) == encoder._whole(texts)
+    seen = " ".join(model.texts).split(" ")
+    assert len(seen) == len(set(seen)) and len(model.texts) == -(-len(seen) // words)
+
+
+def test_a_model_without_some_byte(encoder, monkeypatch):
+    texts = ["a bc def bc", "", "x"]
+    want = encoder.encode(texts)
+    monkeypatch.setattr(encoder, "_lengths", np.zeros_like(encoder._lengths))
+    assert encoder.encode(texts) == want == encoder._whole(texts)
+
+
 def want_rows(rows):
     from tokenizers import Tokenizer
 
