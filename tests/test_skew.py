@@ -1,5 +1,8 @@
 from collections import Counter
+import contextlib
+import io
 import random
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -18,6 +21,38 @@ def test_lookup_join_equals_plain_join(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_value_counts(spark):
+    rng = random.Random(3)
+    values = ["hot"] * 500 + [None] * 7 + [f"v{rng.randrange(900)}" for _ in range(2_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(5).localCheckpoint()
+    got = skew.value_counts(df, "v", "n")
+    assert {r.v: r.n for r in got.collect()} == Counter(values) and got.count() == len(set(values))
+    assert skew.value_counts(df.limit(0), "v", "n").collect() == []
+
+
+def test_ngrams_hold_no_table_of_a_whole_split(spark):
+    """No hash table stands before the exchange, and the counts meet in parts that grow with the input."""
+    from precis.plans.queries import QUERIES
+
+    path = tempfile.mkdtemp(dir="/tmp")
+    rows = [(i, f"a b c{i}. A B", "en", "web", 1) for i in range(40)] + [(None, None, None, None, None), (7, "a b", "en", "web", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(30).write.parquet(f"{path}/documents.parquet")
+    got = QUERIES["ngrams"](spark, path)
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        got.explain()
+    plan = plan.getvalue()
+    assert plan.rindex("HashAggregate") < plan.index("Exchange hashpartitioning(gram") < plan.index("MapInArrow")
+    assert {r.gram: r.n for r in got.collect()} == {"a b": 81} | {k: 1 for i in range(40) for k in (f"b c{i}", f"c{i} a")}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        read = spark.read.parquet(f"{path}/documents.parquet").rdd.getNumPartitions()
+        assert QUERIES["ngrams"](spark, path).rdd.getNumPartitions() == skew.PARTS_FOR_ONE * read
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_long_keys_are_in_the_head(spark):
     long_key = "x" * 200
     rows = spark.createDataFrame([(1, long_key), (2, "a")], "i int, k string")
