@@ -1,3 +1,5 @@
+import contextlib
+import io
 import random
 from collections import Counter
 
@@ -7,10 +9,14 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from precis.functions import parts as P
+from precis.functions import text as T
 from precis.operators import fitted as FT
 from precis.operators import requests as R
+from precis.operators import skew
 from precis.operators import summarize as S
 from precis.operators import train as M
+from precis.session import stage_table
 
 TEXT = (
     "Planets orbit stars. A moon orbits planets too. The weather was fine. "
@@ -307,3 +313,81 @@ def test_beam_search():
 def test_beams_of_odd_texts(spark, method):
     got = run(spark, method, ["", None, " \n ", TEXT, "One. One. One."], beams=4, max_words=12)
     assert got["0"] == got["1"] == got["2"] == "" and got["3"] and len(got["3"].split()) <= 12
+
+
+def odd_texts(n=150):
+    rng = random.Random(23)
+    bits = ["a", "Cat", "dog", "été", "K", "İx", "KKelvin", " ", "\xa0", "\x85", "　", "\x1c", "\r", "\t", "\n", " ", " ", ". ", "! ", "?", ".", "日", "\U0001f600", "planets", "orbit stars slowly", "\x85."]
+    return [None, "", " \n", "x" * 40, *("".join(rng.choice(bits) for _ in range(rng.randrange(70))) for _ in range(n))]
+
+
+def test_parts_equal_the_column_functions(spark):
+    """Sentences, words and tokens cut inside Arrow batches are those of the column functions."""
+    texts = odd_texts()
+    cut = T.sentences(F.col("t"))
+    rows = docs(spark, texts).select("id", cut.alias("s"), F.transform(cut, lambda s: F.size(T.words(s))).alias("n"), T.tokens(F.col("t")).alias("k")).collect()
+    want = {int(r.id): (r.s, r.n, r.k or []) for r in rows}
+    p = P.parts_of(*P.text_bytes(pa.array(texts, pa.string())))
+    bounds = P.text_bytes(pa.array(texts, pa.string()))[1]
+    for i in range(len(texts)):
+        own = range(p.first[i], p.first[i + 1])
+        toks = p.tokens.codes[slice(*np.searchsorted(p.tokens.starts, bounds[i : i + 2]))]
+        got = ([p.data[p.starts[s] : p.ends[s]].tobytes().decode() for s in own], [int(p.n_words[s]) for s in own])
+        assert (*got, [p.tokens.words[int(c)].as_py() for c in toks]) == want[i]
+
+
+def test_choice_in_a_batch_equals_choose_sentences(spark, monkeypatch):
+    """Slices of a few bytes and budgets of 0, of no number, and below a sentence's length change nothing."""
+    texts = odd_texts()
+    p = P.parts_of(*P.text_bytes(pa.array(texts, pa.string())))
+    scores = np.array([s % 3 for s in range(len(p.starts))])
+    budgets = [(None, 0, 1, 2, 3, 5, 8, 128)[i % 8] for i in range(len(texts))]
+    rows = []
+    for i in range(len(texts)):
+        own = [(int(-scores[s]), s, p.data[p.starts[s] : p.ends[s]].tobytes().decode()) for s in range(p.first[i], p.first[i + 1])]
+        rows.append((i, sorted(own), budgets[i]))
+    df = spark.createDataFrame(rows, "i int, ranked array<struct<order:int,sent:int,sentence:string>>, b int")
+    want = df.select("i", S.choose_sentences(F.col("ranked"), F.col("b")).alias("p")).collect()
+    got = P.choose(p, scores, budgets, S.NO_REPEAT)
+    assert {r.i: r.p for r in want} == {i: x.decode() for i, x in enumerate(got)}
+    monkeypatch.setattr(P, "SLICE_BYTES", 50)
+    array = pa.array(["gone", *texts], pa.large_string()).slice(1)
+    again = [x for row, d, b in P.slices(array) for x in P.choose(P.parts_of(d, b), np.zeros(10_000, np.int64)[: len(P.parts_of(d, b).starts)], budgets[row : row + len(b) - 1], S.NO_REPEAT)]
+    assert again == P.choose(p, np.zeros(len(p.starts), np.int64), budgets, S.NO_REPEAT)
+
+
+def test_tfidf_of_many_words_moves_no_text(spark, monkeypatch):
+    """More words than a broadcast head of 100,000: nothing is staged or shuffled, and the rest path gives the same."""
+    rng = random.Random(5)
+    texts = [". ".join(" ".join(f"w{rng.randrange(400_000)}" for _ in range(9)) for _ in range(300)) for _ in range(70)]
+    df = docs(spark, [None, "", *texts])
+    idf = S.stage_table(S.fit_idf(df, "t"), "idf")
+    assert idf.count() > 100_000
+    staged = []
+    monkeypatch.setattr(skew, "stage_table", lambda table, name: staged.append(name) or stage_table(table, name))
+    got = S.summarize_tfidf(df, idf, "id", "t")
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        got.explain()
+    assert staged == [] and "Exchange" not in plan.getvalue()
+    got = {r.id: r.prediction for r in got.collect()}
+    monkeypatch.setattr(S, "HEAD_WORDS", 0)
+    want = {r.id: r.prediction for r in S.summarize_tfidf(df, idf, "id", "t").collect()}
+    assert staged == ["lookup"] and got == want and all(got[str(i)] for i in range(2, 72))
+
+
+def test_word_hashes_tell_words_apart():
+    words = ["", *(x * n for x in "ab0" for n in range(1, 40)), *(f"{'a' * n}b" for n in range(30)), *(str(i) for i in range(20_000))]
+    hashed = P.word_hashes(pa.array(words))
+    assert len(set(hashed.tolist())) == len(set(words))
+    assert P.word_hashes(pa.array(["x", *words]).slice(1)).tolist() == hashed.tolist()
+    assert len(P.word_hashes(pa.array([], pa.string()))) == 0
+
+
+def test_fit_idf_counts_texts(spark, monkeypatch):
+    monkeypatch.setattr(P, "SLICE_BYTES", 60)
+    texts = odd_texts()
+    toks = docs(spark, texts).select(F.array_distinct(T.tokens(F.col("t"))).alias("k")).collect()
+    got = S.fit_idf(docs(spark, texts), "t").collect()
+    assert {r.word: r.df for r in got} == Counter(w for r in toks for w in r.k or [])
+    assert all(r.idf == round(1000 * np.log((1 + len(texts)) / (1 + r.df))) for r in got)
+    assert S.fit_idf(docs(spark, texts).limit(0), "t").collect() == []
