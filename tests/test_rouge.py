@@ -2,12 +2,14 @@ import numpy as np
 import pyarrow as pa
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from precis.functions import parts as P
 from precis.functions.lcs import lcs_length, lcs_places, union_hits
 from precis.functions.porter import stem
 from precis.operators import rouge as R
@@ -218,3 +220,28 @@ def test_scoring_moves_no_row(spark):
     scores = R.rouge_scores(df, ["k"], "p", "r")
     assert "Exchange" not in scores._jdf.queryExecution().executedPlan().toString()
     assert Counter((x.k, x.metric, x.hits) for x in scores.collect())[1, "rouge2", 1] == 2
+
+
+@pytest.mark.parametrize("stemmed", [False, True])
+def test_overlaps_in_slices_equal_plain_python(spark, monkeypatch, stemmed):
+    """Lines, stems and odd letters, with a slice for every few rows."""
+    rng = random.Random(31)
+    bits = ["a", "b", "hopping", "hopped", "Ponies", "pony", "rates", "été", "KK", "İx", "9", ".", " ", " ", " ", "\n", "\n", "\r", "日"]
+    texts = [None, "", "\n\n", *("".join(rng.choice(bits) for _ in range(rng.randrange(50))) for _ in range(200))]
+    rows = [(rng.choice(texts), rng.choice(texts)) for _ in range(300)]
+    own = lambda x: [stem(t) if stemmed and len(t) > 3 else t for t in re.findall("[a-z0-9]+", x.lower())]
+    want = []
+    for p, r in rows:
+        lp, lr = ([own(x) for x in (t or "").split("\n")] for t in (p, r))
+        tp, tr = own(p or ""), own(r or "")
+        grams = [[Counter(zip(*[t[k:] for k in range(n)])) for t in (tp, tr)] for n in (1, 2)]
+        want.append((len(tp), len(tr), *(sum((a & b).values()) for a, b in grams), table_lcs(tr, tp), union_hits(lr, lp)))
+    monkeypatch.setattr(P, "SLICE_BYTES", 100)
+    preds, refs = (pa.array(["gone", *side], kind).slice(1) for side, kind in zip(zip(*rows), (pa.string(), pa.large_string())))
+    got = R.overlaps(preds, refs, R.METRICS, stemmed).to_pylist()
+    assert [tuple(x.values()) for x in got] == want
+    assert [x["rougeLsum"] for x in R.overlaps(preds, refs, ["rougeLsum"], stemmed).to_pylist()] == [x[-1] for x in want]
+    assert R.overlaps(preds[:0], refs[:0], R.METRICS, stemmed).to_pylist() == []
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "i int, p string, r string")
+    hits = {(x.i, x.metric): x.hits for x in R.rouge_scores(df, ["i"], "p", "r", stemmed=stemmed).collect()}
+    assert hits == {(i, m): x[2 + k] for i, x in enumerate(want) for k, m in enumerate(R.METRICS)}

@@ -391,3 +391,13 @@ def test_fit_idf_counts_texts(spark, monkeypatch):
     assert {r.word: r.df for r in got} == Counter(w for r in toks for w in r.k or [])
     assert all(r.idf == round(1000 * np.log((1 + len(texts)) / (1 + r.df))) for r in got)
     assert S.fit_idf(docs(spark, texts).limit(0), "t").collect() == []
+
+
+def test_numbered_and_distinct():
+    rng = random.Random(41)
+    for top in (1, 50, 1 << 62):
+        values = np.array([rng.randrange(top) for _ in range(300)])
+        place, first = P.numbered(values)
+        want, at, inverse = np.unique(values, return_index=True, return_inverse=True)
+        assert (place == inverse).all() and (first == at).all() and (P.distinct(values) == want).all()
+    assert [len(x) for x in (*P.numbered(np.empty(0, np.int64)), P.distinct(np.empty(0, np.int64)))] == [0, 0, 0]
