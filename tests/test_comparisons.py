@@ -7,7 +7,7 @@ from precis.plans import queries as Q
 from precis.session import stage_table
 
 # Rows of each comparison over three splits, four methods and four metrics.
-ROWS = {"rouge_corpus": 48, "metrics_wide": 24, "metrics_rounded": 48}
+ROWS = {"rouge_corpus": 48, "metrics_wide": 24, "metrics_rounded": 48, "evaluate_models": 12}
 
 
 @pytest.fixture(scope="module")
